@@ -1,0 +1,75 @@
+"""Run queries beside their SQL and compare whole results.
+
+    python tests/check_oracle.py [--sf DIR] [query ...]
+"""
+
+from __future__ import annotations
+
+import argparse
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def connect(sf: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    return con
+
+
+def differences(spark, con, sf: str, query, sql: str) -> list[str]:
+    """What differs between the two results; empty when they hold the same rows."""
+    got = query(spark, sf).toPandas()
+    want = con.execute(sql).df()
+    if sorted(got.columns) != sorted(want.columns):
+        return [f"columns {sorted(got.columns)} / {sorted(want.columns)}"]
+    out = []
+    if len(got) != len(want):
+        out.append(f"rows {len(got)} / {len(want)}")
+    columns = sorted(got.columns)
+    ours = sorted(map(tuple, got[columns].astype(str).values.tolist()))
+    theirs = sorted(map(tuple, want[columns].astype(str).values.tolist()))
+    if ours != theirs:
+        a, b = set(ours), set(theirs)
+        out.append(f"only ours {sorted(a - b)[:3]}; only theirs {sorted(b - a)[:3]}")
+    return [o[:600] for o in out]
+
+
+def main() -> int:
+    import __spark_entry__ as entry
+    from pyspark.sql import SparkSession
+
+    args = argparse.ArgumentParser()
+    args.add_argument("--sf", default="/root/testdata/sf0.01")
+    args.add_argument("names", nargs="*")
+    args = args.parse_args()
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.driver.memory", "12g").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(args.sf)
+    queries, oracle = entry.queries(), entry.oracle_sql()
+    print("no sql:", sorted(set(queries) - set(oracle)), "no query:", sorted(set(oracle) - set(queries)))
+    bad = 0
+    for name in args.names or queries:
+        start = time.time()
+        try:
+            found = differences(spark, con, args.sf, queries[name], oracle[name])
+        except Exception as e:  # report and go on with the next query
+            found = [f"{type(e).__name__}: {str(e)[:1500]}"]
+        bad += bool(found)
+        print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s", *found, flush=True)
+    print("failed:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main())
