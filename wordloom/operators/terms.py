@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.maps import build_stripe, decoded_count, decoded_key, encode_stripe
-from wordloom.functions.porter import stem, stem_all
+from wordloom.functions.porter import stem_all
 from wordloom.functions.text import raw_tokens, tfidf_score, valid_token
-from wordloom.sources.lists import SMALL_LIST, small_rows, small_words, with_stems
+from wordloom.sources.lists import (
+    local_table,
+    small_rows,
+    small_words,
+    with_stems,
+    words_and_stems,
+)
 
 
 def vocabulary(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -18,8 +24,12 @@ def vocabulary(texts: DataFrame, column: str = "text") -> DataFrame:
 
 
 def stem_vocab(words: DataFrame) -> DataFrame:
-    """``(word, stem)`` of distinct words."""
-    return words.select("word", stem(F.col("word")).alias("stem"))
+    """``(word, stem)`` of distinct words.
+
+    The stem comes out of an explode of one, not of a plain projection: a filter
+    on the stem then stays behind it and the stem is worked out once per word.
+    """
+    return words.select("word", F.explode(stem_all("array(word)")).alias("stem"))
 
 
 def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -35,21 +45,24 @@ def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFra
 def document_terms(docs: DataFrame, stopwords: DataFrame) -> DataFrame:
     """``(doc_id, term)``, each term once per input row.
 
-    With a stop list of up to 1,000 words (2,000 with stems) everything happens
+    With a stop list of up to 1,000 words everything happens
     inside the row: distinct tokens, stop check, stemming, second stop check. A
     longer list is joined, before stemming on the token and afterwards on the term.
     """
-    stop = with_stems(stopwords)
-    chosen = small_words(stop, 2 * SMALL_LIST)
+    short = small_rows(stopwords.select(words_and_stems().alias("both")))
     tokens = raw_tokens(F.col("text"))
-    if chosen is not None:
-        terms = _distinct_unless(stem_all(_distinct_unless(tokens, chosen)), chosen)
-        return docs.select("doc_id", F.explode(terms).alias("term"))
+    if short is not None:
+        chosen = sorted({word for row in short for word in row.both})
+        rows = docs.select("doc_id", _distinct_unless(tokens, chosen).alias("words"))
+        terms = _distinct_unless(stem_all("words"), chosen)
+        return rows.select("doc_id", F.explode(terms).alias("term"))
+    stop = with_stems(stopwords)
     rows = docs.select("doc_id", F.explode(F.array_distinct(tokens)).alias("word"))
     kept = rows.where("word <> ''").join(stop, "word", "left_anti")
-    terms = kept.select("doc_id", stem(F.col("word")).alias("term")).where("term <> ''")
+    terms = kept.select("doc_id", F.explode(stem_all("array(word)")).alias("term"))
     # Two tokens of a row may share a stem.
-    return terms.join(stop.withColumnRenamed("word", "term"), "term", "left_anti").select(
+    return terms.where("term <> ''").join(
+        stop.withColumnRenamed("word", "term"), "term", "left_anti").select(
         "doc_id", "term").distinct()
 
 
@@ -83,55 +96,43 @@ def top_terms(frequencies: DataFrame, k: int = 100, tie: str = "asc") -> DataFra
 
 # -- term frequency and TF-IDF ------------------------------------------------
 
-def _valid_words(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", F.explode(raw_tokens(F.col("text"))).alias("word"))
-    return rows.where(valid_token(F.col("word")))
-
-
-def _stemmed(words: DataFrame) -> DataFrame:
-    stemmed = words.select("doc_id", stem(F.col("word")).alias("term"))
-    return stemmed.where(valid_token(F.col("term")))
-
-
-def _small_list(terms: DataFrame) -> DataFrame | None:
-    """The list as a local table, once its size is known to be small."""
-    rows = small_rows(terms)
-    if rows is None:
-        return None
-    return terms.sparkSession.createDataFrame(rows, terms.schema)
-
-
-def _could_become(words: DataFrame, listed: DataFrame) -> DataFrame:
-    """Words that may stem to a listed term, without stemming them.
+def term_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` of the listed terms.
 
-    A stem is always its word cut at the end with at most the last letter
-    replaced or added, so a word must start with the term less one letter. The
-    first two letters make it a hash join against the short list.
+    ``terms`` has a ``term`` column. With up to 1,000 of them a row's words are cut
+    down to those that can become one before anything is stemmed, and only listed
+    terms leave the row. A longer list is joined to the counts, which have one row
+    per document and term.
     """
-    heads = listed.select(
-        F.expr("substring(term, 1, 2)").alias("head"),
-        F.expr("substring(term, 1, length(term) - 1)").alias("start"),
-    ).distinct()
-    matches = (F.substring(words["word"], 1, 2) == heads["head"]) & F.startswith(
-        words["word"], heads["start"])
-    return words.join(F.broadcast(heads), matches, "left_semi")
+    listed = terms.select("term").where(valid_token(F.col("term")))
+    chosen = small_words(listed)
+    words = raw_tokens(F.col("text"))
+    if chosen is not None:
+        able = F.filter(words, lambda w: _may_become(w, chosen) & valid_token(w))
+        rows = docs.select("doc_id", able.alias("words"))
+        found = F.filter(stem_all("words"), lambda t: t.isin(chosen))
+        return _per_document(rows.select("doc_id", F.explode(found).alias("term")))
+    rows = docs.select("doc_id", F.filter(words, valid_token).alias("words"))
+    rows = rows.select("doc_id", F.explode(F.filter(stem_all("words"), valid_token)).alias("term"))
+    return _per_document(rows).join(listed.distinct(), "term", "left_semi").select(
+        "doc_id", "term", "tf")
 
 
-def term_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)`` of the listed terms.
+def _may_become(word: Column, terms: list[str]) -> Column:
+    """Whether a word's first letters allow it to stem to one of the terms.
 
-    ``terms`` has a ``term`` column. With up to 1,000 of them the text is cut down
-    to words that can become one before anything is stemmed or shuffled. A longer
-    list is joined to the counts, one row per document and term.
+    A stem is its word cut at the end with at most one last letter replaced or
+    added, so a word must start with the term less one letter. Up to four letters
+    of that start are looked up.
     """
-    listed = terms.select("term").where(valid_token(F.col("term"))).distinct()
-    short = _small_list(listed)
-    words = _valid_words(docs)
-    if short is not None:
-        found = _stemmed(_could_become(words, short))
-        return _per_document(found.join(F.broadcast(short), "term", "left_semi"))
-    return _per_document(_stemmed(words)).join(listed, "term", "left_semi").select(
-        "doc_id", "term", "tf")
+    starts: dict[int, set[str]] = {}
+    for term in terms:
+        start = term[:-1][:4]
+        starts.setdefault(len(start), set()).add(start)
+    able = F.lit(False)
+    for length, found in sorted(starts.items(), reverse=True):
+        able = able | F.substring(word, 1, length).isin(*sorted(found))
+    return able
 
 
 def _per_document(terms: DataFrame) -> DataFrame:
@@ -156,9 +157,12 @@ def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None
     ``n_docs`` is the N of the formula; by default the number of documents. A
     document without a listed term has no row.
     """
-    frequencies = frequencies.select("term", "df")
-    short = _small_list(frequencies)
-    listed = frequencies if short is None else short
+    listed = frequencies.select("term", "df")
+    rows = small_rows(listed)
+    if rows is not None:
+        # Worked out once here, instead of once per use below.
+        listed = local_table(docs.sparkSession, term=[r.term for r in rows],
+                             df=[r.df for r in rows]) if rows else listed.limit(0)
     n = document_count(docs) if n_docs is None else n_docs
     n = n if isinstance(n, Column) else F.lit(n)
     return score(with_df(term_frequency(docs, listed), listed), n)

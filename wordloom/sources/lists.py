@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.functions.porter import stem
+from wordloom.functions.porter import stem_all
 from wordloom.functions.text import int_or_null
 
 # The package's own default list (English function words).
@@ -22,8 +23,18 @@ DEFAULT_STOPWORDS = (
 SMALL_LIST = 1000
 
 
+def local_table(spark: SparkSession, **columns: list) -> DataFrame:
+    """A small table held in the plan itself.
+
+    Built from Arrow it becomes a local relation, whose exact size the planner
+    knows; rows parallelised from Python have no size, so Spark would shuffle the
+    other side of a join instead of broadcasting this one.
+    """
+    return spark.createDataFrame(pa.table(columns))
+
+
 def default_stopwords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in DEFAULT_STOPWORDS], "word string")
+    return local_table(spark, word=list(DEFAULT_STOPWORDS))
 
 
 def stopword_set(lines: Column | str, source: DataFrame, lowercase: bool = True) -> DataFrame:
@@ -43,10 +54,14 @@ def read_stopwords(spark: SparkSession, path: str, lowercase: bool = True) -> Da
     return stopword_set("value", spark.read.text(path), lowercase)
 
 
+def words_and_stems() -> Column:
+    """Array of ``word`` and its stem."""
+    return F.concat(F.array("word"), stem_all("array(word)"))
+
+
 def with_stems(stopwords: DataFrame) -> DataFrame:
     """The words together with their stems, each once."""
-    both = F.explode(F.array("word", stem(F.col("word"))))
-    return stopwords.select(both.alias("word")).distinct()
+    return stopwords.select(F.explode(words_and_stems()).alias("word")).distinct()
 
 
 def top_word_set(lines: Column | str, source: DataFrame) -> DataFrame:
@@ -98,5 +113,6 @@ def small_rows(df: DataFrame, limit: int = SMALL_LIST) -> list[Row] | None:
 
 
 def small_words(df: DataFrame, limit: int = SMALL_LIST) -> list[str] | None:
-    rows = small_rows(df.select("word"), limit)
-    return None if rows is None else sorted({r.word for r in rows})
+    """The distinct values of a one-column list, under the same check."""
+    rows = small_rows(df, limit)
+    return None if rows is None else sorted({r[0] for r in rows})
