@@ -46,7 +46,7 @@ def _without_empty(tokens: Column) -> Column:
 def clean_entities(text: Column) -> Column:
     """The three entities a merged corpus is cleaned of become one space each."""
     # Fixed values: &quot; &apos; &amp;
-    return F.regexp_replace(text, "&quot;|&apos;|&amp;", " ")
+    return F.regexp_replace(text, "&(?:quot|apos|amp);", " ")
 
 
 def strip_urls(text: Column) -> Column:
@@ -65,7 +65,7 @@ def split_sentences(line: Column) -> Column:
 
 def trim_blank(line: Column) -> Column:
     """Strip spaces and tabs (only those) at both ends."""
-    return F.regexp_replace(line, "^[ \t]+|[ \t]+$", "")
+    return F.btrim(line, F.lit(" \t"))
 
 
 def valid_token(token: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,12 +16,13 @@ def write_tsv(df: DataFrame, path: str) -> None:
     _tsv(df).write.mode("overwrite").text(path)
 
 
-def write_sorted_tsv(df: DataFrame, path: str, *order: str) -> None:
+def write_sorted_tsv(df: DataFrame, path: str, *order: Column | str) -> None:
     """Sorted TSV part files: read in name order they are one sorted sequence."""
     _tsv(df.orderBy(*order)).write.mode("overwrite").text(path)
 
 
-def write_single_tsv(df: DataFrame, path: str, *order: str, max_rows: int = 1_000_000) -> None:
+def write_single_tsv(df: DataFrame, path: str, *order: Column | str,
+                     max_rows: int = 1_000_000) -> None:
     """One sorted TSV file, for results known to be small such as a top-k.
 
     The size is checked; a result above ``max_rows`` is written as sorted part
