@@ -220,10 +220,8 @@ def pair_key(spark, sf):
 @_query
 def tfidf_formula(spark, sf):
     docs = _docs(spark, sf)
-    tokens = docs.select("doc_id", F.explode(text.raw_tokens(F.col("text"))).alias("word"))
-    per_doc = tokens.where("word <> ''").groupBy("doc_id", "word").agg(F.count("*").alias("c"))
-    totals = per_doc.groupBy("word").agg(F.sum("c").alias("tf"), F.count("*").alias("df"))
-    score = text.tfidf_score(F.col("tf"), F.col("df"), terms.document_count(docs))
+    totals = terms.word_frequencies(docs)
+    score = text.tfidf_score(F.col("tf"), F.col("df"), terms.document_count(docs, row_per_doc=True))
     return totals.select("word", "tf", "df", F.round(score, 6).alias("score"))
 
 

@@ -52,5 +52,5 @@ allowance>allow inference>infer airliner>airlin gyroscopic>gyroscop
 adjustable>adjust defensible>defens irritant>irrit replacement>replac
 dependent>depend homologous>homolog communism>commun activate>activ
 angularity>angular effective>effect bowdlerize>bowdler archaeology>archaeolog
-yes>ye by>by say>sai any>ani
+yes>ye by>by say>sai any>ani eyed>ei eyes>ey dyed>dy lied>li aged>ag y>y ay>ay
 """.split())

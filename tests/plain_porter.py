@@ -1,0 +1,71 @@
+"""Porter's rules word by word, as the 1980 paper states them. For checks only."""
+
+from wordloom.functions import porter
+
+
+def _kinds(word):
+    """``c`` or ``v`` per letter."""
+    out = ""
+    for i, letter in enumerate(word):
+        vowel = letter in "aeiou" or (letter == "y" and i > 0 and out[-1] == "c")
+        out += "v" if vowel else "c"
+    return out
+
+
+def _measure(word):
+    kinds = _kinds(word)
+    return sum(1 for a, b in zip(kinds, kinds[1:]) if a + b == "vc")
+
+
+def _has_vowel(word):
+    return "v" in _kinds(word)
+
+
+def _double(word):
+    return len(word) > 1 and word[-1] == word[-2] and _kinds(word)[-1] == "c"
+
+
+def _short_end(word):
+    return _kinds(word)[-3:] == "cvc" and word[-1] not in "wxy"
+
+
+def _swap(word, rules, allowed):
+    for old, new in rules:
+        if word.endswith(old):
+            base = word[: len(word) - len(old)]
+            return base + new if allowed(base, old) else word
+    return word
+
+
+def stem(word):
+    if len(word) <= 2:
+        return word
+    w = _swap(word, porter.PLURAL_SUFFIXES, lambda b, s: True)
+    if w.endswith("eed"):
+        w = w[:-1] if _measure(w[:-3]) > 0 else w
+    else:
+        for end in ("ed", "ing"):
+            base = w[: -len(end)]
+            if w.endswith(end) and _has_vowel(base):
+                if base.endswith(("at", "bl", "iz")):
+                    w = base + "e"
+                elif _double(base):
+                    w = base if base[-1] in "lsz" else base[:-1]
+                elif _measure(base) == 1 and _short_end(base):
+                    w = base + "e"
+                else:
+                    w = base
+                break
+    if w.endswith("y") and _has_vowel(w[:-1]):
+        w = w[:-1] + "i"
+    w = _swap(w, porter.DOUBLE_SUFFIXES, lambda b, s: _measure(b) > 0)
+    w = _swap(w, porter.SHORT_SUFFIXES, lambda b, s: _measure(b) > 0)
+    w = _swap(w, [(s, "") for s in porter.BARE_SUFFIXES],
+              lambda b, s: _measure(b) > 1 and (s != "ion" or b.endswith(("s", "t"))))
+    if w.endswith("e"):
+        m = _measure(w[:-1])
+        if m > 1 or (m == 1 and not _short_end(w[:-1])):
+            w = w[:-1]
+    if _double(w) and w.endswith("l") and _measure(w) > 1:
+        w = w[:-1]
+    return w

@@ -5,6 +5,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+import plain_porter
 from wordloom.functions import porter
 from wordloom.functions.porter import stem_all
 from wordloom.functions.text import valid_token
@@ -72,12 +73,28 @@ def test_a_stem_is_its_word_cut_at_the_end(spark):
     heads = ["", "a", "b", "y", "ab", "ba", "yb", "by", "bab", "aba", "bay", "st", "sti", "hopp",
              "fizz", "controll", "abb", "tr", "bebb", "oxy", "relat", "nn", "ww"]
     made = sorted({h + a + b for h in heads for a in SUFFIXES for b in SUFFIXES} - {""})
-    rows = spark.createDataFrame([(w,) for w in made], "w string")
+    rows = lists.local_table(spark, w=made)
     stems = rows.select("w", stem_all("array(w)")[0].alias("s"))
+    found = stems.collect()
+    assert {w: s for w, s in found if s != plain_porter.stem(w)} == {}
     for w, s in stems.where(valid_token(stems.s)).collect():
         assert w.startswith(s[:-1]) and len(s) <= len(w) + 1, (w, s)
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(made=st.lists(st.text(alphabet="abeilnosty", min_size=1, max_size=7), min_size=200, max_size=400))
+def test_stems_of_random_words(spark, made):
+    stems = spark.createDataFrame([(made,)], "w array<string>").select(stem_all("w")).first()[0]
+    assert stems == [plain_porter.stem(w) for w in made]
+
+
+def test_stems_of_the_whole_vocabulary(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = terms.stem_vocab(terms.vocabulary(docs)).collect()
+    assert len(found) > 50_000
+    assert {w: s for w, s in found if s != plain_porter.stem(w)} == {}
+
+
 def test_long_lists_give_the_short_lists_results(spark):
     bodies = ["relational cities city hopping hope time timing mixed", "", "ties times city"] * 4
     docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id int, text string")

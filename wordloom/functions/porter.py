@@ -8,7 +8,8 @@ from Column calls takes over a second to put together.
 
 The published 1980 algorithm with its author's two later changes
 (``bli -> ble`` and ``logi -> log``); words of one or two letters stay as they
-are. A consonant *y* is written ``Y`` while the steps run, which makes "vowel"
+are, but a longer word may get as short as that on the way and still be changed
+(``eyed -> ey -> ei``). A consonant *y* is written ``Y`` while the steps run, which makes "vowel"
 exactly ``[aeiouy]``. Marking once is enough: a letter's class depends only on
 the letters before it, and every rule edits the end of a word.
 """
@@ -42,6 +43,9 @@ BARE_SUFFIXES = (
     "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+# Ends a word that is too short to be stemmed, so that no suffix is found on it.
+_SHORT = "\x01"
+
 _V, _C = "[aeiouy]", "[^aeiouy]"
 _HAS_VOWEL = _V
 _M_ABOVE_0 = f"^{_C}*{_V}+{_C}"
@@ -78,7 +82,8 @@ def _replaced(suffix: str, new: str, *measures: str) -> str:
 def _steps() -> list[str]:
     """One SQL expression over ``s`` per step."""
     base, last = _cut(1), "substring(s, -2, 1)"
-    mark_y = ("CASE WHEN contains(s, 'y') THEN regexp_replace(regexp_replace("
+    mark_y = (f"CASE WHEN length(s) <= 2 THEN concat(s, '{_SHORT}') "
+              "WHEN contains(s, 'y') THEN regexp_replace(regexp_replace("
               "s, '(^|[aeiou])y', '$1Y'), 'yy', 'yY') ELSE s END")
     plural = _by_suffix([(old, f"concat({_cut(len(old))}, '{new}')")
                          for old, new in PLURAL_SUFFIXES])
@@ -103,19 +108,24 @@ def _steps() -> list[str]:
     bare = _by_suffix([
         (old, _replaced(old, "", _M_ABOVE_1, *(["[st]$"] if old == "ion" else [])))
         for old in BARE_SUFFIXES])
-    final_e = (f"CASE WHEN endswith(s, 'e') AND (rlike({base}, '{_M_ABOVE_1}') OR "
-               f"(rlike({base}, '{_M_IS_1}') AND NOT rlike({base}, '{_SHORT_END}'))) "
-               f"THEN {base} ELSE s END")
-    final_ll = f"CASE WHEN endswith(s, 'll') AND rlike(s, '{_M_ABOVE_1}') THEN {base} ELSE s END"
-    return [mark_y, plural, past, past_tidy, final_y, double, short, bare, final_e, final_ll]
+    # The e goes first; what is left, or the word as it was, may lose one of two l.
+    one_l = "CASE WHEN endswith({0}, 'll') AND rlike({0}, '" + _M_ABOVE_1 + "') THEN {1} ELSE {0} END"
+    final_e_ll = (
+        f"CASE WHEN endswith(s, '{_SHORT}') THEN {base} "
+        f"WHEN endswith(s, 'e') THEN CASE WHEN rlike({base}, '{_M_ABOVE_1}') OR "
+        f"(rlike({base}, '{_M_IS_1}') AND NOT rlike({base}, '{_SHORT_END}')) "
+        f"THEN {one_l.format(base, _cut(2))} ELSE s END "
+        f"ELSE {one_l.format('s', base)} END"
+    )
+    return [mark_y, plural, past, past_tidy, final_y, double, short, bare, f"lower({final_e_ll})"]
 
 
 @cache
 def _stem_sql(words: str) -> str:
     out = words
     for step in _steps():
-        out = f"transform({out}, s -> CASE WHEN length(s) > 2 THEN {step} ELSE s END)"
-    return f"transform({out}, s -> lower(s))"
+        out = f"transform({out}, s -> {step})"
+    return out
 
 
 def stem_all(words: str) -> Column:

@@ -40,6 +40,21 @@ def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFra
         "word", "stem")
 
 
+def word_frequencies(docs: DataFrame) -> DataFrame:
+    """``(word, tf, df)`` of plain words where every row is a whole document.
+
+    Two passes over the text, each counted per word before its exchange. One pass
+    would have to shuffle every distinct word of every document.
+    """
+    tokens = raw_tokens(F.col("text"))
+
+    def counted(of: Column, name: str) -> DataFrame:
+        rows = docs.select(F.explode(of).alias("word")).where("word <> ''")
+        return rows.groupBy("word").agg(F.count("*").alias(name))
+
+    return counted(tokens, "tf").join(counted(F.array_distinct(tokens), "df"), "word")
+
+
 # -- document frequency -------------------------------------------------------
 
 def document_terms(docs: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -91,8 +91,11 @@ def count_documents(spark: SparkSession, source: str, output: str, top_output: s
 
 def score_documents(spark: SparkSession, source: str, output: str, df_list: str,
                     n_docs: int | None = None) -> None:
-    """``id<TAB>term<TAB>score`` for the terms of a ``term<TAB>df`` list."""
+    """``id<TAB>term<TAB>score`` for the terms of a ``term<TAB>df`` list.
+
+    Not sorted: that would shuffle a result that grows with the documents.
+    """
     docs = _documents(spark, source, "stem", False)
     scores = terms.tf_idf(docs, lists.read_term_df(spark, df_list), n_docs)
     shown = scores.select("doc_id", "term", six_decimals(F.col("score")).alias("score"))
-    sinks.write_sorted_tsv(shown, output, "doc_id", "term")
+    sinks.write_tsv(shown, output)

@@ -14,13 +14,13 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small scan out over all cores.
 
     A file with one row group is read by one task however many cores there are.
-    The check is on the number of splits, known from the file listing: below two
-    per core the whole scan is small (under 2 x cores x split size) and one cheap
-    exchange pays. A larger scan is returned as it is, without a shuffle. Rows are
-    dealt by the hash of all their columns: even, repeatable, and without the sort
-    that dealing in turn needs.
+    The check is on the number of splits, known from the file listing: Spark makes
+    more splits than cores only where the scan holds over one full split per core.
+    Such a scan is returned as it is, without a shuffle; below that, one cheap
+    exchange pays. Rows are dealt by the hash of all their columns: even,
+    repeatable, and without the sort that dealing in turn needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    if df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *df.columns)

@@ -123,7 +123,7 @@ def stems(source: str = "vocab", name: str = "stems") -> str:
     steps = _stem_steps()
     for number, step in enumerate(steps):
         cte = name if number == len(steps) - 1 else f"{name}_{number}"
-        guarded = step if step == "lower(s)" else f"CASE WHEN length(s) <= 2 THEN s ELSE {step} END"
+        guarded = f"CASE WHEN length(w) <= 2 THEN s ELSE {step} END"
         ctes.append(f"{cte} AS MATERIALIZED (SELECT w, {guarded} AS s FROM {before})")
         before = cte
     return ", ".join(ctes)
