@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -34,6 +34,11 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return load_table(spark, sf, "documents", "doc_id", "text")
 
 
+def _n_docs(spark: SparkSession, sf: str) -> Column:
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    return terms.document_count(rows, row_per_doc=True)
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.line_scan(_docs(spark, sf))
 
@@ -109,22 +114,22 @@ def doc_id_from_path(spark, sf):
 
 @_query
 def stopword_set(spark, sf):
-    return lists.stopword_set("line", _list_lines(spark, sf))
+    return lists.stopword_set(_list_lines(spark, sf), "line")
 
 
 @_query
 def stopword_set_trim_only(spark, sf):
-    return lists.stopword_set("line", _list_lines(spark, sf), lowercase=False)
+    return lists.stopword_set(_list_lines(spark, sf), "line", lowercase=False)
 
 
 @_query
 def top_word_list(spark, sf):
-    return lists.top_word_set("line", _part_lines(spark, sf))
+    return lists.top_word_set(_part_lines(spark, sf), "line")
 
 
 @_query
 def df_tsv_parse(spark, sf):
-    return lists.parse_term_df("line", _part_lines(spark, sf), F.col("p_partkey"))
+    return lists.parse_term_df(_part_lines(spark, sf), "line", F.col("p_partkey"))
 
 
 @_query
@@ -219,9 +224,8 @@ def pair_key(spark, sf):
 
 @_query
 def tfidf_formula(spark, sf):
-    docs = _docs(spark, sf)
-    totals = terms.word_frequencies(docs)
-    score = text.tfidf_score(F.col("tf"), F.col("df"), terms.document_count(docs, row_per_doc=True))
+    totals = terms.word_frequencies(_docs(spark, sf))
+    score = text.tfidf_score(F.col("tf"), F.col("df"), _n_docs(spark, sf))
     return totals.select("word", "tf", "df", F.round(score, 6).alias("score"))
 
 
@@ -323,6 +327,21 @@ def _as_text(stripes: DataFrame) -> DataFrame:
 _register_distances()
 
 
+@_query
+def cooc_pairs(spark, sf):
+    return cooc.cooc_pairs(_sentences(spark, sf), _top(spark, sf), 2)
+
+
+@_query
+def cooc_pairs_min2(spark, sf):
+    return cooc.cooc_pairs(_sentences(spark, sf), _top(spark, sf), 2, min_len=2)
+
+
+@_query
+def cooc_stripes(spark, sf):
+    return cooc.pairs_from_stripes(cooc.cooc_stripes(_sentences(spark, sf), _top(spark, sf), 2))
+
+
 @_query
 def cooc_pairs_by_window(spark, sf):
     return cooc.cooc_pairs_by_window(_sentences(spark, sf), _top(spark, sf), 2)
@@ -405,8 +424,7 @@ def _tf(spark, sf):
 
 
 def _tf_idf(spark, sf):
-    docs = _docs(spark, sf)
-    return terms.tf_idf(docs, _top_df(spark, sf), terms.document_count(docs, row_per_doc=True))
+    return terms.tf_idf(_docs(spark, sf), _top_df(spark, sf), _n_docs(spark, sf))
 
 
 def _doc_stripes(spark, sf):

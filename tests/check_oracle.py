@@ -25,13 +25,19 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 def differences(spark, con, sf: str, query, sql: str) -> list[str]:
     """What differs between the two results; empty when they hold the same rows."""
-    got = query(spark, sf).toPandas()
-    want = con.execute(sql).df()
+    df = query(spark, sf)
+    result = con.sql(sql)
+    schema = sorted((name, TYPES.get(kind, kind)) for name, kind in df.dtypes)
+    wanted = sorted(zip(result.columns, map(str, result.types)))
+    got, want = df.toPandas(), result.df()
     if sorted(got.columns) != sorted(want.columns):
         return [f"columns {sorted(got.columns)} / {sorted(want.columns)}"]
-    out = []
+    out = [] if schema == wanted else [f"types {schema} / {wanted}"]
     if len(got) != len(want):
         out.append(f"rows {len(got)} / {len(want)}")
     columns = sorted(got.columns)

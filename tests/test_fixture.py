@@ -22,7 +22,7 @@ def sentences(docs):
 @pytest.fixture(scope="module")
 def stop(spark):
     raw = spark.createDataFrame([(w,) for w in fx.STOPWORD_LINES], "value string")
-    return lists.stopword_set("value", raw).persist()
+    return lists.stopword_set(raw).persist()
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +53,7 @@ def test_stopwords(stop):
 
 def test_stopwords_trim_only(spark):
     raw = spark.createDataFrame([("The ",), ("the",), ("\t",)], "value string")
-    kept = lists.stopword_set("value", raw, lowercase=False)
+    kept = lists.stopword_set(raw, lowercase=False)
     assert sorted(r.word for r in kept.collect()) == ["The", "the"]
 
 
@@ -155,8 +155,8 @@ def test_term_df_lines(spark):
     rows = [(0, "ok\t9"), (1, "ok\t3"), (2, "bad\tx"), (3, "one"), (4, "a\t1\t2"), (5, ""),
             (6, "big\t99999999999")]
     raw = spark.createDataFrame(rows, "at int, value string")
-    assert lists.parse_term_df("value", raw, F.col("at")).collect() == [Row(term="ok", df=3)]
-    assert lists.parse_term_df("value", raw).collect() == [Row(term="ok", df=9)]
+    assert lists.parse_term_df(raw, order=F.col("at")).collect() == [Row(term="ok", df=3)]
+    assert lists.parse_term_df(raw).collect() == [Row(term="ok", df=9)]
 
 
 def test_valid_token(spark):

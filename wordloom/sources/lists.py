@@ -37,21 +37,20 @@ def default_stopwords(spark: SparkSession) -> DataFrame:
     return local_table(spark, word=list(DEFAULT_STOPWORDS))
 
 
-def stopword_set(lines: Column | str, source: DataFrame, lowercase: bool = True) -> DataFrame:
+def stopword_set(source: DataFrame, line: str = "value", lowercase: bool = True) -> DataFrame:
     """Distinct ``word`` rows of a list with one entry per line.
 
     Entries are trimmed and lower-cased (only trimmed with ``lowercase=False``);
     blank lines are skipped.
     """
-    word = F.trim(F.regexp_replace(F.col(lines) if isinstance(lines, str) else lines,
-                                   "[\r\n\t]", " "))
+    word = F.btrim(line, F.lit(" \t\r\n"))
     if lowercase:
         word = F.lower(word)
     return source.select(word.alias("word")).where("word <> ''").distinct()
 
 
 def read_stopwords(spark: SparkSession, path: str, lowercase: bool = True) -> DataFrame:
-    return stopword_set("value", spark.read.text(path), lowercase)
+    return stopword_set(spark.read.text(path), "value", lowercase)
 
 
 def words_and_stems() -> Column:
@@ -64,17 +63,16 @@ def with_stems(stopwords: DataFrame) -> DataFrame:
     return stopwords.select(F.explode(words_and_stems()).alias("word")).distinct()
 
 
-def top_word_set(lines: Column | str, source: DataFrame) -> DataFrame:
+def top_word_set(source: DataFrame, line: str = "value") -> DataFrame:
     """Distinct ``word`` rows: the first tab-separated field of each line."""
-    line = F.col(lines) if isinstance(lines, str) else lines
     return source.select(F.split(line, "\t")[0].alias("word")).distinct()
 
 
 def read_top_words(spark: SparkSession, path: str) -> DataFrame:
-    return top_word_set("value", spark.read.text(path))
+    return top_word_set(spark.read.text(path))
 
 
-def parse_term_df(lines: Column | str, source: DataFrame,
+def parse_term_df(source: DataFrame, line: str = "value",
                   order: Column | None = None) -> DataFrame:
     """``(term, df)`` from ``term<TAB>df`` lines, one row per term.
 
@@ -82,7 +80,6 @@ def parse_term_df(lines: Column | str, source: DataFrame,
     anything else is dropped. Of a term's lines the last by ``order`` wins, or the
     one with the largest count when there is no order.
     """
-    line = F.col(lines) if isinstance(lines, str) else lines
     fields = source.select(
         F.split(line, "\t").alias("p"),
         (F.lit(0) if order is None else order).alias("at"),
@@ -99,7 +96,7 @@ def parse_term_df(lines: Column | str, source: DataFrame,
 def read_term_df(spark: SparkSession, path: str) -> DataFrame:
     # Row ids rise with the position in a file, which makes "last" the last line.
     lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    return parse_term_df("value", lines, F.col("at"))
+    return parse_term_df(lines, "value", F.col("at"))
 
 
 def small_rows(df: DataFrame, limit: int = SMALL_LIST) -> list[Row] | None:

@@ -28,7 +28,7 @@ def _top(k: int = 50) -> str:
 
 
 LINES = """lines AS (
-  SELECT doc_id, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line
+  SELECT doc_id, (generate_subscripts(l, 1) - 1)::INTEGER AS line_no, unnest(l) AS line
   FROM (SELECT doc_id, str_split(text, chr(10)) AS l FROM documents))"""
 
 SENTENCES = LINES + """, clean AS (
@@ -36,7 +36,7 @@ SENTENCES = LINES + """, clean AS (
   FROM lines), bare AS (
   SELECT doc_id, line_no, regexp_replace(regexp_replace(line, 'http[^ ]+', '', 'g'), 'www\\.[^ ]+', '', 'g') AS line
   FROM clean), pieces AS (
-  SELECT doc_id, line_no, generate_subscripts(s, 1) - 1 AS sent_no, unnest(s) AS line
+  SELECT doc_id, line_no, (generate_subscripts(s, 1) - 1)::INTEGER AS sent_no, unnest(s) AS line
   FROM (SELECT doc_id, line_no, string_split_regex(line, '[.!?]+') AS s FROM bare)), sentences AS (
   SELECT doc_id, line_no, sent_no, trim(line, chr(32) || chr(9)) AS line
   FROM pieces WHERE trim(line, chr(32) || chr(9)) <> '')"""
@@ -197,14 +197,14 @@ def oracle_sql() -> dict[str, str]:
         # text functions
         "text_lower": "SELECT doc_id, lower(text) AS text FROM documents",
         "letters_only": "SELECT doc_id, regexp_replace(lower(text), '[^a-z ]', ' ', 'g') AS text FROM documents",
-        "token_positions": """SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS word
+        "token_positions": """SELECT doc_id, (generate_subscripts(a, 1) - 1)::INTEGER AS pos, unnest(a) AS word
             FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS a FROM documents)""",
         "clean_entities": """SELECT page_id, replace(replace(replace(html, '&quot;', ' '),
             '&apos;', ' '), '&amp;', ' ') AS html FROM pages""",
         "strip_urls": r"""SELECT page_id, array_to_string(list_transform(str_split(html, chr(10)),
             lambda x: regexp_replace(regexp_replace(x, 'http[^ ]+', '', 'g'), 'www\.[^ ]+', '', 'g')),
             chr(10)) AS html FROM pages""",
-        "sentence_split": _with(LINES) + """SELECT doc_id, line_no, generate_subscripts(s, 1) - 1 AS sent_no,
+        "sentence_split": _with(LINES) + """SELECT doc_id, line_no, (generate_subscripts(s, 1) - 1)::INTEGER AS sent_no,
             unnest(s) AS line FROM (SELECT doc_id, line_no, string_split_regex(line, '[.!?]+') AS s FROM lines)""",
         "clean_lines": _with(LINES) + """SELECT doc_id, line_no, trim(line, chr(32) || chr(9)) AS line
             FROM lines WHERE trim(line, chr(32) || chr(9)) <> ''""",
@@ -232,7 +232,7 @@ def oracle_sql() -> dict[str, str]:
         "df_lookup_join": _with(_tf(200)) + """SELECT doc_id, term, tf, coalesce(df, 1) AS df
             FROM tf LEFT JOIN top_df USING (term)""",
         "neighbour_band_join": _with(STOP, TOK, _counts(), _top(), SENTENCES, _seq(1), _band(2)) + """
-            SELECT w1, w2, j - i AS gap FROM band WHERE j > i""",
+            SELECT w1, w2, (j - i)::INTEGER AS gap FROM band WHERE j > i""",
         # word counts
         "word_count": _with(STOP, TOK, _counts()) + "SELECT * FROM counts",
         "word_count_min3": _with(STOP, TOK, _counts(3)) + "SELECT * FROM counts",
@@ -251,8 +251,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT w1 AS word, {STRIPE} AS stripe FROM summed GROUP BY w1""",
         "cooc_sweep": _with(_cooc(4, 1)) + """SELECT d, w1, w2, count(*) AS n
             FROM band JOIN (SELECT unnest([1, 2, 3, 4]) AS d) ON abs(i - j) <= d GROUP BY d, w1, w2""",
-        "cooc_equivalence": _with(_cooc(2, 2)) + """SELECT count(*) AS n_pairs, 0 AS only_pairs,
-            0 AS only_stripes FROM pairs""",
+        "cooc_equivalence": _with(_cooc(2, 2)) + """SELECT count(*) AS n_pairs,
+            0::BIGINT AS only_pairs, 0::BIGINT AS only_stripes FROM pairs""",
         # document frequency
         "stopword_stem_union": _with(TOK, VOCAB, stems()) + "SELECT w AS word FROM stems UNION SELECT s FROM stems",
         "document_terms": _with(TERMS) + "SELECT * FROM terms",
@@ -274,13 +274,15 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'vocabulary', count(*) FROM voc
             UNION ALL SELECT 'terms', count(*) FROM dfs""",
     }
-    joined = """SELECT doc_id, len(a) AS n_tokens, array_to_string(a, ' ') AS tokens
+    joined = """SELECT doc_id, len(a)::INTEGER AS n_tokens, array_to_string(a, ' ') AS tokens
         FROM (SELECT doc_id, {} AS a FROM documents)"""
     sql["tokenize_find"] = joined.format("regexp_extract_all(lower(text), '[a-z]+')")
     sql["tokenize_split"] = joined.format(
         "list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda t: t <> '')")
     sql["tokenize_ws"] = joined.format(
         "list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z ]', ' ', 'g'), ' +'), lambda t: t <> '')")
+    sql["cooc_pairs"] = sql["cooc_pairs_by_window"]
+    sql["cooc_pairs_min2"] = sql["cooc_stripes"] = _with(_cooc(2, 2)) + "SELECT * FROM pairs"
     for d in (1, 2, 3, 4):
         sql[f"cooc_pairs_d{d}"] = _with(_cooc(d, 1)) + "SELECT * FROM pairs"
         sql[f"cooc_pairs_min2_d{d}"] = _with(_cooc(d, 2)) + "SELECT * FROM pairs"
