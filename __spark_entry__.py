@@ -403,8 +403,7 @@ def document_frequency(spark, sf):
 
 @_query
 def document_frequency_by_line(spark, sf):
-    rows = _lines(spark, sf).withColumnRenamed("line", "text")
-    return terms.document_frequency(rows, _stop(spark))
+    return terms.document_frequency(_text_lines(spark, sf), _stop(spark))
 
 
 @_query
@@ -420,15 +419,19 @@ def top_terms_desc_tie(spark, sf):
 # -- TF-IDF ----------------------------------------------------------------------------------
 
 def _tf(spark, sf):
-    return terms.term_frequency(_docs(spark, sf), _top_df(spark, sf))
+    return terms.term_frequency(_docs(spark, sf), _top_df(spark, sf), row_per_doc=True)
 
 
 def _tf_idf(spark, sf):
-    return terms.tf_idf(_docs(spark, sf), _top_df(spark, sf), _n_docs(spark, sf))
+    return terms.tf_idf(_docs(spark, sf), _top_df(spark, sf), _n_docs(spark, sf), row_per_doc=True)
 
 
 def _doc_stripes(spark, sf):
-    return terms.doc_stripes(_docs(spark, sf), _tf(spark, sf))
+    return terms.doc_stripes_by_row(_docs(spark, sf), _top_df(spark, sf))
+
+
+def _text_lines(spark, sf):
+    return _lines(spark, sf).withColumnRenamed("line", "text")
 
 
 @_query
@@ -436,11 +439,23 @@ def term_frequency(spark, sf):
     return _tf(spark, sf)
 
 
+@_query
+def term_frequency_by_line(spark, sf):
+    return terms.term_frequency(_text_lines(spark, sf), _top_df(spark, sf))
+
+
 @_query
 def tf_idf(spark, sf):
     return _tf_idf(spark, sf).withColumn("score", F.round("score", 6))
 
 
+@_query
+def tf_idf_by_line(spark, sf):
+    rows = _text_lines(spark, sf)
+    scores = terms.tf_idf(rows, _top_df(spark, sf), terms.document_count(rows))
+    return scores.withColumn("score", F.round("score", 6))
+
+
 @_query
 def tf_idf_lines(spark, sf):
     fields = F.concat_ws("\t", "doc_id", "term", text.six_decimals(F.col("score")))
@@ -452,6 +467,13 @@ def doc_stripes(spark, sf):
     return _doc_stripes(spark, sf).select("doc_id", maps.stripe_text(F.col("stripe")).alias("stripe"))
 
 
+@_query
+def doc_stripes_by_line(spark, sf):
+    rows = _text_lines(spark, sf)
+    stripes = terms.doc_stripes(rows, terms.term_frequency(rows, _top_df(spark, sf)))
+    return stripes.select("doc_id", maps.stripe_text(F.col("stripe")).alias("stripe"))
+
+
 @_query
 def doc_stripe_encode(spark, sf):
     return terms.encode_doc_stripes(_doc_stripes(spark, sf))

@@ -119,9 +119,10 @@ def test_top_terms(docs, stop):
         terms.top_terms(df, 8, "up")
 
 
-def test_tf_idf(docs, stop):
+@pytest.mark.parametrize("row_per_doc", [True, False])
+def test_tf_idf(docs, stop, row_per_doc):
     listed = terms.top_terms(terms.document_frequency(docs, stop), 8)
-    rows = terms.tf_idf(docs, listed).orderBy("doc_id", "term").collect()
+    rows = terms.tf_idf(docs, listed, None, row_per_doc).orderBy("doc_id", "term").collect()
     assert [(r.doc_id, r.term, r.tf, round(r.score, 6)) for r in rows] == fx.TF_IDF
     fixed = terms.tf_idf(docs, listed, 4).orderBy("doc_id", "term").collect()
     assert fixed == rows
@@ -143,6 +144,8 @@ def test_doc_stripes(docs, stop, spark):
     listed = terms.top_terms(terms.document_frequency(docs, stop), 8)
     stripes = terms.doc_stripes(docs, terms.term_frequency(docs, listed))
     encoded = dict(terms.encode_doc_stripes(stripes).collect())
+    by_row = terms.encode_doc_stripes(terms.doc_stripes_by_row(docs, listed))
+    assert dict(by_row.collect()) == encoded
     assert encoded == {1: "amp:1|citi:4|time:2", 2: "http:1|ran:1|time:1", 3: "citi:2", 4: ""}
 
 

@@ -89,6 +89,11 @@ def test_tf_idf_shuffles_listed_terms_once(docs, spark):
     text = plan(terms.tf_idf(docs, listed, 10))
     assert exchanges(text) == 1 and text.count("FileScan") == 1
     assert "BroadcastHashJoin" in text
+    text = plan(terms.tf_idf(docs, listed, 10, row_per_doc=True))
+    assert exchanges(text) == 0 and text.count("FileScan") == 1
+    # The stems are worked out once: one expression, with one marking of y.
+    assert text.count("(^|[aeiou])y") == 1
+    assert exchanges(plan(terms.doc_stripes_by_row(docs, listed))) == 0
 
 
 def test_no_query_runs_python_per_row(spark):

@@ -111,28 +111,55 @@ def top_terms(frequencies: DataFrame, k: int = 100, tie: str = "asc") -> DataFra
 
 # -- term frequency and TF-IDF ------------------------------------------------
 
-def term_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False) -> DataFrame:
     """``(doc_id, term, tf)`` of the listed terms.
 
     ``terms`` has a ``term`` column. With up to 1,000 of them a row's words are cut
     down to those that can become one before anything is stemmed, and only listed
-    terms leave the row. A longer list is joined to the counts, which have one row
-    per document and term.
+    terms leave the row. When every row is a whole document (``row_per_doc``) they
+    are also counted in it, and nothing is shuffled. A longer list is joined to the
+    counts, which have one row per document and term.
     """
     listed = terms.select("term").where(valid_token(F.col("term")))
     chosen = small_words(listed)
-    words = raw_tokens(F.col("text"))
+    if chosen is not None and row_per_doc:
+        # Outer, as an inner explode of a column brings in a filter on its size, and
+        # that would be pushed down and count the row's terms over and over.
+        counts = _counted_in_row(docs, chosen).select("doc_id", F.inline_outer("counts"))
+        return counts.where("term is not null")
     if chosen is not None:
-        able = F.filter(words, lambda w: _may_become(w, chosen) & valid_token(w))
-        rows = docs.select("doc_id", able.alias("words"))
-        found = F.filter(stem_all("words"), lambda t: t.isin(chosen))
-        return _per_document(rows.select("doc_id", F.explode(found).alias("term")))
-    rows = docs.select("doc_id", F.filter(words, valid_token).alias("words"))
+        found = F.explode(_listed_stems(chosen)).alias("term")
+        return _per_document(_able_words(docs, chosen).select("doc_id", found))
+    rows = docs.select("doc_id", F.filter(raw_tokens(F.col("text")), valid_token).alias("words"))
     rows = rows.select("doc_id", F.explode(F.filter(stem_all("words"), valid_token)).alias("term"))
     return _per_document(rows).join(listed.distinct(), "term", "left_semi").select(
         "doc_id", "term", "tf")
 
 
+def _able_words(docs: DataFrame, chosen: list[str]) -> DataFrame:
+    able = F.filter(raw_tokens(F.col("text")), lambda w: _may_become(w, chosen) & valid_token(w))
+    return docs.select("doc_id", able.alias("words"))
+
+
+def _listed_stems(chosen: list[str]) -> Column:
+    return F.filter(stem_all("words"), lambda t: t.isin(chosen))
+
+
+def _counted_in_row(docs: DataFrame, chosen: list[str]) -> DataFrame:
+    """``(doc_id, counts)``: per row an array of ``(term, tf)`` in term order.
+
+    In the sorted array of a row's terms, a term's count is the distance from its
+    first place to that of the next term.
+    """
+    rows = _able_words(docs, chosen).select(
+        "doc_id", F.sort_array(_listed_stems(chosen)).alias("found"))
+    rows = rows.select("doc_id", "found", F.array_distinct("found").alias("kinds"))
+    return rows.select("doc_id", F.expr("""
+        transform(kinds, (t, i) -> struct(t AS term,
+            CASE WHEN i + 1 < size(kinds) THEN array_position(found, kinds[i + 1])
+                 ELSE size(found) + 1 END - array_position(found, t) AS tf))""").alias("counts"))
+
+
 def _may_become(word: Column, terms: list[str]) -> Column:
     """Whether a word's first letters allow it to stem to one of the terms.
 
@@ -166,11 +193,13 @@ def document_count(docs: DataFrame, row_per_doc: bool = False) -> Column:
     return docs.agg(count.alias("n_docs")).scalar()
 
 
-def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None = None) -> DataFrame:
+def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None = None,
+           row_per_doc: bool = False) -> DataFrame:
     """``(doc_id, term, tf, df, score)`` of the terms listed in ``frequencies``.
 
     ``n_docs`` is the N of the formula; by default the number of documents. A
-    document without a listed term has no row.
+    document without a listed term has no row. With a short list and every row a
+    whole document (``row_per_doc``) nothing is shuffled.
     """
     listed = frequencies.select("term", "df")
     rows = small_rows(listed)
@@ -178,9 +207,9 @@ def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None
         # Worked out once here, instead of once per use below.
         listed = local_table(docs.sparkSession, term=[r.term for r in rows],
                              df=[r.df for r in rows]) if rows else listed.limit(0)
-    n = document_count(docs) if n_docs is None else n_docs
+    n = document_count(docs, row_per_doc) if n_docs is None else n_docs
     n = n if isinstance(n, Column) else F.lit(n)
-    return score(with_df(term_frequency(docs, listed), listed), n)
+    return score(with_df(term_frequency(docs, listed, row_per_doc), listed), n)
 
 
 def score(counts: DataFrame, n_docs: Column) -> DataFrame:
@@ -199,6 +228,18 @@ def doc_stripes(docs: DataFrame, counts: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(stripe)
 
 
+def doc_stripes_by_row(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """As :func:`doc_stripes` of the listed terms, where a row is a whole document.
+
+    A short list needs no shuffle: each row's map is built in it.
+    """
+    chosen = small_words(terms.select("term").where(valid_token(F.col("term"))))
+    if chosen is None:
+        return doc_stripes(docs, term_frequency(docs, terms))
+    counts = _counted_in_row(docs, chosen)
+    return counts.select("doc_id", F.map_from_entries("counts").alias("stripe"))
+
+
 def encode_doc_stripes(stripes: DataFrame) -> DataFrame:
     """``(doc_id, stripe)`` with the map written as ``term:count|term:count``."""
     return stripes.select("doc_id", encode_stripe(F.col("stripe")).alias("stripe"))

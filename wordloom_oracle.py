@@ -281,6 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda t: t <> '')")
     sql["tokenize_ws"] = joined.format(
         "list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z ]', ' ', 'g'), ' +'), lambda t: t <> '')")
+    for name in ("term_frequency", "tf_idf", "doc_stripes"):
+        sql[f"{name}_by_line"] = sql[name]
     sql["cooc_pairs"] = sql["cooc_pairs_by_window"]
     sql["cooc_pairs_min2"] = sql["cooc_stripes"] = _with(_cooc(2, 2)) + "SELECT * FROM pairs"
     for d in (1, 2, 3, 4):
