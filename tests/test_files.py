@@ -111,5 +111,6 @@ def test_jobs_end_to_end(spark, tmp_path):
         job("document-frequency", source, at("df"), at("top8"), at("stop"), "--k", 8, *extra)
         assert lines_in(at("df")) == sorted(f"{t}\t{n}" for t, n in fx.DF.items())
         assert lines_in(at("top8"))[:5] == ["a\t2", "b\t2", "citi\t2", "time\t2", "ag\t1"]
-    job("tf-idf", source, at("scores"), at("top8"), "--n-docs", 4)
-    assert sorted(lines_in(at("scores"))) == [f"{d}\t{t}\t{s:.6f}" for d, t, _, s in fx.TF_IDF]
+    for extra in ([], ["--whole-files"]):
+        job("tf-idf", source, at("scores"), at("top8"), "--n-docs", 4, *extra)
+        assert sorted(lines_in(at("scores"))) == [f"{d}\t{t}\t{s:.6f}" for d, t, _, s in fx.TF_IDF]

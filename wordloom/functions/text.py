@@ -6,6 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column) -> Column:
+    """A column that is worked out once per row, however its result is used.
+
+    It is an explode of one. Spark folds a plain projection into the filters and
+    expressions above it, and an inner explode of a column brings a filter of its
+    own, so a costly expression would run several times.
+    """
+    return F.explode(F.array(value))
+
+
 def lower(text: Column) -> Column:
     return F.lower(text)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.maps import build_stripe
-from wordloom.functions.text import raw_tokens
+from wordloom.functions.text import once, raw_tokens
 from wordloom.sources.lists import small_words
 
 LINE_KEY = ("doc_id", "line_no", "sent_no")
@@ -25,10 +25,7 @@ def top_word_lines(lines: DataFrame, top: DataFrame, min_len: int = 1) -> DataFr
     chosen = small_words(_listed(top, min_len))
     if chosen is None:
         raise ValueError("the word list is too long to be sent with the tasks")
-    # The explode of one keeps the filter behind it: one pass over the tokens.
-    found = _with_seq(lines, chosen)
-    keep = [c for c in found.columns if c != "seq"]
-    return found.select(*keep, F.explode(F.array("seq")).alias("seq")).where(F.size("seq") > 0)
+    return _with_seq(lines, chosen).where(F.size("seq") > 0)
 
 
 def _listed(top: DataFrame, min_len: int) -> DataFrame:
@@ -38,7 +35,7 @@ def _listed(top: DataFrame, min_len: int) -> DataFrame:
 def _with_seq(lines: DataFrame, chosen: list[str]) -> DataFrame:
     keep = [c for c in lines.columns if c != "line"]
     kept = F.filter(raw_tokens(F.col("line")), lambda t: t.isin(chosen))
-    return lines.select(*keep, kept.alias("seq"))
+    return lines.select(*keep, once(kept).alias("seq"))
 
 
 def top_word_positions(lines: DataFrame, top: DataFrame, min_len: int = 1,
@@ -60,10 +57,7 @@ def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
     chosen = small_words(_listed(top, min_len))
     if chosen is None:
         return _following_by_window(top_word_positions(lines, top, min_len, key), distance, key)
-    # Outer, as an inner explode of a column brings in a filter on its size, and
-    # that would be pushed down and find the line's top words a second time.
-    at = _with_seq(lines, chosen).select("seq", F.posexplode_outer("seq").alias("i", "w1"))
-    at = at.where("w1 is not null")
+    at = _with_seq(lines, chosen).select("seq", F.posexplode("seq").alias("i", "w1"))
     behind = F.slice("seq", F.col("i") + 2, distance)
     return at.select("w1", F.posexplode_outer(behind).alias("at", "w2")).select(
         "w1", "w2", (F.col("at") + 1).alias("gap"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.maps import build_stripe, decoded_count, decoded_key, encode_stripe
 from wordloom.functions.porter import stem_all
-from wordloom.functions.text import raw_tokens, tfidf_score, valid_token
+from wordloom.functions.text import once, raw_tokens, tfidf_score, valid_token
 from wordloom.sources.lists import (
     local_table,
     small_rows,
@@ -24,12 +24,8 @@ def vocabulary(texts: DataFrame, column: str = "text") -> DataFrame:
 
 
 def stem_vocab(words: DataFrame) -> DataFrame:
-    """``(word, stem)`` of distinct words.
-
-    The stem comes out of an explode of one, not of a plain projection: a filter
-    on the stem then stays behind it and the stem is worked out once per word.
-    """
-    return words.select("word", F.explode(stem_all("array(word)")).alias("stem"))
+    """``(word, stem)`` of distinct words."""
+    return words.select("word", once(stem_all("array(word)")[0]).alias("stem"))
 
 
 def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -74,7 +70,7 @@ def document_terms(docs: DataFrame, stopwords: DataFrame) -> DataFrame:
     stop = with_stems(stopwords)
     rows = docs.select("doc_id", F.explode(F.array_distinct(tokens)).alias("word"))
     kept = rows.where("word <> ''").join(stop, "word", "left_anti")
-    terms = kept.select("doc_id", F.explode(stem_all("array(word)")).alias("term"))
+    terms = kept.select("doc_id", once(stem_all("array(word)")[0]).alias("term"))
     # Two tokens of a row may share a stem.
     return terms.where("term <> ''").join(
         stop.withColumnRenamed("word", "term"), "term", "left_anti").select(
@@ -123,10 +119,7 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False)
     listed = terms.select("term").where(valid_token(F.col("term")))
     chosen = small_words(listed)
     if chosen is not None and row_per_doc:
-        # Outer, as an inner explode of a column brings in a filter on its size, and
-        # that would be pushed down and count the row's terms over and over.
-        counts = _counted_in_row(docs, chosen).select("doc_id", F.inline_outer("counts"))
-        return counts.where("term is not null")
+        return _counted_in_row(docs, chosen).select("doc_id", F.inline("counts"))
     if chosen is not None:
         found = F.explode(_listed_stems(chosen)).alias("term")
         return _per_document(_able_words(docs, chosen).select("doc_id", found))
@@ -152,12 +145,12 @@ def _counted_in_row(docs: DataFrame, chosen: list[str]) -> DataFrame:
     first place to that of the next term.
     """
     rows = _able_words(docs, chosen).select(
-        "doc_id", F.sort_array(_listed_stems(chosen)).alias("found"))
+        "doc_id", once(F.sort_array(_listed_stems(chosen))).alias("found"))
     rows = rows.select("doc_id", "found", F.array_distinct("found").alias("kinds"))
-    return rows.select("doc_id", F.expr("""
+    return rows.select("doc_id", once(F.expr("""
         transform(kinds, (t, i) -> struct(t AS term,
             CASE WHEN i + 1 < size(kinds) THEN array_position(found, kinds[i + 1])
-                 ELSE size(found) + 1 END - array_position(found, t) AS tf))""").alias("counts"))
+                 ELSE size(found) + 1 END - array_position(found, t) AS tf))""")).alias("counts"))
 
 
 def _may_become(word: Column, terms: list[str]) -> Column:

@@ -90,12 +90,14 @@ def count_documents(spark: SparkSession, source: str, output: str, top_output: s
 
 
 def score_documents(spark: SparkSession, source: str, output: str, df_list: str,
-                    n_docs: int | None = None) -> None:
+                    n_docs: int | None = None, whole_files: bool = False) -> None:
     """``id<TAB>term<TAB>score`` for the terms of a ``term<TAB>df`` list.
 
-    Not sorted: that would shuffle a result that grows with the documents.
+    Not sorted: that would shuffle a result that grows with the documents. With
+    ``whole_files`` nothing is shuffled; file names must then be distinct, where
+    otherwise files of one name count as one document.
     """
-    docs = _documents(spark, source, "stem", False)
-    scores = terms.tf_idf(docs, lists.read_term_df(spark, df_list), n_docs)
+    docs = _documents(spark, source, "stem", whole_files)
+    scores = terms.tf_idf(docs, lists.read_term_df(spark, df_list), n_docs, whole_files)
     shown = scores.select("doc_id", "term", six_decimals(F.col("score")).alias("score"))
     sinks.write_tsv(shown, output)
