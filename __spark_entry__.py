@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -505,9 +506,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return top_words(spark, "/root/testdata/sf0.001")
 
 
+def _training_data():
+    """The modules with the training-data queries and their SQL, if they are installed."""
+    if importlib.util.find_spec("wordloom.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    import corpus_pipeline
+    from wordloom.llm import queries, sql
+
+    return corpus_pipeline, queries, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    more = _training_data()
+    if more is None:
+        return dict(_QUERIES)
+    pipeline, module, _ = more
+    return {**_QUERIES, **module.queries(), "pipeline": pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return wordloom_oracle.oracle_sql()
+    more = _training_data()
+    own = wordloom_oracle.oracle_sql()
+    if more is None:
+        return own
+    pipeline, _, module = more
+    ours = {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
+    return {**own, **module.oracle_sql(), **ours}
