@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import exact_dedup, jaccard_join, mixing, pieces
+from wordloom.llm import exact_dedup, jaccard_join, mixing, pieces, quality_model
 from wordloom.llm.common import scratch_path
 from wordloom.llm.queries import PIECES
 
 
+def good_enough(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_model.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def one_of_equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return exact_dedup.keep_one(docs)
@@ -35,6 +40,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", good_enough),
     ("exact dedup", one_of_equal_texts),
     ("n-gram Jaccard join", one_of_similar_texts),
     ("mixing sources to target weights", mix_of_sources),

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, saved
+from wordloom.llm.common import join_keyed, saved, ship
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -233,6 +233,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``class_id`` is the smallest id of the group that links connect; ``n_links`` counts
     the other rows whose similarity is ``threshold`` or more.
     """
+    ship(docs.sparkSession)
     shingler = Shingler(*choose_bands(threshold, target_recall), shingle)
     rows = saved(signatures(docs, shingler, doc_id, text))
     some = rows.where("n > 0")

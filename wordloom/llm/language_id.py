@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import saved
+from wordloom.llm.common import saved, ship
 
 TRAIN_ROWS = 20_000
 MAX_WORDS = 100_000
@@ -55,6 +55,7 @@ def count_words(rows: DataFrame) -> DataFrame:
                 found.update((lang, w) for w in LETTERS.findall(text.lower()))
             yield pd.DataFrame([(a, w, n) for (a, w), n in found.items()], columns=["lang", "word", "n"])
 
+    ship(rows.sparkSession)
     schema = "lang string, word string, n long"
     return rows.select("lang", "text").mapInPandas(count, schema).groupBy("lang", "word").agg(
         F.sum("n").alias("n"))
@@ -206,6 +207,7 @@ def fit(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS,
 
 def identify(docs: DataFrame, model: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score)`` per row of ``docs``; nothing is shuffled."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[doc_id].dataType.simpleString()
 

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordloom.llm.common import ship
+
 DROPOUT = 0.1
 VARIANTS = 4
 MARK = "▁"
@@ -354,6 +356,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     """``docs`` with the piece ids of ``text`` as ``out``."""
     if not 0 <= dropout <= 1:
         raise ValueError("dropout is a share")
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
     rows = docs.withColumn("_variant", F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(variants)))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -378,6 +381,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids`` as ``out``; bytes that are no UTF-8 are replaced."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType())])
 

@@ -13,6 +13,7 @@ from wordloom.llm import (
     language_id,
     mixing,
     pieces,
+    quality_model,
     rule_cascade,
     secret_ledger,
     url_templates,
@@ -29,6 +30,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_model.judged(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf, "documents")).drop("th")
 
@@ -88,5 +93,5 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_jaccard_join, op3_source_mixing, op4_language_id, op5_sentencepiece,
+        op1_quality_classifier, op2_jaccard_join, op3_source_mixing, op4_language_id, op5_sentencepiece,
         op6_exact_dedup, op7_warc_fixity, op8_url_filters, op9_secret_scan, op10_quality_rules)}

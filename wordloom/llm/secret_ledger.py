@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import join_keyed, saved, scratch_path
+from wordloom.llm.common import join_keyed, saved, scratch_path, ship
 
 
 @dataclass(frozen=True)
@@ -81,6 +81,7 @@ def compiled(rules: Sequence[SecretRule]) -> list[tuple[str, re.Pattern, int, in
 
 def scan_blobs(blobs: DataFrame, rules: Sequence[SecretRule] = RULES) -> DataFrame:
     """``(blob, rules, findings)`` of ``blobs(blob, text)``."""
+    ship(blobs.sparkSession)
     version = rule_version(rules)
 
     def scan(batches: Iterator) -> Iterator:

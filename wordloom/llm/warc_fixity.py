@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import saved
+from wordloom.llm.common import saved, ship
 
 RANGE_BYTES = 1 << 18
 FANOUT = 16
@@ -134,6 +134,7 @@ def write_archives(records: DataFrame, path: str, compression: str = "gzip") ->
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """``(archive, record_id, start, size, hash, url, page)`` of WARC files, each read by one task."""
+    ship(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
     def parse(batches: Iterator) -> Iterator:
