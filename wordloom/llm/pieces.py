@@ -360,6 +360,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
     rows = docs.withColumn("_variant", F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(variants)))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    names = docs.columns
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np
@@ -374,7 +375,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                 null = pa.array([t is None for t in texts] + [False])
                 ends = pa.array(offsets, mask=null.to_numpy(zero_copy_only=False))
                 ids = pa.ListArray.from_arrays(ends, pa.array(flat, type=pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in docs.columns), ids], [*docs.columns, out])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out])
 
     return rows.mapInArrow(work, schema)
 
@@ -384,6 +385,7 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decod
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType())])
+    names = docs.columns
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -391,7 +393,7 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decod
         for whole in batches:
             for batch in _slices(whole, ids):
                 texts = decode_lists(shared.value, batch.column(ids))
-                yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*docs.columns, out])
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, out])
 
     return docs.mapInArrow(work, schema)
 
