@@ -78,6 +78,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``doc``, so that no further column can clash with it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value worked out once, whatever the body does with it."""
     return F.transform(F.array(value), body)[0]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, saved, without_space
+from wordloom.llm.common import join_keyed, packed, saved, without_space
 
 CAPACITY = 50_000
 CELL_BITS = 20
@@ -124,12 +124,10 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = exact_dedup(docs, doc_id, text).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_digest", F.sha2(normalised(F.col(text)), 256))
-    kept = marked.join(found, F.col(doc_id).eqNullSafe(F.col("_id"))
-                       & (F.col("_digest") == F.col("_sha")), "left_semi")
-    longest = kept.withColumn("_length", F.length(F.coalesce(F.col(text), F.lit(""))))
-    turn = Window.partitionBy(doc_id, "_digest").orderBy(F.desc("_length"))
-    return longest.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").drop(
-        "_turn", "_length", "_digest")
+    found = exact_dedup(docs, doc_id, text).where("kept").select("doc_id", F.col("text_sha256").alias("sha"))
+    words = F.col("doc")[text]
+    marked = packed(docs).select(
+        "doc", F.sha2(normalised(words), 256).alias("digest"), F.length(F.coalesce(words, F.lit(""))).alias("length"))
+    kept = marked.join(found, F.col("doc")[doc_id].eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("sha")), "left_semi")
+    turn = Window.partitionBy(F.col("doc")[doc_id], "digest").orderBy(F.desc("length"))
+    return kept.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("doc.*")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, saved, ship
+from wordloom.llm.common import join_keyed, packed, saved, ship
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -305,9 +305,8 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group: the one with the smallest id."""
     found = jaccard_groups(docs, doc_id, text, **how)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-    marked = docs.withColumn("_text", F.xxhash64(text))
-    kept = marked.join(stays, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")), "left_semi")
-    turn = Window.partitionBy(doc_id, "_text").orderBy(F.lit(1))
-    return kept.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").drop("_turn", "_text")
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "th")
+    marked = packed(docs).withColumn("hash", F.xxhash64(F.col("doc")[text]))
+    kept = marked.join(stays, F.col("doc")[doc_id].eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("th")), "left_semi")
+    turn = Window.partitionBy(F.col("doc")[doc_id], "hash").orderBy(F.lit(1))
+    return kept.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("doc.*")

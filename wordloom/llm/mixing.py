@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import HOT_SHARE, join_keyed, saved, words_of
+from wordloom.llm.common import join_keyed, packed, saved, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -160,11 +160,12 @@ def copies(rows: DataFrame, weights=WEIGHTS, share: float = SHARE,
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           source: str = "source", **how) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
-    key = F.struct(F.col(doc_id), _source_key(F.col(source)), F.size(words_of(F.col(text))).cast("long"))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), _source_key(F.col(source)).alias("key"),
-                       F.size(words_of(F.col(text))).cast("long").alias("size"))
-    chosen = copies(rows, **how).select(
-        F.struct("doc_id", "key", "size").alias("_row"), F.col("copies").cast("int").alias("_n")).distinct()
-    marked = docs.withColumn("_row", key)
-    return marked.join(chosen, marked["_row"].eqNullSafe(chosen["_row"])).where("_n > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_row", "_n", "_copy").select(*docs.columns)
+    def fields(c) -> list[Column]:
+        return [c[doc_id].alias("doc_id"), _source_key(c[source]).alias("key"),
+                F.size(words_of(c[text])).cast("long").alias("size")]
+
+    rows = packed(docs).select("doc", F.struct(*fields(F.col("doc"))).alias("row"))
+    chosen = copies(rows.select("row.*"), **how).select(
+        F.struct("doc_id", "key", "size").alias("chosen"), F.col("copies").cast("int").alias("n")).distinct()
+    taken = rows.join(chosen, F.col("row").eqNullSafe(F.col("chosen"))).where("n > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("n")))).select("doc.*")

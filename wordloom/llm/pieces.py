@@ -358,7 +358,10 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         raise ValueError("dropout is a share")
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
-    rows = docs.withColumn("_variant", F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(variants)))
+    variant = "_variant"
+    while variant in docs.columns:
+        variant += "_"
+    rows = docs.withColumn(variant, F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(variants)))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     names = docs.columns
 
@@ -370,7 +373,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         for whole in batches:
             for batch in _slices(whole, text):
                 texts = batch.column(text).to_pylist()
-                flat, sizes = encoder.encode(texts, batch.column("_variant").to_pylist())
+                flat, sizes = encoder.encode(texts, batch.column(variant).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 null = pa.array([t is None for t in texts] + [False])
                 ends = pa.array(offsets, mask=null.to_numpy(zero_copy_only=False))
@@ -427,7 +430,10 @@ def decode_lists(v: Vocabulary, lists):
 
 def checked(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` as they are; the job stops at a text that its ids do not decode to."""
-    back = decode(docs, vocabulary, ids, "_decoded")
-    same = F.col("_decoded").eqNullSafe(F.col(text))
+    decoded = "_decoded"
+    while decoded in docs.columns:
+        decoded += "_"
+    back = decode(docs, vocabulary, ids, decoded)
+    same = F.col(decoded).eqNullSafe(F.col(text))
     broken = F.raise_error(F.lit("ids do not decode to the text")).cast(docs.schema[ids].dataType)
-    return back.withColumn(ids, F.when(same, F.col(ids)).otherwise(broken)).drop("_decoded")
+    return back.withColumn(ids, F.when(same, F.col(ids)).otherwise(broken)).drop(decoded)

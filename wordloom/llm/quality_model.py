@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import join_keyed, saved, ship
+from wordloom.llm.common import join_keyed, packed, saved, ship
 
 ORDER = 5
 MAX_TRUSTED = 200_000
@@ -365,7 +365,8 @@ def kept(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
          **how) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier keeps."""
     found = judged(docs, labels, doc_id, text, lang, **how).where(~F.col("kept"))
-    gone = found.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("n_chars").alias("_n")).distinct()
-    size = F.length(F.coalesce(F.col(text), F.lit(""))).cast("long")
-    same = (F.col(doc_id).eqNullSafe(F.col("_id")) & (_lang(F.col(lang)) == F.col("_lang")) & (size == F.col("_n")))
-    return docs.join(gone, same, "left_anti")
+    gone = found.select("doc_id", "lang", "n_chars").distinct()
+    doc = F.col("doc")
+    same = (doc[doc_id].eqNullSafe(F.col("doc_id")) & (_lang(doc[lang]) == F.col("lang"))
+            & (F.length(F.coalesce(doc[text], F.lit(""))) == F.col("n_chars")))
+    return packed(docs).join(gone, same, "left_anti").select("doc.*")
