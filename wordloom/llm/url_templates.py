@@ -89,33 +89,34 @@ def segments(path: Column) -> Column:
         F.size(parts) <= DEPTH, parts).otherwise(F.concat(F.slice(parts, 1, DEPTH), deep))
 
 
-def templates(urls: DataFrame, least_share: float = 0.02, least_count: int = 5) -> DataFrame:
-    """``urls(host, path, n, …)`` with its ``template``.
+def plain_segments(path: Column) -> Column:
+    """The segments of a path with what looks like an identifier generalised at once."""
+    return F.transform(segments(path), lambda x: F.when(
+        x.rlike(IDENTIFIER) | x.contains("\n"), WILD).otherwise(x))
 
-    Level by level: a segment stays literal if it does not look like an identifier,
-    occurs ``least_count`` times in its node and makes up ``least_share`` of it.
+
+def templates(shapes: DataFrame, least_share: float = 0.02, least_count: int = 5) -> DataFrame:
+    """``shapes(host, segs, n, …)`` with their ``template``.
+
+    Level by level: a segment stays literal if it occurs ``least_count`` times in its
+    node and makes up ``least_share`` of it. Identifiers have gone before, so the rows
+    are the different shapes of paths; each level is one job over them.
     """
-    keep = urls.columns
-    rows = urls.withColumn("segs", segments(F.col("path"))).withColumn("template", F.lit(""))
+    keep = shapes.columns
+    rows = shapes.withColumn("template", F.lit(""))
     for level in range(DEPTH + 1):
-        seg = F.get("segs", F.lit(level))
-        plain = F.when(seg.rlike(IDENTIFIER) | seg.contains("\n"), WILD).otherwise(seg)
-        rows = saved(rows.withColumn("seg", plain))
+        rows = saved(rows.withColumn("seg", F.get("segs", F.lit(level))))
         deeper = rows.where("seg is not null")
-        counts = saved(deeper.groupBy("host", "template", "seg").agg(F.sum("n").alias("n_seg"),
-                                                                  F.count("*").alias("rows")))
-        if counts.isEmpty():
-            return rows.select(*keep, "template")
-        nodes = saved(counts.groupBy("host", "template").agg(
-            F.sum("n_seg").alias("n_node"), F.sum("rows").alias("rows")))
+        if deeper.isEmpty():
+            break
+        counts = deeper.groupBy("host", "template", "seg").agg(F.sum("n").alias("n_seg"))
+        nodes = counts.groupBy("host", "template").agg(F.sum("n_seg").alias("n_node"))
         rare = (F.col("n_seg") < least_count) | (F.col("n_seg") < least_share * F.col("n_node"))
-        named = join_keyed(counts.withColumnRenamed("rows", "seg_rows"), nodes, ["host", "template"], "rows")
-        step = saved(named.select("host", "template", "seg", F.when(rare & (F.col("seg") != ""), WILD).otherwise(
-            F.col("seg")).alias("step"), F.col("seg_rows").alias("rows")))
-        grown = join_keyed(deeper, step, ["host", "template", "seg"], "rows").withColumn(
+        named = counts.join(nodes, ["host", "template"]).select(
+            "host", "template", "seg", F.when(rare & (F.col("seg") != ""), WILD).otherwise(F.col("seg")).alias("step"))
+        grown = deeper.join(named, ["host", "template", "seg"]).withColumn(
             "template", F.concat_ws("/", "template", "step"))
-        rows = grown.select(*keep, "segs", "template").unionByName(
-            rows.where("seg is null").select(*keep, "segs", "template"))
+        rows = grown.select(*keep, "template").unionByName(rows.where("seg is null").select(*keep, "template"))
     return rows.select(*keep, "template")
 
 
@@ -164,20 +165,15 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     rows = saved(rows.withColumn("fit", let(fit, lambda r: r)).select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled")))
     bad = F.when(F.col("ruled") == BLOCK, 1).when(F.col("ruled") == ALLOW, 0)
-    # One row per different path; a rule depends on host and path alone.
-    paths = saved(rows.groupBy("host", "path", bad.alias("bad")).agg(F.count("*").alias("n")))
-    built = saved(templates(paths))
-    labels = saved(template_labels(built))
+    # One row per different shape of a path and label; the label is that of the rule.
+    shape = plain_segments(F.col("path"))
+    shapes = saved(rows.groupBy("host", shape.alias("segs"), bad.alias("bad")).agg(F.count("*").alias("n")))
+    built = saved(templates(shapes))
     purity = (F.col("good") + strength * prior) / (F.col("good") + F.col("bad") + strength)
-    scored = saved(join_keyed(built.select("host", "path", "template", "n"), _rows_per(
-        built, labels.select("host", "template", purity.alias("purity"))), ["host", "template"], "rows").select(
-        "host", "path", "template", "purity", "n"))
-    judged = join_keyed(rows, scored, ["host", "path"], "n")
+    labels = template_labels(built).select("host", "template", purity.alias("purity"))
+    scored = saved(built.groupBy("host", "segs").agg(F.sum("n").alias("n"), F.first("template").alias("template")).join(
+        labels, ["host", "template"]).select("host", "segs", "n", "template", "purity"))
+    judged = join_keyed(rows.withColumn("segs", shape), scored, ["host", "segs"], "n")
     own = F.when(F.col("purity") < least_purity, BLOCK).otherwise(ALLOW)
     return judged.select("page_id", "host", "path", "rule",
                          F.coalesce("ruled", own).alias("verdict"), "template", "purity")
-
-
-def _rows_per(rows: DataFrame, table: DataFrame) -> DataFrame:
-    counted = rows.groupBy("host", "template").agg(F.count("*").alias("rows"))
-    return saved(table.join(counted, ["host", "template"]))
