@@ -1,0 +1,54 @@
+import zlib
+
+from samples import DOCS, awkward, corpus, empty, prose
+from wordloom.llm import language_id as x
+
+
+def docs(spark, n=300):
+    return spark.createDataFrame(corpus(n, 60), DOCS)
+
+
+def test_held_out_accuracy(spark):
+    split = x.held_out_split(docs(spark))
+    model = x.fit(split.where("not held_out"))
+    got = {r.doc_id: r for r in x.identify(split, model).collect()}
+    apart = [r for r in split.collect() if r.held_out]
+    assert {r.doc_id for r in apart} == {i for i in range(300) if zlib.crc32(str(i).encode()) % 5 == 0}
+    right = sum(got[r.doc_id].lang_pred == r.lang for r in apart)
+    assert right / len(apart) >= 0.98
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_unseen_words_back_off_to_shorter_grams(spark):
+    model = x.Scorer(["a", "b"], [("a", "zug", 5), ("b", "toy", 5)], [
+        *[("a", g, 9) for g in (" ", "z", "u", "g", "zu", "ug")], *[("b", g, 9) for g in (" ", "t", "o", "y", "to", "oy")]], order=3)
+    names, scores = model.start().predict(["zuzu", "toto", "zug toy zug", "x", "42 _", None, ""])
+    assert names[:3] == ["a", "b", "a"] and names[3] in ("a", "b")
+    assert names[4:] == ["und"] * 3 and scores[4:] == [0.0] * 3
+
+
+def test_memory_is_bounded_and_results_do_not_depend_on_it(spark):
+    model = x.fit(docs(spark, 100))
+    texts = [prose("en", 50, i) + f" zq{'abcdefghij'[i % 10] * (i % 7 + 1)}" for i in range(60)]
+    whole = model.start().predict(texts)
+    model.memory = 3
+    assert model.start().predict(texts) == whole
+
+
+def test_language_column_is_no_input(spark):
+    d = docs(spark, 90)
+    model = x.fit(d)
+    one = sorted(x.identify(d, model).collect())
+    other = sorted(x.identify(d.withColumn("lang", d["source"]), model).collect())
+    assert one == other
+
+
+def test_awkward_rows(spark):
+    d = awkward(spark)
+    model = x.fit(d)
+    got = x.identify(d, model).collect()
+    assert len(got) == d.count()
+    assert {r.lang_pred for r in got if r.doc_id in (3, 4, 5)} == {"und"}
+    assert x.identify(empty(spark), model).count() == 0
+    none = x.fit(empty(spark))
+    assert {r.lang_pred for r in x.identify(d, none).collect()} == {"und"}

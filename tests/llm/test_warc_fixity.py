@@ -1,0 +1,73 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from samples import awkward, empty
+from wordloom.llm import warc_fixity as x
+from wordloom.llm.common import scratch_path
+
+PAGES = "page_id long, url string, html string"
+
+
+def pages(spark, n=60):
+    return spark.createDataFrame([(i, f"http://h/{i}", f"<p>é {i}</p>" * (i % 9 + 1)) for i in range(n)], PAGES)
+
+
+def records(df):
+    return x.to_records(df, F.floor(F.col("page_id") / 25), "page_id", "url", "html")
+
+
+def statuses(left, right, **how):
+    got = x.audit(left, right, **how).collect()
+    return {(r.archive, r.record_id): r.status for r in got}, len(got)
+
+
+def test_intact_replicas(spark):
+    found, n = statuses(x.catalogue(records(pages(spark))), x.catalogue(records(pages(spark).repartition(5))), range_bytes=400, fanout=2)
+    assert n == 60 and set(found.values()) == {"intact"}
+
+
+def test_each_kind_of_damage(spark):
+    left = records(pages(spark))
+    damaged = left.where("record_id <> 55").withColumn("record", F.when(
+        F.col("record_id") == 7, F.concat(F.col("record"), F.lit(""))).when(
+        F.col("record_id") == 11, F.regexp_replace("record", "p>é", "q>é")).otherwise(F.col("record")))
+    more = records(spark.createDataFrame([(24 + 1000, "u", "x")], PAGES)).withColumn("archive", F.lit(0).cast("long"))
+    found, n = statuses(x.catalogue(left), x.catalogue(damaged.unionByName(more)), range_bytes=300, fanout=3)
+    assert n == 61
+    assert found[0, 11] == "changed" and found[2, 55] == "missing" and found[0, 1024] == "extra"
+    assert {k[1] for k, v in found.items() if v == "moved"} == {56, 57, 58, 59}
+    assert sum(v == "intact" for v in found.values()) == 60 - 6
+
+
+def test_descent_looks_below_damage_only(spark):
+    left = x.catalogue(records(pages(spark)))
+    right = x.catalogue(records(pages(spark).withColumn("html", F.when(F.col("page_id") == 3, F.reverse("html")).otherwise(F.col("html")))))
+    trees = [x.tree(t, 300, 2) for t in (left, right)]
+    assert x.mismatches(*trees, 2).count() == 1
+    assert x.mismatches(trees[0], trees[0], 2).isEmpty()
+    top = trees[0].groupBy("level").count().orderBy(F.desc("level")).first()
+    assert top["count"] == 1 or trees[0].where("level = %d" % top["level"]).select("archive").distinct().count() == top["count"]
+
+
+def test_files_round_trip(spark):
+    path = scratch_path(spark, "warc")
+    rows = records(pages(spark))
+    x.write_archives(rows, path)
+    back = x.read_archives(spark, path)
+    want = {(str(r.archive), str(r.record_id)): (r.start, r.size, r.hash) for r in x.catalogue(rows).collect()}
+    got = {(r.archive, r.record_id): (r.start, r.size, r.hash) for r in back.collect()}
+    assert got == want
+    page = back.where("record_id = '5'").first()
+    assert (page.url, page.page) == ("http://h/5", "<p>é 5</p>" * 6)
+    one = rows.where("record_id = 5").first().record
+    assert hashlib.sha256(one.encode()).hexdigest() == page.hash
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    recs = lambda d: x.catalogue(x.to_records(d, F.lit(1), "doc_id", "source", "text"))
+    found = x.audit(recs(docs), recs(docs))
+    assert found.count() == docs.count() and found.where("status <> 'intact'").isEmpty()
+    assert x.audit(recs(empty(spark)), recs(empty(spark))).count() == 0
+    assert x.audit(recs(docs), recs(empty(spark))).where("status = 'missing'").count() == docs.count()

@@ -82,11 +82,11 @@ def _discounts(counts: DataFrame) -> DataFrame:
     """``(lang, d1, d2, d3)`` from the counts of counts; fixed values where these do not do."""
     n = [F.count_if(F.col("c") == k) for k in (1, 2, 3, 4)]
     table = counts.groupBy("lang").agg(*[x.alias(f"n{k}") for k, x in enumerate(n, 1)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def d(k: int, otherwise: float) -> Column:
-        value = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
-        fits = (F.col(f"n{k}") > 0) & (F.col("n1") > 0) & (value > 0) & (value < k)
+        value = k - F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}"))
+        fits = (value > 0) & (value < k)
         return F.when(fits, value).otherwise(otherwise).alias(f"d{k}")
 
     return table.select("lang", d(1, 0.5), d(2, 1.0), d(3, 1.5))
@@ -273,7 +273,10 @@ def _parts(langs, texts) -> Iterator[tuple[str, list[int]]]:
 
 
 def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER) -> DataFrame:
-    """``(doc_id, lang, n_chars, log_ppl)`` of ``docs(doc_id, lang, text, block)``; texts not empty."""
+    """``(doc_id, lang, n_chars, log_ppl)`` of ``docs(doc_id, lang, text, block)``; texts not empty.
+
+    The log perplexity is null where the language has no model.
+    """
     keys = Keys(order)
     kind = docs.schema["doc_id"].dataType.simpleString()
     blocks = docs.repartition("block")
@@ -340,8 +343,7 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     n_blocks = max(1, -(-chars // BLOCK_CHARS))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block")
     some = rows.where("text <> ''").select("doc_id", "lang", "text", block)
-    scored = saved(log_perplexity(some, table, order).withColumn(
-        "log_ppl", F.when(~F.isnan("log_ppl"), F.col("log_ppl"))))
+    scored = saved(log_perplexity(some, table, order))
     apart = scored.where("log_ppl is not null").join(
         trusted.where(_fold(F.col("doc_id")) == 0), "doc_id", "left_semi")
     quartile = F.percentile_approx("log_ppl", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
