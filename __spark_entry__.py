@@ -48,6 +48,13 @@ def _sentences(spark: SparkSession, sf: str) -> DataFrame:
     return lines.sentence_corpus(_docs(spark, sf))
 
 
+LONG = 1_200  # more words than a list that travels with the tasks may have
+
+
+def _long_top(spark: SparkSession, sf: str) -> DataFrame:
+    return words.top_words(_counts(spark, sf), LONG)
+
+
 def _stop(spark: SparkSession) -> DataFrame:
     return lists.default_stopwords(spark)
 
@@ -60,6 +67,11 @@ def _top(spark: SparkSession, sf: str) -> DataFrame:
     return words.top_words(_counts(spark, sf), 50)
 
 
+def _listed(spark: SparkSession, top: DataFrame) -> DataFrame:
+    """A short list worked out once, for queries that use it more than once."""
+    return lists.local_table(spark, word=[r.word for r in top.select("word").collect()])
+
+
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return terms.vocabulary(_docs(spark, sf))
 
@@ -78,7 +90,9 @@ def _part_lines(spark: SparkSession, sf: str) -> DataFrame:
     name, size, brand, tab = F.col("p_name"), F.col("p_size"), F.col("p_brand"), F.lit("\t")
     pad = F.lit(" ")
     line = (
-        F.when(size < 20, F.concat(name, tab, size))
+        F.when(size < 10, F.concat(name, tab, size))
+        .when(size < 15, F.concat(name, tab, size, tab))
+        .when(size < 20, F.concat(name, tab, size, tab, tab))
         .when(size < 25, F.concat(pad, name, pad, tab, pad, size, pad))
         .when(size < 30, F.concat(name, tab, brand))
         .when(size < 35, name)
@@ -348,6 +362,22 @@ def cooc_pairs_by_window(spark, sf):
     return cooc.cooc_pairs_by_window(_sentences(spark, sf), _top(spark, sf), 2)
 
 
+@_query
+def cooc_pairs_long_list(spark, sf):
+    return cooc.cooc_pairs(_sentences(spark, sf), _long_top(spark, sf), 2)
+
+
+@_query
+def cooc_stripes_long_list(spark, sf):
+    return _as_text(cooc.cooc_stripes(_sentences(spark, sf), _long_top(spark, sf), 2, keep_empty=True))
+
+
+@_query
+def top_word_lines_long_list(spark, sf):
+    kept = cooc.top_word_lines(_sentences(spark, sf), _long_top(spark, sf))
+    return kept.select("doc_id", "line_no", "sent_no", F.array_join("seq", " ").alias("words"))
+
+
 @_query
 def pairs_preview(spark, sf):
     pairs = cooc.cooc_pairs(_sentences(spark, sf), _top(spark, sf), 1)
@@ -367,7 +397,7 @@ def stripes_keep_empty(spark, sf):
 
 @_query
 def stripe_merge(spark, sf):
-    top = _top(spark, sf)
+    top = _listed(spark, _top(spark, sf))
     near = cooc.cooc_stripes(_sentences(spark, sf), top, 1)
     wide = cooc.cooc_stripes(_sentences(spark, sf), top, 2)
     return _as_text(cooc.merge_stripes(near.unionByName(wide)))
@@ -380,7 +410,7 @@ def cooc_sweep(spark, sf):
 
 @_query
 def cooc_equivalence(spark, sf):
-    top = _top(spark, sf)
+    top = _listed(spark, _top(spark, sf))
     pairs = cooc.cooc_pairs_by_window(_sentences(spark, sf), top, 2, min_len=2)
     return cooc.compare_layouts(pairs, cooc.cooc_stripes(_sentences(spark, sf), top, 2))
 
@@ -402,6 +432,13 @@ def document_frequency(spark, sf):
     return _df(spark, sf)
 
 
+@_query
+def document_frequency_long_list(spark, sf):
+    # The 1,200 commonest words as further stopwords.
+    stop = _stop(spark).unionByName(_long_top(spark, sf).select("word"))
+    return terms.document_frequency(_docs(spark, sf), stop, row_per_doc=True)
+
+
 @_query
 def document_frequency_by_line(spark, sf):
     return terms.document_frequency(_text_lines(spark, sf), _stop(spark))
@@ -440,6 +477,17 @@ def term_frequency(spark, sf):
     return _tf(spark, sf)
 
 
+@_query
+def term_frequency_long_list(spark, sf):
+    return terms.term_frequency(_docs(spark, sf), _top_df(spark, sf, LONG), row_per_doc=True)
+
+
+@_query
+def doc_stripes_long_list(spark, sf):
+    stripes = terms.doc_stripes_by_row(_docs(spark, sf), _top_df(spark, sf, LONG))
+    return stripes.select("doc_id", maps.stripe_text(F.col("stripe")).alias("stripe"))
+
+
 @_query
 def term_frequency_by_line(spark, sf):
     return terms.term_frequency(_text_lines(spark, sf), _top_df(spark, sf))

@@ -25,7 +25,8 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+         "boolean": "BOOLEAN"}
 
 
 def differences(spark, con, sf: str, query, sql: str) -> list[str]:

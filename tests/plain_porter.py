@@ -1,6 +1,15 @@
 """Porter's rules word by word, as the 1980 paper states them. For checks only."""
 
-from wordloom.functions import porter
+# The suffixes of the paper's steps, written down apart from the library's.
+STEP_1A = {"sses": "ss", "ies": "i", "ss": "ss", "s": ""}
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble",
+    "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate",
+    "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous",
+    "aliti": "al", "iviti": "ive", "biliti": "ble", "logi": "log",
+}
+STEP_3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+STEP_4 = ("al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize").split()
 
 
 def _kinds(word):
@@ -40,7 +49,7 @@ def _swap(word, rules, allowed):
 def stem(word):
     if len(word) <= 2:
         return word
-    w = _swap(word, porter.PLURAL_SUFFIXES, lambda b, s: True)
+    w = _swap(word, STEP_1A.items(), lambda b, s: True)
     if w.endswith("eed"):
         w = w[:-1] if _measure(w[:-3]) > 0 else w
     else:
@@ -58,9 +67,9 @@ def stem(word):
                 break
     if w.endswith("y") and _has_vowel(w[:-1]):
         w = w[:-1] + "i"
-    w = _swap(w, porter.DOUBLE_SUFFIXES, lambda b, s: _measure(b) > 0)
-    w = _swap(w, porter.SHORT_SUFFIXES, lambda b, s: _measure(b) > 0)
-    w = _swap(w, [(s, "") for s in porter.BARE_SUFFIXES],
+    w = _swap(w, STEP_2.items(), lambda b, s: _measure(b) > 0)
+    w = _swap(w, STEP_3.items(), lambda b, s: _measure(b) > 0)
+    w = _swap(w, [(s, "") for s in STEP_4],
               lambda b, s: _measure(b) > 1 and (s != "ion" or b.endswith(("s", "t"))))
     if w.endswith("e"):
         m = _measure(w[:-1])

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import wordloom_oracle
 from check_oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = wordloom_oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(entry._QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -17,15 +17,22 @@ from wordloom.functions.maps import build_stripe
 from wordloom.functions.text import once, raw_tokens
 from wordloom.sources.lists import small_words
 
-LINE_KEY = ("doc_id", "line_no", "sent_no")
+# The id of an input row that the long way gives it; no key of the caller's is needed.
+ROW = "_row"
 
 
 def top_word_lines(lines: DataFrame, top: DataFrame, min_len: int = 1) -> DataFrame:
-    """Lines that have top words, with their ``seq`` of them; for short lists only."""
+    """Lines that have top words, with their ``seq`` of them.
+
+    Words of a long list are joined, and each row's put back in order by a row id.
+    """
+    keep = [c for c in lines.columns if c != "line"]
     chosen = small_words(_listed(top, min_len))
-    if chosen is None:
-        raise ValueError("the word list is too long to be sent with the tasks")
-    return _with_seq(lines, chosen).where(F.size("seq") > 0)
+    if chosen is not None:
+        return _with_seq(lines, chosen).where(F.size("seq") > 0)
+    found = F.array_sort(F.collect_list(F.struct("pos", "word")))
+    rows = top_word_positions(lines, top, min_len, tuple(keep)).groupBy(ROW, *keep).agg(found.alias("found"))
+    return rows.select(*keep, F.col("found.word").alias("seq"))
 
 
 def _listed(top: DataFrame, min_len: int) -> DataFrame:
@@ -39,33 +46,40 @@ def _with_seq(lines: DataFrame, chosen: list[str]) -> DataFrame:
 
 
 def top_word_positions(lines: DataFrame, top: DataFrame, min_len: int = 1,
-                       key: tuple[str, ...] = LINE_KEY) -> DataFrame:
-    """``(key…, pos, word)`` of every top word, for lists of any length."""
-    tokens = lines.select(*key, F.posexplode(raw_tokens(F.col("line"))).alias("pos", "word"))
-    return tokens.join(_listed(top, min_len), "word", "left_semi")
+                       keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(_row, keep…, pos, word)`` of every top word, for lists of any length.
+
+    A row's different words are joined, each with its places: a word that a line
+    repeats is shuffled once. The join may split a word that very many lines have.
+    """
+    words = lines.select(F.monotonically_increasing_id().alias(ROW), *keep,
+                         once(raw_tokens(F.col("line"))).alias("tokens"))
+    words = words.select(ROW, *keep, "tokens", F.explode(F.array_distinct("tokens")).alias("word"))
+    places = F.expr("filter(transform(tokens, (t, i) -> if(t = word, i, null)), i -> i is not null)")
+    words = words.where("word <> ''").select(ROW, *keep, "word", places.alias("places"))
+    listed = words.join(_listed(top, min_len).distinct(), "word", "left_semi")
+    return listed.select(ROW, *keep, F.explode("places").alias("pos"), "word")
 
 
-def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
-              key: tuple[str, ...] = LINE_KEY) -> DataFrame:
+def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1) -> DataFrame:
     """``(w1, w2, gap)``: each top word with each one up to ``distance`` behind it.
 
     A word with nothing behind it gives one row with null ``w2`` and ``gap``.
     A list of up to 1,000 words is matched inside the row that holds the line, so
-    nothing is shuffled. A longer one is joined, and each line put back in order
-    by its ``key``, which must then be unique.
+    nothing is shuffled. A longer one is joined, and each row put back in order by
+    an id of its own; the results are the same.
     """
     chosen = small_words(_listed(top, min_len))
     if chosen is None:
-        return _following_by_window(top_word_positions(lines, top, min_len, key), distance, key)
+        return _following_by_window(top_word_positions(lines, top, min_len), distance)
     at = _with_seq(lines, chosen).select("seq", F.posexplode("seq").alias("i", "w1"))
     behind = F.slice("seq", F.col("i") + 2, distance)
     return at.select("w1", F.posexplode_outer(behind).alias("at", "w2")).select(
         "w1", "w2", (F.col("at") + 1).alias("gap"))
 
 
-def _following_by_window(positions: DataFrame, distance: int,
-                         key: tuple[str, ...]) -> DataFrame:
-    in_line = Window.partitionBy(*key).orderBy("pos")
+def _following_by_window(positions: DataFrame, distance: int) -> DataFrame:
+    in_line = Window.partitionBy(ROW).orderBy("pos")
     behind = F.array(*[
         F.struct(F.lead("word", k).over(in_line).alias("w2"), F.lit(k).alias("gap"))
         for k in range(1, distance + 1)
@@ -94,17 +108,16 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(a, b, "gap")
 
 
-def cooc_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 1,
-               key: tuple[str, ...] = LINE_KEY) -> DataFrame:
+def cooc_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 1) -> DataFrame:
     """``(w1, w2, n)``."""
-    return pair_counts(following(lines, top, distance, min_len, key).where("w2 is not null"))
+    return pair_counts(following(lines, top, distance, min_len).where("w2 is not null"))
 
 
 def cooc_pairs_by_window(lines: DataFrame, top: DataFrame, distance: int = 1,
-                         min_len: int = 1, key: tuple[str, ...] = LINE_KEY) -> DataFrame:
+                         min_len: int = 1) -> DataFrame:
     """As :func:`cooc_pairs`, always by the way that long word lists take."""
-    positions = top_word_positions(lines, top, min_len, key)
-    return pair_counts(_following_by_window(positions, distance, key).where("w2 is not null"))
+    positions = top_word_positions(lines, top, min_len)
+    return pair_counts(_following_by_window(positions, distance).where("w2 is not null"))
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -114,13 +127,13 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 
 def cooc_stripes(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 2,
-                 keep_empty: bool = False, key: tuple[str, ...] = LINE_KEY) -> DataFrame:
+                 keep_empty: bool = False) -> DataFrame:
     """``(word, stripe)``: per word a map from neighbour to count.
 
     ``keep_empty`` also gives words that were seen but never had a neighbour; they
     come from the same pass, as the words with nothing behind them.
     """
-    pairs = following(lines, top, distance, min_len, key)
+    pairs = following(lines, top, distance, min_len)
     if not keep_empty:
         pairs = pairs.where("w2 is not null")
     return stripes_from_pairs(pair_counts(pairs))
@@ -146,11 +159,11 @@ def merge_stripes(stripes: DataFrame) -> DataFrame:
     return stripes_from_pairs(cells)
 
 
-def cooc_sweep(lines: DataFrame, top: DataFrame, max_distance: int = 4, min_len: int = 1,
-               key: tuple[str, ...] = LINE_KEY) -> DataFrame:
+def cooc_sweep(lines: DataFrame, top: DataFrame, max_distance: int = 4,
+               min_len: int = 1) -> DataFrame:
     """``(d, w1, w2, n)`` for every distance 1..max in one pass over the text."""
     steps = range(1, max_distance + 1)
-    pairs = following(lines, top, max_distance, min_len, key).where("w2 is not null")
+    pairs = following(lines, top, max_distance, min_len).where("w2 is not null")
     counts = _unordered(pairs).groupBy("a", "b").agg(
         *[F.count_if(F.col("gap") <= d).alias(f"n{d}") for d in steps])
     both = counts.select(F.inline(_mirrored([f"n{d}" for d in steps])))

@@ -39,16 +39,13 @@ def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFra
 def word_frequencies(docs: DataFrame) -> DataFrame:
     """``(word, tf, df)`` of plain words where every row is a whole document.
 
-    Two passes over the text, each counted per word before its exchange. One pass
-    would have to shuffle every distinct word of every document.
+    One pass: in the sorted tokens of a row the first of each run counts for df. Both
+    counts are summed per task before the one exchange.
     """
-    tokens = raw_tokens(F.col("text"))
-
-    def counted(of: Column, name: str) -> DataFrame:
-        rows = docs.select(F.explode(of).alias("word")).where("word <> ''")
-        return rows.groupBy("word").agg(F.count("*").alias(name))
-
-    return counted(tokens, "tf").join(counted(F.array_distinct(tokens), "df"), "word")
+    rows = docs.select(once(F.sort_array(raw_tokens(F.col("text")))).alias("t"))
+    marked = F.expr("transform(t, (w, i) -> struct(w AS word, if(i = 0 or t[i - 1] <> w, 1, 0) AS first))")
+    words = rows.select(F.inline(marked)).where("word <> ''")
+    return words.groupBy("word").agg(F.count("*").alias("tf"), F.sum("first").alias("df"))
 
 
 # -- document frequency -------------------------------------------------------
@@ -68,13 +65,15 @@ def document_terms(docs: DataFrame, stopwords: DataFrame) -> DataFrame:
         terms = _distinct_unless(stem_all("words"), chosen)
         return rows.select("doc_id", F.explode(terms).alias("term"))
     stop = with_stems(stopwords)
-    rows = docs.select("doc_id", F.explode(F.array_distinct(tokens)).alias("word"))
+    # Ids first: next to the explode they would count its rows.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = rows.select("row", "doc_id", F.explode(F.array_distinct(tokens)).alias("word"))
     kept = rows.where("word <> ''").join(stop, "word", "left_anti")
-    terms = kept.select("doc_id", once(stem_all("array(word)")[0]).alias("term"))
+    terms = kept.select("row", "doc_id", once(stem_all("array(word)")[0]).alias("term"))
     # Two tokens of a row may share a stem.
     return terms.where("term <> ''").join(
-        stop.withColumnRenamed("word", "term"), "term", "left_anti").select(
-        "doc_id", "term").distinct()
+        stop.withColumnRenamed("word", "term"), "term", "left_anti").distinct().select(
+        "doc_id", "term")
 
 
 def _distinct_unless(tokens: Column, dropped: list[str]) -> Column:
@@ -123,10 +122,23 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False)
     if chosen is not None:
         found = F.explode(_listed_stems(chosen)).alias("term")
         return _per_document(_able_words(docs, chosen).select("doc_id", found))
-    rows = docs.select("doc_id", F.filter(raw_tokens(F.col("text")), valid_token).alias("words"))
-    rows = rows.select("doc_id", F.explode(F.filter(stem_all("words"), valid_token)).alias("term"))
-    return _per_document(rows).join(listed.distinct(), "term", "left_semi").select(
-        "doc_id", "term", "tf")
+    counts = _listed_in_rows(docs, listed)
+    if row_per_doc:
+        return counts.select("doc_id", "term", "tf")
+    return counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+
+
+def _listed_in_rows(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """``(row, doc_id, term, tf)`` of the terms of a long list, counted in each row.
+
+    Rows have a ``row`` id or get one. Their different terms are joined, not their tokens.
+    """
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
+    rows = docs.select(row, "doc_id", F.filter(raw_tokens(F.col("text")), valid_token).alias("words"))
+    found = F.coalesce(F.sort_array(F.filter(stem_all("words"), valid_token)), F.array().cast("array<string>"))
+    rows = rows.select("row", "doc_id", once(found).alias("found"))
+    rows = rows.select("row", "doc_id", F.inline(F.expr(_RUNS)))
+    return rows.join(listed.distinct(), "term", "left_semi").select("row", "doc_id", "term", "tf")
 
 
 def _able_words(docs: DataFrame, chosen: list[str]) -> DataFrame:
@@ -141,16 +153,20 @@ def _listed_stems(chosen: list[str]) -> Column:
 def _counted_in_row(docs: DataFrame, chosen: list[str]) -> DataFrame:
     """``(doc_id, counts)``: per row an array of ``(term, tf)`` in term order.
 
-    In the sorted array of a row's terms, a term's count is the distance from its
-    first place to that of the next term.
+    In the sorted array of a row's terms, a term's count is the length of its run. A
+    null text has an empty array.
     """
-    rows = _able_words(docs, chosen).select(
-        "doc_id", once(F.sort_array(_listed_stems(chosen))).alias("found"))
-    rows = rows.select("doc_id", "found", F.array_distinct("found").alias("kinds"))
-    return rows.select("doc_id", once(F.expr("""
-        transform(kinds, (t, i) -> struct(t AS term,
-            CASE WHEN i + 1 < size(kinds) THEN array_position(found, kinds[i + 1])
-                 ELSE size(found) + 1 END - array_position(found, t) AS tf))""")).alias("counts"))
+    found = F.coalesce(F.sort_array(_listed_stems(chosen)), F.array().cast("array<string>"))
+    rows = _able_words(docs, chosen).select("doc_id", once(found).alias("found"))
+    return rows.select("doc_id", once(F.expr(_RUNS)).alias("counts"))
+
+
+# ``(term, tf)`` of the sorted array ``found``: each run starts where a place differs
+# from the one before and ends where the next starts.
+_RUNS = """
+    flatten(transform(array(
+        filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i] <> found[i - 1])), s -> transform(slice(s, 1, size(s) - 1), (a, k) ->
+            struct(found[a] AS term, cast(s[k + 1] - a AS bigint) AS tf))))"""
 
 
 def _may_become(word: Column, terms: list[str]) -> Column:
@@ -224,13 +240,20 @@ def doc_stripes(docs: DataFrame, counts: DataFrame) -> DataFrame:
 def doc_stripes_by_row(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """As :func:`doc_stripes` of the listed terms, where a row is a whole document.
 
-    A short list needs no shuffle: each row's map is built in it.
+    One row per input row, also where ids repeat; ``{}`` for null texts. A short list
+    needs no shuffle: each row's map is built in it.
     """
-    chosen = small_words(terms.select("term").where(valid_token(F.col("term"))))
-    if chosen is None:
-        return doc_stripes(docs, term_frequency(docs, terms))
-    counts = _counted_in_row(docs, chosen)
-    return counts.select("doc_id", F.map_from_entries("counts").alias("stripe"))
+    listed = terms.select("term").where(valid_token(F.col("term")))
+    chosen = small_words(listed)
+    if chosen is not None:
+        counts = _counted_in_row(docs, chosen)
+        return counts.select("doc_id", F.map_from_entries("counts").alias("stripe"))
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    counts = _listed_in_rows(rows, listed)
+    none = (F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf"))
+    stripe = build_stripe(F.col("term"), F.col("tf")).alias("stripe")
+    return counts.unionByName(rows.select("row", "doc_id", *none)).groupBy("row", "doc_id").agg(
+        stripe).select("doc_id", "stripe")
 
 
 def encode_doc_stripes(stripes: DataFrame) -> DataFrame:

@@ -33,17 +33,11 @@ def rank_words(spark: SparkSession, counts: str, output: str, k: int = 50) -> No
     sinks.write_single_tsv(ranked, output, F.desc("n"), F.desc("word"))
 
 
-def _corpus_lines(spark: SparkSession, source: str) -> DataFrame:
-    # Only long word lists need the row id, to put a line's words back in order.
-    # It depends on the file and the place in it alone, so a retry gives it again.
-    return read_lines(spark, source).withColumn("row", F.monotonically_increasing_id())
-
-
 def count_pairs(spark: SparkSession, source: str, output: str, top: str, distance: int,
                 min_len: int = 1) -> None:
     """``w1,w2<TAB>n``."""
-    pairs = cooc.cooc_pairs(_corpus_lines(spark, source), lists.read_top_words(spark, top),
-                            distance, min_len, key=("row",))
+    pairs = cooc.cooc_pairs(read_lines(spark, source), lists.read_top_words(spark, top),
+                            distance, min_len)
     keyed = pairs.select(pair_key(F.col("w1"), F.col("w2")).alias("pair"), "n")
     sinks.write_sorted_tsv(keyed, output, "pair")
 
@@ -51,8 +45,8 @@ def count_pairs(spark: SparkSession, source: str, output: str, top: str, distanc
 def count_stripes(spark: SparkSession, source: str, output: str, top: str, distance: int,
                   min_len: int = 2, keep_empty: bool = False) -> None:
     """``word<TAB>{w=n, …}``."""
-    stripes = cooc.cooc_stripes(_corpus_lines(spark, source), lists.read_top_words(spark, top),
-                                distance, min_len, keep_empty, key=("row",))
+    stripes = cooc.cooc_stripes(read_lines(spark, source), lists.read_top_words(spark, top),
+                                distance, min_len, keep_empty)
     shown = stripes.select("word", stripe_text(F.col("stripe")).alias("stripe"))
     sinks.write_sorted_tsv(shown, output, "word")
 
@@ -60,8 +54,8 @@ def count_stripes(spark: SparkSession, source: str, output: str, top: str, dista
 def sweep_pairs(spark: SparkSession, source: str, output: str, top: str,
                 max_distance: int = 4, min_len: int = 1) -> None:
     """``d<TAB>w1,w2<TAB>n`` for every distance up to the given one, in one pass."""
-    swept = cooc.cooc_sweep(_corpus_lines(spark, source), lists.read_top_words(spark, top),
-                            max_distance, min_len, key=("row",))
+    swept = cooc.cooc_sweep(read_lines(spark, source), lists.read_top_words(spark, top),
+                            max_distance, min_len)
     keyed = swept.select("d", pair_key(F.col("w1"), F.col("w2")).alias("pair"), "n")
     sinks.write_sorted_tsv(keyed, output, "d", "pair")
 

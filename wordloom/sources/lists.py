@@ -76,12 +76,12 @@ def parse_term_df(source: DataFrame, line: str = "value",
                   order: Column | None = None) -> DataFrame:
     """``(term, df)`` from ``term<TAB>df`` lines, one row per term.
 
-    A line must have exactly two fields and a 32-bit integer as the second;
-    anything else is dropped. Of a term's lines the last by ``order`` wins, or the
+    A line must have exactly two fields, empty ones at its end not counted, and a
+    32-bit integer as the second; anything else is dropped. Of a term's lines the last by ``order`` wins, or the
     one with the largest count when there is no order.
     """
     fields = source.select(
-        F.split(line, "\t").alias("p"),
+        F.split(F.rtrim(F.col(line), F.lit("\t")), "\t").alias("p"),
         (F.lit(0) if order is None else order).alias("at"),
     )
     rows = fields.where(F.size("p") == 2).select(
@@ -94,8 +94,9 @@ def parse_term_df(source: DataFrame, line: str = "value",
 
 
 def read_term_df(spark: SparkSession, path: str) -> DataFrame:
-    # Row ids rise with the position in a file, which makes "last" the last line.
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+    # Files in the order of their names; row ids rise with the position in a file.
+    lines = spark.read.text(path).withColumn(
+        "at", F.struct("_metadata.file_path", F.monotonically_increasing_id()))
     return parse_term_df(lines, "value", F.col("at"))
 
 

@@ -25,17 +25,12 @@ def write_single_tsv(df: DataFrame, path: str, *order: Column | str,
                      max_rows: int = 1_000_000) -> None:
     """One sorted TSV file, for results known to be small such as a top-k.
 
-    The size is checked; a result above ``max_rows`` is written as sorted part
-    files instead of being squeezed through one task.
+    The size is checked first; a result above ``max_rows`` is refused, as it belongs
+    into sorted part files (:func:`write_sorted_tsv`).
     """
-    kept = df.persist()
-    try:
-        if kept.limit(max_rows + 1).count() <= max_rows:
-            _tsv(kept.coalesce(1).sortWithinPartitions(*order)).write.mode("overwrite").text(path)
-        else:
-            write_sorted_tsv(kept, path, *order)
-    finally:
-        kept.unpersist()
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows for a single file")
+    _tsv(df.coalesce(1).sortWithinPartitions(*order)).write.mode("overwrite").text(path)
 
 
 def hand_over(df: DataFrame, path: str) -> DataFrame:

@@ -11,11 +11,16 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, "\\.[^.]+$", "")
 
 
+def _decoded(name: Column) -> Column:
+    """A file's own name: Spark gives it percent-encoded, with ``+`` as it is."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def _doc_id(kind: str) -> Column:
     if kind == "path":
-        return F.col("_metadata.file_path")
+        return _decoded(F.col("_metadata.file_path"))
     if kind == "stem":
-        return file_stem(F.col("_metadata.file_name"))
+        return file_stem(_decoded(F.col("_metadata.file_name")))
     raise ValueError(f"doc id is 'path' or 'stem', not {kind!r}")
 
 

@@ -6,7 +6,6 @@ arrays and suffix tests.
 
 from __future__ import annotations
 
-from wordloom.functions import porter
 from wordloom.sources.lists import DEFAULT_STOPWORDS
 
 STOP = "stop(word) AS (VALUES " + ", ".join(f"('{w}')" for w in DEFAULT_STOPWORDS) + ")"
@@ -72,6 +71,18 @@ STRIPE = "'{' || string_agg(w2 || '=' || n, ', ' ORDER BY w2) || '}'"
 
 # -- stems: one regular expression per rule, a CTE per step ---------------------
 
+# The rules of the published algorithm, ``suffix>replacement`` in its order.
+_STEP_2 = """ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e
+    ousli>ous ization>ize ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al
+    iviti>ive biliti>ble logi>log"""
+_STEP_3 = "icate>ic ative> alize>al iciti>ic ical>ic ful> ness>"
+_STEP_4 = "al> ance> ence> er> ic> able> ible> ant> ement> ment> ent> ion> ou> ism> ate> iti> ous> ive> ize>"
+
+
+def _step(rules: str) -> list[tuple[str, str]]:
+    return [tuple(rule.split(">")) for rule in rules.split()]
+
+
 _V, _C = "[aeiouy]", "[^aeiouy]"
 _M0, _M1 = f"^{_C}*{_V}+{_C}", f"^{_C}*{_V}+{_C}+{_V}+{_C}"
 _ONE = f"^{_C}*{_V}+{_C}+{_V}*$"
@@ -106,9 +117,9 @@ def _stem_steps() -> list[str]:
         f"CASE WHEN s[-2] IN ('l', 's', 'z') THEN {less} ELSE s[:-3] END "
         f"WHEN {_m(less, _ONE)} AND {_m(less, _O)} THEN {less} || 'e' ELSE {less} END",
         f"regexp_replace(s, '^(.*{_V}.*)[yY]$', '\\1i')",
-        _rules(porter.DOUBLE_SUFFIXES, _M0),
-        _rules(porter.SHORT_SUFFIXES, _M0),
-        _rules([(x, "") for x in porter.BARE_SUFFIXES], _M1,
+        _rules(_step(_STEP_2), _M0),
+        _rules(_step(_STEP_3), _M0),
+        _rules(_step(_STEP_4), _M1,
                lambda x: "[st]" if x == "ion" else ""),
         f"CASE WHEN s LIKE '%e' AND ({_m(less, _M1)} OR ({_m(less, _ONE)} AND NOT {_m(less, _O)})) "
         f"THEN {less} ELSE s END",
@@ -154,6 +165,12 @@ TF_IDF = _tf(100) + """, scored AS (
   SELECT doc_id, term, tf, df, tf * ln((SELECT count(*) FROM documents)::DOUBLE / df + 1) AS score
   FROM tf JOIN top_df USING (term))"""
 
+LONG = 1200
+LONG_STOP = """base(word) AS (VALUES """ + ", ".join(f"('{w}')" for w in DEFAULT_STOPWORDS) + """),
+stop AS (SELECT word FROM base UNION SELECT word FROM (
+  SELECT word, count(*) AS n FROM tok WHERE word NOT IN (SELECT word FROM base)
+  GROUP BY word ORDER BY n DESC, word DESC LIMIT 1200))"""
+
 ENCODED = _tf(100) + """, encoded AS (
   SELECT d.doc_id, coalesce(e.stripe, '') AS stripe FROM documents d LEFT JOIN (
     SELECT doc_id, string_agg(term || ':' || tf, '|' ORDER BY term) AS stripe
@@ -162,7 +179,9 @@ ENCODED = _tf(100) + """, encoded AS (
 # Lines of a term<TAB>count file made from the part table, many of them malformed.
 PART_LINES = """part_lines AS (
   SELECT p_partkey, CASE
-    WHEN p_size < 20 THEN p_name || chr(9) || p_size
+    WHEN p_size < 10 THEN p_name || chr(9) || p_size
+    WHEN p_size < 15 THEN p_name || chr(9) || p_size || chr(9)
+    WHEN p_size < 20 THEN p_name || chr(9) || p_size || chr(9) || chr(9)
     WHEN p_size < 25 THEN ' ' || p_name || ' ' || chr(9) || ' ' || p_size || ' '
     WHEN p_size < 30 THEN p_name || chr(9) || p_brand
     WHEN p_size < 35 THEN p_name
@@ -186,7 +205,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE trim(w) <> ''""",
         "top_word_list": _with(PART_LINES) + "SELECT DISTINCT split_part(line, chr(9), 1) AS word FROM part_lines",
         "df_tsv_parse": _with(PART_LINES) + """, f AS (
-            SELECT p_partkey, str_split(line, chr(9)) AS p FROM part_lines), g AS (
+            SELECT p_partkey, str_split(rtrim(line, chr(9)), chr(9)) AS p FROM part_lines), g AS (
             SELECT p_partkey, trim(p[1]) AS term, TRY_CAST(trim(p[2]) AS INTEGER) AS df FROM f
             WHERE len(p) = 2)
             SELECT term, max_by(df, p_partkey)::BIGINT AS df FROM g WHERE df IS NOT NULL GROUP BY term""",
@@ -231,8 +250,12 @@ def oracle_sql() -> dict[str, str]:
             FROM seq GROUP BY doc_id, line_no, sent_no""",
         "df_lookup_join": _with(_tf(200)) + """SELECT doc_id, term, tf, coalesce(df, 1) AS df
             FROM tf LEFT JOIN top_df USING (term)""",
-        "neighbour_band_join": _with(STOP, TOK, _counts(), _top(), SENTENCES, _seq(1), _band(2)) + """
-            SELECT w1, w2, (j - i)::INTEGER AS gap FROM band WHERE j > i""",
+        "neighbour_band_join": _with(STOP, TOK, _counts(), _top(), SENTENCES, _seq(1).replace(
+            "seq AS (", "seq AS MATERIALIZED (")) + """, ahead AS (
+            SELECT word AS w1, lead(word, 1) OVER w AS a1, lead(word, 2) OVER w AS a2 FROM seq
+            WINDOW w AS (PARTITION BY doc_id, line_no, sent_no ORDER BY i))
+            SELECT w1, a1 AS w2, 1 AS gap FROM ahead WHERE a1 IS NOT NULL
+            UNION ALL SELECT w1, a2, 2 FROM ahead WHERE a2 IS NOT NULL""",
         # word counts
         "word_count": _with(STOP, TOK, _counts()) + "SELECT * FROM counts",
         "word_count_min3": _with(STOP, TOK, _counts(3)) + "SELECT * FROM counts",
@@ -274,6 +297,16 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'vocabulary', count(*) FROM voc
             UNION ALL SELECT 'terms', count(*) FROM dfs""",
     }
+    sql["cooc_pairs_long_list"] = _with(_cooc(2, 1, k=LONG)) + "SELECT * FROM pairs"
+    sql["cooc_stripes_long_list"] = _with(_cooc(2, 2, k=LONG)) + f"""
+        SELECT word, coalesce(stripe, '{{}}') AS stripe FROM (SELECT DISTINCT word FROM seq) LEFT JOIN (
+          SELECT w1 AS word, {STRIPE} AS stripe FROM pairs GROUP BY w1) USING (word)"""
+    sql["top_word_lines_long_list"] = sql["top_word_semi_join"].replace("LIMIT 50", f"LIMIT {LONG}")
+    sql["document_frequency_long_list"] = _with(DF.replace(STOP + ", " + TOK, TOK + ", " + LONG_STOP)) + "SELECT * FROM dfs"
+    sql["term_frequency_long_list"] = _with(_tf(LONG)) + "SELECT * FROM tf"
+    sql["doc_stripes_long_list"] = _with(_tf(LONG)) + """SELECT d.doc_id, '{' || coalesce(stripe, '') || '}' AS stripe
+        FROM documents d LEFT JOIN (SELECT doc_id, string_agg(term || '=' || tf, ', ' ORDER BY term) AS stripe
+          FROM tf GROUP BY doc_id) e USING (doc_id)"""
     joined = """SELECT doc_id, len(a)::INTEGER AS n_tokens, array_to_string(a, ' ') AS tokens
         FROM (SELECT doc_id, {} AS a FROM documents)"""
     sql["tokenize_find"] = joined.format("regexp_extract_all(lower(text), '[a-z]+')")
