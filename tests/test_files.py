@@ -74,8 +74,10 @@ def test_sinks_replace_and_sort(spark, tmp_path):
     assert lines_in(out) == ["a\t1", "b\t2", "c\t"]
     sinks.write_single_tsv(df.repartition(3), str(out), F.desc("k"))
     assert len(list(out.glob("part-*"))) == 1 and lines_in(out) == ["c\t", "b\t2", "a\t1"]
-    sinks.write_single_tsv(df.repartition(3), str(out), "k", max_rows=2)
-    assert lines_in(out) == ["a\t1", "b\t2", "c\t"]
+    # A result that is too large is refused, and what lies there stays.
+    with pytest.raises(ValueError):
+        sinks.write_single_tsv(df.repartition(3), str(out), "k", max_rows=2)
+    assert lines_in(out) == ["c\t", "b\t2", "a\t1"]
     assert sorted(sinks.hand_over(df, str(tmp_path / "h")).collect()[:1])
 
 

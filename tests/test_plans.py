@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from wordloom.operators import cooc, lines, terms, words
+from wordloom.session import widths
 from wordloom.sources import lists
 from wordloom.sources.tables import spread
 
@@ -97,7 +98,7 @@ def test_tf_idf_shuffles_listed_terms_once(docs, spark):
 
 
 def test_no_query_runs_python_per_row(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry._QUERIES.items():
         text = plan(query(spark, SF))
         assert not re.search("EvalPython|InPandas|InArrow|MapPartitions", text), name
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
@@ -112,3 +113,25 @@ def test_spread_leaves_wide_scans_alone(spark, docs):
 def test_top_words_of_a_line_are_found_once(docs, top):
     text = plan(cooc.top_word_lines(lines.sentence_corpus(docs), top))
     assert text.count("INSET") == 1
+
+
+def test_formula_counts_in_one_pass(docs):
+    text = plan(terms.word_frequencies(docs))
+    assert exchanges(text) == 1 and text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_spread_deals_out_equal_rows_evenly(spark, tmp_path):
+    path = str(tmp_path / "hot.parquet")
+    spark.range(8_000, numPartitions=1).selectExpr("'one hot text' as text").write.parquet(path)
+    dealt = spread(spark.read.parquet(path))
+    sizes = [len(x) for x in dealt.rdd.glom().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2_000
+    many = spark.read.parquet(path).repartition(4)
+    assert spread(many) is many
+
+
+def test_widths_follow_the_input():
+    assert widths(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    large = widths(100 << 40)
+    assert int(large["spark.sql.shuffle.partitions"]) == 819_200
+    assert large["spark.sql.files.maxPartitionBytes"] == str(256 << 20)

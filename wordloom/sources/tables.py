@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def load_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -10,17 +11,25 @@ def load_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
     return spread(df.select(*columns) if columns else df)
 
 
+# A scan is dealt out anew only below this size, whatever the number of cores.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small scan out over all cores.
 
-    A file with one row group is read by one task however many cores there are.
-    The check is on the number of splits, known from the file listing: Spark makes
-    more splits than cores only where the scan holds over one full split per core.
-    Such a scan is returned as it is, without a shuffle; below that, one cheap
-    exchange pays. Rows are dealt by the hash of all their columns: even,
-    repeatable, and without the sort that dealing in turn needs.
+    A file with one row group is read by one task however many cores there are. The
+    rows are moved only where the scan has splits for less than a quarter of the
+    cores and the files are small; any larger scan is returned as it is, without a
+    shuffle. Rows are dealt by their place in the scan: even, also where many rows are
+    alike, repeatable, and without the sort that dealing in turn needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > cores:
+    if df.rdd.getNumPartitions() * 4 > cores or _scan_bytes(df) > SPREAD_BYTES:
         return df
-    return df.repartition(cores, *df.columns)
+    return df.repartition(cores, F.monotonically_increasing_id())
+
+
+def _scan_bytes(df: DataFrame) -> int:
+    """The planner's estimate for the scan, from the file listing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
