@@ -134,10 +134,9 @@ def _listed_in_rows(docs: DataFrame, listed: DataFrame) -> DataFrame:
     Rows have a ``row`` id or get one. Their different terms are joined, not their tokens.
     """
     row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
-    rows = docs.select(row, "doc_id", F.filter(raw_tokens(F.col("text")), valid_token).alias("words"))
-    found = F.coalesce(F.sort_array(F.filter(stem_all("words"), valid_token)), F.array().cast("array<string>"))
-    rows = rows.select("row", "doc_id", once(found).alias("found"))
-    rows = rows.select("row", "doc_id", F.inline(F.expr(_RUNS)))
+    words = F.filter(raw_tokens(F.col("text")), valid_token).alias("words")
+    rows = _stem_counts(docs.select(row, "doc_id", words), valid_token)
+    rows = rows.select("row", "doc_id", F.inline("counts"))
     return rows.join(listed.distinct(), "term", "left_semi").select("row", "doc_id", "term", "tf")
 
 
@@ -151,22 +150,41 @@ def _listed_stems(chosen: list[str]) -> Column:
 
 
 def _counted_in_row(docs: DataFrame, chosen: list[str]) -> DataFrame:
-    """``(doc_id, counts)``: per row an array of ``(term, tf)`` in term order.
+    """``(doc_id, counts)``: per row an array of ``(term, tf)`` in term order."""
+    return _stem_counts(_able_words(docs, chosen), lambda t: t.isin(chosen))
 
-    In the sorted array of a row's terms, a term's count is the length of its run. A
-    null text has an empty array.
+
+def _stem_counts(rows: DataFrame, wanted) -> DataFrame:
+    """``rows(…, words)`` with ``counts`` of the ``wanted`` stems of its words.
+
+    A row's words are sorted and counted by the lengths of their runs, so each
+    different word is stemmed once; the counts of one stem are then summed the same
+    way. A null text has an empty array.
     """
-    found = F.coalesce(F.sort_array(_listed_stems(chosen)), F.array().cast("array<string>"))
-    rows = _able_words(docs, chosen).select("doc_id", once(found).alias("found"))
-    return rows.select("doc_id", once(F.expr(_RUNS)).alias("counts"))
+    keep = [c for c in rows.columns if c != "words"]
+    words = F.coalesce(F.sort_array("words"), F.array().cast("array<string>"))
+    rows = rows.select(*keep, once(words).alias("found"))
+    rows = rows.select(*keep, once(F.expr(_RUNS)).alias("runs"))
+    rows = rows.select(*keep, "runs", F.col("runs.term").alias("words"))
+    rows = rows.select(*keep, "runs", once(stem_all("words")).alias("stems"))
+    stems = F.zip_with("stems", "runs", lambda s, r: F.struct(s.alias("term"), r["tf"].alias("tf")))
+    rows = rows.select(*keep, once(F.sort_array(F.filter(stems, lambda x: wanted(x["term"])))).alias("found"))
+    return rows.select(*keep, once(F.expr(_SUMS)).alias("counts"))
 
 
 # ``(term, tf)`` of the sorted array ``found``: each run starts where a place differs
 # from the one before and ends where the next starts.
 _RUNS = """
     flatten(transform(array(
-        filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i] <> found[i - 1])), s -> transform(slice(s, 1, size(s) - 1), (a, k) ->
+        filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i] <> found[i - 1])), s ->
+        transform(slice(s, 1, size(s) - 1), (a, k) ->
             struct(found[a] AS term, cast(s[k + 1] - a AS bigint) AS tf))))"""
+# The same where ``found`` holds ``(term, tf)``: the sum over each run of a term.
+_SUMS = """
+    flatten(transform(array(
+        filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i].term <> found[i - 1].term)), s ->
+        transform(slice(s, 1, size(s) - 1), (a, k) -> struct(found[a].term AS term,
+            aggregate(slice(found, a + 1, s[k + 1] - a), 0L, (n, x) -> n + x.tf) AS tf))))"""
 
 
 def _may_become(word: Column, terms: list[str]) -> Column:
