@@ -1,6 +1,6 @@
 """Quality classifier: perplexity under an n-gram model of trusted text. [operator 1]
 
-The model is an interpolated modified Kneser-Ney model of characters, order 5, one per
+The model is an interpolated modified Kneser-Ney model of characters, order 4, one per
 language. Trusted are the documents whose label says so; four fifths of them, by a hash
 of the id, are counted, and the rest show what perplexity trusted text has that the
 model has not seen. At most about ``MAX_TRUSTED`` labelled documents are counted, the
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import join_keyed, packed, saved, ship
 
-ORDER = 5
+ORDER = 4
 MAX_TRUSTED = 200_000
 # A language has a model from so many documents on, so models are MAX_TRUSTED / 20 at most.
 MIN_TRUSTED = 20
