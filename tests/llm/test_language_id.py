@@ -27,6 +27,17 @@ def test_unseen_words_back_off_to_shorter_grams(spark):
     assert names[4:] == ["und"] * 3 and scores[4:] == [0.0] * 3
 
 
+def test_grams_beside_plain_code(spark):
+    words = spark.createDataFrame([("a", "abba", 2), ("a", "b", 1), ("b", "é", 3)], "lang string, word string, n long")
+    want = {}
+    for lang, word, n in words.collect():
+        w = f" {word} "
+        for k in range(1, 4):
+            for i in range(len(w) - k + 1):
+                want[lang, w[i:i + k]] = want.get((lang, w[i:i + k]), 0) + n
+    assert {(r.lang, r.gram): r.n for r in x.count_grams(words, 3).collect()} == want
+
+
 def test_memory_is_bounded_and_results_do_not_depend_on_it(spark):
     model = x.fit(docs(spark, 100))
     texts = [prose("en", 50, i) + f" zq{'abcdefghij'[i % 10] * (i % 7 + 1)}" for i in range(60)]

@@ -64,11 +64,13 @@ def count_words(rows: DataFrame) -> DataFrame:
 def count_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
     """``(lang, gram, n)`` of the n-grams of orders 1 to ``order``, word ends marked by a blank."""
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    pieces = F.flatten(F.array(*[
-        F.when(F.length(padded) >= k, F.transform(
-            F.sequence(F.lit(1), F.length(padded) - (k - 1)),
-            lambda i, k=k: F.substring(padded, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-        for k in range(1, order + 1)]))
+
+    def of_order(k: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(padded) - (k - 1))
+        grams = F.transform(starts, lambda i: F.substring(padded, i, F.lit(k)))
+        return F.when(F.length(padded) >= k, grams).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.flatten(F.array(*map(of_order, range(1, order + 1))))
     return words.select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
