@@ -1,7 +1,9 @@
+import hashlib
 import re
 
-from samples import awkward, empty
+from samples import DOCS, awkward, empty
 from wordloom.llm import secret_ledger as x
+from wordloom.llm.queries import op9_secret_scan
 
 # Fixed values of the contract, as they are worded there.
 BASE = [
@@ -47,6 +49,16 @@ def test_base_spans_beside_plain_code(spark):
     assert {"pem", "jwt", "url_login"} <= kinds
 
 
+def test_digests_of_the_query(spark, tmp_path):
+    rows = [(i, t, "en", "a") for i, t in enumerate(TEXTS)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    for r in op9_secret_scan(spark, str(tmp_path)).collect():
+        want = brute(TEXTS[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex")]
+        assert [s for s in r.spans.split(",") if s.split(":")[0] in ("assign", "access", "hex")] == want
+
+
 def test_only_unseen_blobs_are_scanned(spark):
     ledger = x.fresh_ledger(spark)
     x.scan(frame(spark, TEXTS), ledger).count()

@@ -81,8 +81,11 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     line = lambda f: F.array_join(F.transform(f, lambda x: F.concat_ws(
         ":", x["kind"], x["start"], x["end"])), ",")
     of_base = F.filter("findings", lambda x: x["kind"].isin(base))
-    counts = [F.size(F.filter("findings", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
-    return found.select(F.col("path").alias("doc_id"), *counts,
+
+    def number(kind: str):
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("path").alias("doc_id"), *map(number, base),
                         F.sha2(line(of_base), 256).alias("base_sha256"), line(F.col("findings")).alias("spans"))
 
 
