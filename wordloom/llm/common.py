@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # The white space of the contracts, [\x20\x09-\x0D].
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -58,6 +59,25 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def without(docs: DataFrame, dropped: DataFrame, doc_id: str, digest) -> DataFrame:
+    """The rows of ``docs`` whose ``(id, digest)`` is not in ``dropped(doc_id, digest)``.
+
+    ``dropped`` is written first, so the planner knows its size: a few rows are sent to
+    the texts, many are joined.
+    """
+    path = scratch_path(docs.sparkSession, "dropped")
+    dropped.select("doc_id", "digest").distinct().write.parquet(path)
+    rows = packed(docs).withColumn("own", digest(F.col("doc")))
+    same = F.col("doc")[doc_id].eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("digest"))
+    return rows.join(docs.sparkSession.read.parquet(path), same, "left_anti")
+
+
+def one_of_alike(rows: DataFrame, doc_id: str, first: Column) -> DataFrame:
+    """Of rows that repeat in id and ``own`` digest one each, by ``first``; a shuffle of all texts."""
+    turn = Window.partitionBy(F.col("doc")[doc_id], "own").orderBy(first)
+    return rows.withColumn("turn", F.row_number().over(turn)).where("turn = 1")
+
+
 def deleted(text: Column, characters: tuple[str, ...]) -> Column:
     """``text`` without the given characters, byte-wise and inside the JVM."""
     return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), characters, text)

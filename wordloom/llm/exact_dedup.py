@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, packed, saved, without_space
+from wordloom.llm.common import join_keyed, one_of_alike, saved, without, without_space
 
 CAPACITY = 50_000
 CELL_BITS = 20
@@ -124,10 +124,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = exact_dedup(docs, doc_id, text).where("kept").select("doc_id", F.col("text_sha256").alias("sha"))
-    words = F.col("doc")[text]
-    marked = packed(docs).select(
-        "doc", F.sha2(normalised(words), 256).alias("digest"), F.length(F.coalesce(words, F.lit(""))).alias("length"))
-    kept = marked.join(found, F.col("doc")[doc_id].eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("sha")), "left_semi")
-    turn = Window.partitionBy(F.col("doc")[doc_id], "digest").orderBy(F.desc("length"))
-    return kept.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("doc.*")
+    found = saved(exact_dedup(docs, doc_id, text).select("doc_id", F.col("text_sha256").alias("digest"), "kept"))
+    alike = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    rows = without(docs, alike.where(~F.col("kept")), doc_id, lambda d: F.sha2(normalised(d[text]), 256))
+    if not alike.where("kept and n > 1").isEmpty():
+        rows = one_of_alike(rows, doc_id, F.desc(F.length(F.coalesce(F.col("doc")[text], F.lit("")))))
+    return rows.select("doc.*")

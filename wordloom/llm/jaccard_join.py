@@ -26,9 +26,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, packed, saved, ship
+from wordloom.llm.common import join_keyed, one_of_alike, saved, ship, without
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -304,9 +303,10 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group: the one with the smallest id."""
-    found = jaccard_groups(docs, doc_id, text, **how)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "th")
-    marked = packed(docs).withColumn("hash", F.xxhash64(F.col("doc")[text]))
-    kept = marked.join(stays, F.col("doc")[doc_id].eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("th")), "left_semi")
-    turn = Window.partitionBy(F.col("doc")[doc_id], "hash").orderBy(F.lit(1))
-    return kept.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("doc.*")
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+    found = saved(jaccard_groups(docs, doc_id, text, **how).select("doc_id", F.col("th").alias("digest"), stays))
+    alike = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    rows = without(docs, alike.where(~F.col("kept")), doc_id, lambda d: F.xxhash64(d[text]))
+    if not alike.where("kept and n > 1").isEmpty():
+        rows = one_of_alike(rows, doc_id, F.lit(1))
+    return rows.select("doc.*")
