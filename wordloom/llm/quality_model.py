@@ -33,8 +33,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wordloom.llm.common import join_keyed, packed, saved, ship
+from wordloom.llm.common import saved, ship
 
 ORDER = 4
 MAX_TRUSTED = 200_000
@@ -259,27 +260,49 @@ class _Part:
         return ends[last] - ends[last - self.sizes]
 
 
-def _parts(langs, texts) -> Iterator[tuple[str, list[int]]]:
+def _parts(langs, sizes) -> Iterator[tuple[str, list[int]]]:
     """Rows of a block by language, up to ``PART_CHARS`` at a time, one row at least."""
     by_lang: dict[str, list[int]] = {}
     size: Counter = Counter()
-    for row, (lang, text) in enumerate(zip(langs, texts)):
+    for row, (lang, n) in enumerate(zip(langs, sizes)):
         by_lang.setdefault(lang, []).append(row)
-        size[lang] += len(text)
+        size[lang] += n
         if size[lang] >= PART_CHARS:
             yield lang, by_lang.pop(lang)
             del size[lang]
     yield from by_lang.items()
 
 
-def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER) -> DataFrame:
-    """``(doc_id, lang, n_chars, log_ppl)`` of ``docs(doc_id, lang, text, block)``; texts not empty.
+def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER, with_text: bool = False) -> DataFrame:
+    """``docs(lang, text, block, …)`` with ``n_chars`` and ``log_ppl``; texts not empty.
 
-    The log perplexity is null where the language has no model.
+    Further columns are carried along, the text only if ``with_text``. The log
+    perplexity is null where the language has no model. Texts are compressed before
+    they are shuffled to their blocks; the two uses of the blocks share that exchange.
     """
+    ship(docs.sparkSession)
     keys = Keys(order)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = docs.repartition("block")
+    carried = [c for c in docs.columns if c not in ("text", "block")]
+    fields = {f.name: f for f in docs.schema.fields}
+    size, zipped = T.StructField("n_chars", T.LongType()), T.StructField("zipped", T.BinaryType())
+    packed_schema = T.StructType([*(fields[c] for c in carried), fields["block"], size, zipped])
+
+    def pack(batches: Iterator) -> Iterator:
+        import zlib
+
+        for batch in batches:
+            out = batch[[*carried, "block"]].copy()
+            out["n_chars"] = [len(t) for t in batch["text"]]
+            out["zipped"] = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch["text"]]
+            yield out
+
+    def unpacked(rows, at: list[int]) -> list[str]:
+        import zlib
+
+        zipped = rows["zipped"].to_numpy()
+        return [zlib.decompress(zipped[i]).decode("utf-8", "surrogatepass") for i in at]
+
+    blocks = docs.select(*carried, "block", "text").mapInPandas(pack, packed_schema).repartition("block")
 
     def ask(batches: Iterator) -> Iterator:
         import numpy as np
@@ -288,9 +311,8 @@ def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER) -> Dat
         asked: dict[int, list] = {}
         for batch in batches:
             for block, rows in batch.groupby("block"):
-                texts, langs = rows["text"].tolist(), rows["lang"].tolist()
-                for lang, at in _parts(langs, texts):
-                    asked.setdefault(block, []).append(_Part(keys, lang, [texts[i] for i in at]).requests())
+                for lang, at in _parts(rows["lang"].tolist(), rows["n_chars"].tolist()):
+                    asked.setdefault(block, []).append(_Part(keys, lang, unpacked(rows, at)).requests())
                 if len(asked[block]) > 8:
                     asked[block] = [np.unique(np.concatenate(asked[block]))]
         for block, found in asked.items():
@@ -301,61 +323,80 @@ def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER) -> Dat
 
     def score(rows, found):
         import numpy as np
-        import pandas as pd
 
         order_ = np.argsort(found["key"].to_numpy())
         known = tuple(found[c].to_numpy()[order_] for c in ("key", "p", "gamma"))
-        texts, langs = rows["text"].tolist(), rows["lang"].tolist()
-        out = np.full(len(texts), np.nan)
-        for lang, at in _parts(langs, texts):
-            out[at] = -_Part(keys, lang, [texts[i] for i in at]).log_probabilities(known)
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        return pd.DataFrame({"doc_id": rows["doc_id"], "lang": rows["lang"], "n_chars": sizes, "log_ppl": out / sizes})
+        sizes = rows["n_chars"].to_numpy(dtype=np.int64)
+        out = np.full(len(rows), np.nan)
+        for lang, at in _parts(rows["lang"].tolist(), sizes.tolist()):
+            out[at] = -_Part(keys, lang, unpacked(rows, at)).log_probabilities(known)
+        result = rows[[*carried, "n_chars"]].copy()
+        result["log_ppl"] = out / sizes
+        if with_text:
+            result["text"] = unpacked(rows, range(len(rows)))
+        return result
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        score, f"doc_id {kind}, lang string, n_chars long, log_ppl double")
+    schema = T.StructType([*(fields[c] for c in carried), size, T.StructField("log_ppl", T.DoubleType()),
+                           *([fields["text"]] if with_text else [])])
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
 
 
 def _lang(lang: Column) -> Column:
     return F.coalesce(lang, F.lit(""))
 
 
-def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-           order: int = ORDER, max_trusted: int = MAX_TRUSTED, fence: float = FENCE,
-           chance: float = CHANCE, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, lang, n_chars, perplexity, threshold, kept)``.
+def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: int = MAX_TRUSTED,
+        fence: float = FENCE) -> tuple[DataFrame, DataFrame]:
+    """The keyed model of ``docs(doc_id, lang, text)``, and ``(lang, fence)`` of log perplexity.
 
     ``labels(doc_id, quality)`` marks trusted documents with quality 1.
     """
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("own_lang"), _lang(F.col(lang)).alias("lang"),
-                       F.col(text).alias("text"))
     trusted = saved(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
-    n_trusted, chars = trusted.count(), rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    share = min(1.0, max_trusted / max(1, n_trusted))
-    sample = trusted.where((_fold(F.col("doc_id")) > 0) & (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    share = min(1.0, max_trusted / max(1, trusted.count()))
+    sample = trusted.where(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     # Ids only, about max_trusted of them at most.
-    texts = rows.where("text <> ''").join(F.broadcast(sample), "doc_id", "left_semi")
-    enough = texts.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_TRUSTED).select("lang")
-    counts = saved(count_grams(texts, order).join(F.broadcast(enough), "lang", "left_semi"))
+    texts = docs.where("text <> ''").join(F.broadcast(sample), "doc_id", "left_semi")
+    counted, apart = (texts.where(x).select("doc_id", "lang", "text") for x in (
+        _fold(F.col("doc_id")) > 0, _fold(F.col("doc_id")) == 0))
+    enough = counted.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_TRUSTED).select("lang")
+    counts = saved(count_grams(counted, order).join(F.broadcast(enough), "lang", "left_semi"))
     table = saved(keyed(model(counts, order), order))
-
-    n_blocks = max(1, -(-chars // BLOCK_CHARS))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block")
-    some = rows.where("text <> ''").select("doc_id", "lang", "text", block)
-    scored = saved(log_perplexity(some, table, order))
-    apart = scored.where("log_ppl is not null").join(
-        trusted.where(_fold(F.col("doc_id")) == 0), "doc_id", "left_semi")
+    scored = log_perplexity(apart.withColumn("block", _block(apart)), table, order).where("log_ppl is not null")
     quartile = F.percentile_approx("log_ppl", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
-    fences = apart.groupBy("lang").agg(quartile.alias("q"), F.count("*").alias("n")).where(
-        F.col("n") * FOLDS >= MIN_TRUSTED).select(
-        "lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("fence"))
-    langs = scored.groupBy("lang").agg(F.count("*").alias("n_docs"))
-    fences = saved(langs.join(fences, "lang", "left"))
+    fences = scored.groupBy("lang").agg(quartile.alias("q"), F.count("*").alias("n")).where(
+        F.col("n") * FOLDS >= MIN_TRUSTED)
+    return table, saved(fences.select("lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("fence")))
+
+
+def _block(docs: DataFrame) -> Column:
+    """Which block a row of ``docs(doc_id, text)`` is in."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // BLOCK_CHARS)))).cast("int")
+
+
+def _judged(rows: DataFrame, labels: DataFrame, order: int, max_trusted: int, fence: float, chance: float,
+            tolerance: float, with_text: bool) -> DataFrame:
+    """``rows(doc_id, lang, text, …)`` with texts, scored, with ``limit`` and ``kept``."""
+    ship(rows.sparkSession)
+    table, fences = fit(rows, labels, order, max_trusted, fence)
+    some = rows.where("text <> ''")
+    scored = log_perplexity(some.withColumn("block", _block(some)), table, order, with_text)
     limit = F.col("fence") + chance / F.sqrt("n_chars") + F.log(F.lit(tolerance))
-    known = join_keyed(scored, fences, ["lang"], "n_docs").select(
-        "doc_id", "lang", "n_chars", F.exp("log_ppl").alias("perplexity"), F.exp(limit).alias("threshold"),
-        F.coalesce(F.col("log_ppl") <= limit, F.lit(True)).alias("kept"))
+    # One row per language with a model, of which there are MAX_TRUSTED / MIN_TRUSTED at most.
+    known = scored.join(F.broadcast(fences), "lang", "left").withColumn("limit", limit)
+    return known.withColumn("kept", F.coalesce(F.col("log_ppl") <= F.col("limit"), F.lit(True)))
+
+
+def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+           order: int = ORDER, max_trusted: int = MAX_TRUSTED, fence: float = FENCE,
+           chance: float = CHANCE, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, lang, n_chars, perplexity, threshold, kept)``.
+
+    ``labels(doc_id, quality)`` marks trusted documents with quality 1.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _lang(F.col(lang)).alias("lang"), F.col(text).alias("text"))
+    known = _judged(rows, labels, order, max_trusted, fence, chance, tolerance, False).select(
+        "doc_id", "lang", "n_chars", F.exp("log_ppl").alias("perplexity"), F.exp("limit").alias("threshold"), "kept")
     none = F.lit(None).cast("double")
     empty = rows.where("text is null or text = ''").select(
         "doc_id", "lang", F.lit(0).cast("long").alias("n_chars"), none.alias("perplexity"),
@@ -364,11 +405,11 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def kept(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-         **how) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier keeps."""
-    found = judged(docs, labels, doc_id, text, lang, **how).where(~F.col("kept"))
-    gone = found.select("doc_id", "lang", "n_chars").distinct()
-    doc = F.col("doc")
-    same = (doc[doc_id].eqNullSafe(F.col("doc_id")) & (_lang(doc[lang]) == F.col("lang"))
-            & (F.length(F.coalesce(doc[text], F.lit(""))) == F.col("n_chars")))
-    return packed(docs).join(gone, same, "left_anti").select("doc.*")
+         order: int = ORDER, max_trusted: int = MAX_TRUSTED, fence: float = FENCE,
+         chance: float = CHANCE, tolerance: float = TOLERANCE) -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier keeps; no row is joined back."""
+    own = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c != text}
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _lang(F.col(f"`{lang}`")).alias("lang"),
+                       F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(a) for c, a in own.items()])
+    stays = _judged(rows, labels, order, max_trusted, fence, chance, tolerance, True).where("kept")
+    return stays.select(*[F.col(own[c] if c in own else "text").alias(c) for c in docs.columns])
