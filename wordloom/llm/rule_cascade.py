@@ -108,13 +108,13 @@ def _condition(rule: Rule) -> Column:
     return F.coalesce(F.expr(rule.fails), F.lit(False))
 
 
-def ordered(rows: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE,
-            seed: int = 1) -> list[Rule]:
-    """``rules`` by rejections per second on a sample of about ``sample`` rows of ``rows``."""
-    total = rows.count()
+def ordered(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE, seed: int = 1,
+            doc_id: str = "doc_id", text: str = "text") -> list[Rule]:
+    """``rules`` by rejections per second on a sample of about ``sample`` rows of ``docs``."""
+    total = docs.count()
     if not total:
         return list(rules)
-    few = saved(rows.sample(fraction=min(1.0, sample / total), seed=seed))
+    few = saved(counted(docs.sample(fraction=min(1.0, sample / total), seed=seed), doc_id, text))
     worth = {}
     for rule in rules:
         began = time.perf_counter()
@@ -134,8 +134,8 @@ def cascade(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
            rules: Sequence[Rule] = RULES, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: id, counts, ``base_failed``, ``rejected_by``, ``kept``."""
-    rows = counted(docs, doc_id, text)
-    found = cascade(rows, ordered(rows, rules, sample))
+    order = ordered(docs, rules, sample, doc_id=doc_id, text=text)
+    found = cascade(counted(docs, doc_id, text), order)
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return found.withColumn("base_failed", base).withColumn(
         "kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("text")
