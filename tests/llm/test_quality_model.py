@@ -96,3 +96,20 @@ def test_awkward_rows(spark):
     assert all(r.perplexity is None for r in got)
     assert x.judged(empty(spark), labels).count() == 0
     assert x.kept(docs, labels).columns == docs.columns
+
+
+def test_all_trusted_documents_count_and_small_languages_are_scored(spark):
+    """A small language keeps its model beside a large one; languages below the least get the common one."""
+    rows = corpus(300, 120)
+    few = [(3000 + 2 * i, prose("fr", 120, 900 + i), f"l{i % 12}", "a") for i in range(60)]
+    junk = [(5001, "#ß% " * 150, "l1", "a"), (5003, "#ß% " * 150, "none", "a"), (5005, "#ß% " * 150, "fr", "a")]
+    docs = spark.createDataFrame(rows + few + junk, DOCS)
+    labels = labelled(spark, rows + few)
+    got = {r.doc_id: r for r in x.judged(docs, labels).collect()}
+    assert len(got) == 363 and all(r.perplexity is not None and r.threshold is not None for r in got.values())
+    assert not any(got[r[0]].kept for r in junk)
+    assert sum(got[r[0]].kept for r in few) >= 58 and got[3000].lang == "l0"
+    known = {r[0] for r in few}
+    ids = labels.where("quality = 1").select("doc_id")
+    passed = {r.doc_id for r in x._perhaps(docs, ids).collect()}
+    assert known <= passed and {r[0] for r in rows if r[0] % 2 == 0} <= passed and len(passed) < 260

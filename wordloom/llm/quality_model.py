@@ -3,8 +3,8 @@
 The model is an interpolated modified Kneser-Ney model of characters, order 4, one per
 language. Trusted are the documents whose label says so; four fifths of them, by a hash
 of the id, are counted, and the rest show what perplexity trusted text has that the
-model has not seen. At most about ``MAX_TRUSTED`` labelled documents are counted, the
-bound that lets their ids be sent to the scan; below it that is all of them.
+model has not seen. All trusted documents take part: their ids meet the texts by a
+shuffle, before which a bitmap of the ids keeps back most texts that are not trusted.
 
 Counts, discounts, context sums and probabilities are tables, joined by n-gram. Texts
 are scored in blocks of documents. A block asks for the different n-grams it holds; the
@@ -19,8 +19,11 @@ follow long texts of one kind; the tolerance leaves room for addresses, numbers
 names in clean ones.
 
 Cases: a null language is a language of its own. A language with fewer than
-``MIN_TRUSTED`` trusted documents has no model; its documents have no perplexity and
-stay. A null or empty text has no perplexity and is rejected. Rows that repeat are
+``MIN_TRUSTED`` counted documents, or too few kept apart, is scored by a model of the
+trusted texts of all languages; its fence comes from the kept apart ones of all such
+languages together. Where these are too few as well there is no fence, and the documents
+stay; with fewer than ``MIN_TRUSTED`` counted documents in all there is no perplexity
+either. A null or empty text has no perplexity and is rejected. Rows that repeat are
 scored alike. An empty table gives an empty result. Only id, text, language and the
 label's columns are read, so further columns cannot clash.
 """
@@ -38,9 +41,12 @@ from pyspark.sql import types as T
 from wordloom.llm.common import saved, ship
 
 ORDER = 4
-MAX_TRUSTED = 200_000
-# A language has a model from so many documents on, so models are MAX_TRUSTED / 20 at most.
+# A language has a model of its own from so many counted documents on.
 MIN_TRUSTED = 20
+# The language of the model of all languages; no language of a corpus is called so.
+POOL = "\x02"
+# Bits of the bitmap of trusted ids, 64 MB at most; beyond that it only lets more texts through.
+MAX_BITS = 1 << 29
 BLOCK_CHARS = 24_000_000
 PART_CHARS = 1_000_000
 FENCE = 3.0
@@ -108,7 +114,7 @@ def model(counts: DataFrame, order: int = ORDER) -> DataFrame:
     tables = []
     for k in range(1, order + 1):
         some = by_order[k]
-        # One row per language, and a language needs MIN_TRUSTED of MAX_TRUSTED documents.
+        # One row per language that has a model.
         rows = some.join(F.broadcast(_discounts(some)), "lang")
         cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         head = F.substring("gram", 1, k - 1)
@@ -345,27 +351,58 @@ def _lang(lang: Column) -> Column:
     return F.coalesce(lang, F.lit(""))
 
 
-def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: int = MAX_TRUSTED,
-        fence: float = FENCE) -> tuple[DataFrame, DataFrame]:
-    """The keyed model of ``docs(doc_id, lang, text)``, and ``(lang, fence)`` of log perplexity.
+def _perhaps(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id is in ``ids``, and a few others, by a bitmap of hashes."""
+    bits = min(MAX_BITS, 1 << max(15, (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(bits))
+    bucket, bit = F.shiftright(place, 15).alias("bucket"), F.pmod(place, F.lit(1 << 15))
+    bitmaps = ids.groupBy(bucket).agg(F.bitmap_construct_agg(bit).alias("bitmap"))
+    byte = F.conv(F.hex(F.substring("bitmap", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
+    # MAX_BITS / 8 bytes at most.
+    return texts.withColumn("bucket", bucket).join(F.broadcast(bitmaps), "bucket").where(is_set).select(texts.columns)
+
+
+def _model_lang(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """``rows`` with the language of their model as ``lang``: their own, or that of all."""
+    mine = own.select("lang", F.col("lang").alias("model_lang"))
+    # One row per language with a model.
+    return rows.join(F.broadcast(mine), "lang", "left").withColumn(
+        "lang", F.coalesce("model_lang", F.lit(POOL))).drop("model_lang")
+
+
+def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER,
+        fence: float = FENCE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The keyed model of ``docs(doc_id, lang, text)``, the languages ``(lang)`` with a model
+    of their own, and ``(lang, fence)`` of log perplexity.
 
     ``labels(doc_id, quality)`` marks trusted documents with quality 1.
     """
-    trusted = saved(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
-    share = min(1.0, max_trusted / max(1, trusted.count()))
-    sample = trusted.where(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # Ids only, about max_trusted of them at most.
-    texts = docs.where("text <> ''").join(F.broadcast(sample), "doc_id", "left_semi")
-    counted, apart = (texts.where(x).select("doc_id", "lang", "text") for x in (
-        _fold(F.col("doc_id")) > 0, _fold(F.col("doc_id")) == 0))
-    enough = counted.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_TRUSTED).select("lang")
-    counts = saved(count_grams(counted, order).join(F.broadcast(enough), "lang", "left_semi"))
-    table = saved(keyed(model(counts, order), order))
-    scored = log_perplexity(apart.withColumn("block", _block(apart)), table, order).where("log_ppl is not null")
+    kind = docs.schema["doc_id"].dataType
+    trusted = saved(labels.where("quality = 1 and doc_id is not null").select(
+        F.col("doc_id").cast(kind).alias("doc_id")).distinct())
+    some = _perhaps(docs.where("text <> '' and doc_id is not null"), trusted)
+    of = lambda rows: rows.join(trusted, "doc_id", "left_semi")
+    is_apart = _fold(F.col("doc_id")) == 0
+    sizes = saved(of(some.select("doc_id", "lang")).groupBy("lang").agg(
+        F.count_if(~is_apart).alias("n"), F.count_if(is_apart).alias("n_apart")))
+    own = saved(sizes.where((F.col("n") >= MIN_TRUSTED) & (F.col("n_apart") * FOLDS >= MIN_TRUSTED)).select("lang"))
+    strange = docs.where("text <> ''").select("lang").distinct().join(F.broadcast(own), "lang", "left_anti")
+    pooled = (sizes.agg(F.sum("n")).first()[0] or 0) >= MIN_TRUSTED and not strange.isEmpty()
+    every = count_grams(of(some.where(~is_apart).select("doc_id", "lang", "text")), order)
+    every = saved(every) if pooled else every
+    counts = every.join(F.broadcast(own), "lang", "left_semi")
+    if pooled:
+        counts = counts.unionByName(every.groupBy(F.lit(POOL).alias("lang"), "gram").agg(F.sum("c").alias("c")))
+    table = saved(keyed(model(saved(counts), order), order))
+    apart = some.where(is_apart).select("doc_id", "lang", "text")
+    apart = _model_lang(of(apart.withColumn("block", _block(apart))), own)
+    scored = log_perplexity(apart, table, order).where("log_ppl is not null")
     quartile = F.percentile_approx("log_ppl", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
     fences = scored.groupBy("lang").agg(quartile.alias("q"), F.count("*").alias("n")).where(
         F.col("n") * FOLDS >= MIN_TRUSTED)
-    return table, saved(fences.select("lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("fence")))
+    found = fences.select("lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("fence"))
+    return table, own, saved(found)
 
 
 def _block(docs: DataFrame) -> Column:
@@ -374,28 +411,29 @@ def _block(docs: DataFrame) -> Column:
     return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // BLOCK_CHARS)))).cast("int")
 
 
-def _judged(rows: DataFrame, labels: DataFrame, order: int, max_trusted: int, fence: float, chance: float,
+def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance: float,
             tolerance: float, with_text: bool) -> DataFrame:
     """``rows(doc_id, lang, text, …)`` with texts, scored, with ``limit`` and ``kept``."""
     ship(rows.sparkSession)
-    table, fences = fit(rows, labels, order, max_trusted, fence)
-    some = rows.where("text <> ''")
+    table, own, fences = fit(rows, labels, order, fence)
+    some = _model_lang(rows.where("text <> ''").withColumn("of_lang", F.col("lang")), own)
     scored = log_perplexity(some.withColumn("block", _block(some)), table, order, with_text)
     limit = F.col("fence") + chance / F.sqrt("n_chars") + F.log(F.lit(tolerance))
-    # One row per language with a model, of which there are MAX_TRUSTED / MIN_TRUSTED at most.
-    known = scored.join(F.broadcast(fences), "lang", "left").withColumn("limit", limit)
+    # One row per language with a model.
+    known = scored.join(F.broadcast(fences), "lang", "left").drop("lang").withColumnRenamed(
+        "of_lang", "lang").withColumn("limit", limit)
     return known.withColumn("kept", F.coalesce(F.col("log_ppl") <= F.col("limit"), F.lit(True)))
 
 
 def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-           order: int = ORDER, max_trusted: int = MAX_TRUSTED, fence: float = FENCE,
+           order: int = ORDER, fence: float = FENCE,
            chance: float = CHANCE, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, lang, n_chars, perplexity, threshold, kept)``.
 
     ``labels(doc_id, quality)`` marks trusted documents with quality 1.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), _lang(F.col(lang)).alias("lang"), F.col(text).alias("text"))
-    known = _judged(rows, labels, order, max_trusted, fence, chance, tolerance, False).select(
+    known = _judged(rows, labels, order, fence, chance, tolerance, False).select(
         "doc_id", "lang", "n_chars", F.exp("log_ppl").alias("perplexity"), F.exp("limit").alias("threshold"), "kept")
     none = F.lit(None).cast("double")
     empty = rows.where("text is null or text = ''").select(
@@ -405,11 +443,11 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def kept(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-         order: int = ORDER, max_trusted: int = MAX_TRUSTED, fence: float = FENCE,
+         order: int = ORDER, fence: float = FENCE,
          chance: float = CHANCE, tolerance: float = TOLERANCE) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier keeps; no row is joined back."""
     own = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c != text}
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _lang(F.col(f"`{lang}`")).alias("lang"),
                        F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(a) for c, a in own.items()])
-    stays = _judged(rows, labels, order, max_trusted, fence, chance, tolerance, True).where("kept")
+    stays = _judged(rows, labels, order, fence, chance, tolerance, True).where("kept")
     return stays.select(*[F.col(own[c] if c in own else "text").alias(c) for c in docs.columns])
