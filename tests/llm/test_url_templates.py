@@ -113,3 +113,20 @@ def test_awkward_rows(spark):
     assert x.judge(docs, "doc_id").count() == docs.count()
     assert x.judge(docs.limit(0), "doc_id").count() == 0
     assert x.judge(docs, "doc_id", rules=()).where("verdict = 'block'").isEmpty()
+
+
+def test_small_sections_are_not_judged_by_their_neighbours(spark):
+    """Sections of a large host below two per cent of it, and of a host with few URLs."""
+    urls = [f"http://big.net/s{k:02d}x/{i}" for k in range(60) for i in range(20)]
+    urls += [f"http://small.net/{s}/{i}" for s, n in (("de", 3), ("fr", 4), ("es", 2)) for i in range(n)]
+    urls += [f"http://tail.net/name-{c}{d}/x" for c in "abcdefghij" for d in "klmnopqrst" for _ in range(2)]
+    rules = [*x.RULES, *[("block", "big.net", f"/s{k:02d}x/") for k in range(0, 60, 2)],
+             *[("allow", "big.net", f"/s{k:02d}x/") for k in range(1, 60, 4)],
+             *[("block", "tail.net", f"/name-{c}") for c in "abcdefghi"]]
+    got = x.judge(pages(spark, urls), rules=rules).collect()
+    for r in got:
+        url = urls[r.page_id]
+        if "big.net" in url or "small.net" in url:
+            assert (r.template.split("/")[1], r.verdict) == (url.split("/")[3], "block" if r.rule and r.verdict == "block" else "allow")
+        else:
+            assert r.template == "/*/x" and r.verdict == "block"

@@ -1,15 +1,15 @@
 """URL filters by a path-template tree. [operator 8]
 
 Known rules judge the URLs that they fit, and serve as labels for the rest. Per
-host the paths form a tree of segments. A segment that looks like an identifier, or
-whose value is too rare among its siblings to be a name, is generalised into a
-wildcard. Sibling templates of one shape whose labelled shares do not differ
+host the paths form a tree of segments. A segment that looks like an identifier, that
+occurs once, or that is one of many rare values of its node, is generalised into a
+wildcard, whatever its share. Sibling templates of one shape whose labelled shares do not differ
 significantly are merged. A template is rejected when the share of good labels,
 smoothed towards a half, falls below ``least_purity``.
 
 Only built-in expressions. The tree works on counts per (host, path prefix), never
-on the URLs of a host in one task; the siblings that a window compares are the
-literal segments of one node, of which ``least_share`` leaves at most its inverse.
+on the URLs of a host in one task; the rows that a window compares are the different
+label counts of the siblings of one shape, not the siblings.
 
 Cases: a null URL, or one without ``://``, has an empty host and path and no rule;
 so has its template, which has no labels and is allowed. Repeated URLs count as
@@ -40,6 +40,8 @@ MAX_RULES = 10_000
 # Segments up to here are generalised one by one; what follows is one further
 # segment, so whole paths take part however deep they are.
 DEPTH = 6
+# A node with more different rare segments than this has a long tail.
+LONG_TAIL = 32
 IDENTIFIER = "^(?=.*[0-9])[0-9A-Fa-f_-]+(\\.[a-z0-9]{1,5})?$|^[0-9A-Fa-f-]{16,}$|^.{65,}$"
 # What the wildcard is called; a segment of a real path never holds a slash.
 WILD = "*"
@@ -95,12 +97,13 @@ def plain_segments(path: Column) -> Column:
         x.rlike(IDENTIFIER) | x.contains("\n"), WILD).otherwise(x))
 
 
-def templates(shapes: DataFrame, least_share: float = 0.02, least_count: int = 5) -> DataFrame:
+def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAIL) -> DataFrame:
     """``shapes(host, segs, n, …)`` with their ``template``.
 
     Level by level: a segment stays literal if it occurs ``least_count`` times in its
-    node and makes up ``least_share`` of it. Identifiers have gone before, so the rows
-    are the different shapes of paths; each level is one job over them.
+    node, or more than once in a node of at most ``long_tail`` different rarer segments.
+    Identifiers have gone before, so the rows are the different shapes of paths; each
+    level is one job over them.
     """
     keep = shapes.columns
     rows = shapes.withColumn("template", F.lit(""))
@@ -110,8 +113,8 @@ def templates(shapes: DataFrame, least_share: float = 0.02, least_count: int = 5
         if deeper.isEmpty():
             break
         counts = deeper.groupBy("host", "template", "seg").agg(F.sum("n").alias("n_seg"))
-        nodes = counts.groupBy("host", "template").agg(F.sum("n_seg").alias("n_node"))
-        rare = (F.col("n_seg") < least_count) | (F.col("n_seg") < least_share * F.col("n_node"))
+        nodes = counts.groupBy("host", "template").agg(F.count_if(F.col("n_seg") < least_count).alias("n_rare"))
+        rare = (F.col("n_seg") == 1) | (F.col("n_seg") < least_count) & (F.col("n_rare") > long_tail)
         named = counts.join(nodes, ["host", "template"]).select(
             "host", "template", "seg", F.when(rare & (F.col("seg") != ""), WILD).otherwise(F.col("seg")).alias("step"))
         grown = deeper.join(named, ["host", "template", "seg"]).withColumn(
@@ -133,18 +136,24 @@ def template_labels(urls: DataFrame, z: float = 1.96) -> DataFrame:
     shape = F.regexp_replace("template", "/[^/*][^/]*((?:/\\*|/)*)$", "/?$1")
     nodes = nodes.withColumn("shape", shape).withColumn("labelled", F.col("good") + F.col("bad"))
     rate = F.col("bad") / F.col("labelled")
-    # Only labelled siblings are compared; of one node there are few, see templates().
-    order = Window.partitionBy("host", "shape").orderBy("rate", "template")
-    known = nodes.where("labelled > 0").withColumn("rate", rate)
+    # Siblings of equal counts are in one group, so they stand in the order as one row.
+    known = nodes.where("labelled > 0")
+    alike = known.groupBy("host", "shape", "labelled", "bad").agg(
+        F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"), F.min("template").alias("first"))
+    order = Window.partitionBy("host", "shape").orderBy("rate", "first")
+    alike = alike.withColumn("rate", rate)
     n0, b0 = F.lag("labelled").over(order), F.lag("bad").over(order)
     pooled = (b0 + F.col("bad")) / (n0 + F.col("labelled"))
     spread = F.sqrt(pooled * (1 - pooled) * (1 / n0 + 1 / F.col("labelled")))
     differs = F.coalesce(F.abs(F.col("rate") - b0 / n0) > z * spread, F.lit(True))
-    known = known.withColumn("new", differs.cast("int")).withColumn(
+    alike = alike.withColumn("new", differs.cast("int")).withColumn(
         "group", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     whole = Window.partitionBy("host", "shape", "group")
-    merged = known.select("host", "template", "n_urls", "shape", "group",
-                          F.sum("good").over(whole).alias("good"), F.sum("bad").over(whole).alias("bad"))
+    groups = alike.select("host", "shape", "labelled", F.col("bad").alias("own_bad"), "group",
+                          F.sum("all_good").over(whole).alias("good"), F.sum("all_bad").over(whole).alias("bad"))
+    merged = known.select("host", "template", "n_urls", "shape", "labelled", F.col("bad").alias("own_bad")).join(
+        groups, ["host", "shape", "labelled", "own_bad"]).select(
+        "host", "template", "n_urls", "shape", "group", "good", "bad")
     alone = nodes.where("labelled = 0").select("host", "template", "n_urls", "shape",
                                                F.lit(0).cast("long").alias("group"), "good", "bad")
     return merged.unionByName(alone)
