@@ -130,3 +130,16 @@ def test_small_sections_are_not_judged_by_their_neighbours(spark):
             assert (r.template.split("/")[1], r.verdict) == (url.split("/")[3], "block" if r.rule and r.verdict == "block" else "allow")
         else:
             assert r.template == "/*/x" and r.verdict == "block"
+
+
+def test_deep_paths_are_told_apart(spark):
+    deep = "/a/b/c/d/e/f/g/h"
+    urls = [f"http://x.org{deep}/{s}/{i}" for s in ("spam", "news") for i in range(20)]
+    urls += [f"http://x.org{deep}/{s}/x" for s in ("spam", "news")]
+    urls += ["http://y.org/1/2/3/4/5/6/only/one"] * 9 + ["http://z.org/a/b/c/d/e/f/few/x"]
+    rules = [*x.RULES, ("block", "x.org", f"{deep}/spam/1")]
+    got = {r.page_id: r for r in x.judge(pages(spark, urls), rules=rules).collect()}
+    assert {got[i].verdict for i in range(20)} == {"block"} and {got[i].verdict for i in range(20, 40)} == {"allow"}
+    assert (got[0].template, got[20].template) == (f"{deep}/spam/*", f"{deep}/news/*")
+    assert got[42].template == "/*/*/*/*/*/*/*" and got[51].template.count("/") == 7
+    assert len(got) == len(urls)

@@ -20,6 +20,8 @@ are read, so further columns cannot clash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ RULES = (
     (BLOCK, "net", "/fr/"),
 )
 MAX_RULES = 10_000
-# Segments up to here are generalised one by one; what follows is one further
-# segment, so whole paths take part however deep they are.
+# Below here a branch goes on only where it has several shapes and enough URLs to tell
+# them apart; there its whole paths take part however deep they are.
 DEPTH = 6
 # A node with more different rare segments than this has a long tail.
 LONG_TAIL = 32
@@ -84,17 +86,14 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
 
 
 def segments(path: Column) -> Column:
-    """The segments below the root, everything beyond ``DEPTH`` as one more."""
+    """The segments below the root."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    deep = F.array(F.array_join(F.slice(parts, DEPTH + 1, 2_000_000_000), "\n"))
-    return F.when(path == "", F.array().cast("array<string>")).when(
-        F.size(parts) <= DEPTH, parts).otherwise(F.concat(F.slice(parts, 1, DEPTH), deep))
+    return F.when(path == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 def plain_segments(path: Column) -> Column:
     """The segments of a path with what looks like an identifier generalised at once."""
-    return F.transform(segments(path), lambda x: F.when(
-        x.rlike(IDENTIFIER) | x.contains("\n"), WILD).otherwise(x))
+    return F.transform(segments(path), lambda x: F.when(x.rlike(IDENTIFIER), WILD).otherwise(x))
 
 
 def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAIL) -> DataFrame:
@@ -103,13 +102,22 @@ def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAI
     Level by level: a segment stays literal if it occurs ``least_count`` times in its
     node, or more than once in a node of at most ``long_tail`` different rarer segments.
     Identifiers have gone before, so the rows are the different shapes of paths; each
-    level is one job over them.
+    level is one job over those that are as deep. Below ``DEPTH`` a node of one shape or
+    of less than ``least_count`` URLs ends in one wildcard.
     """
     keep = shapes.columns
     rows = shapes.withColumn("template", F.lit(""))
-    for level in range(DEPTH + 1):
+    done = []
+    for level in count():
         rows = saved(rows.withColumn("seg", F.get("segs", F.lit(level))))
+        done.append(rows.where("seg is null").select(*keep, "template"))
         deeper = rows.where("seg is not null")
+        if level >= DEPTH:
+            ends = deeper.groupBy("host", "template").agg(
+                ((F.sum("n") < least_count) | (F.min("segs") == F.max("segs"))).alias("ends"))
+            deeper = saved(deeper.join(ends, ["host", "template"]))
+            done.append(deeper.where("ends").select(*keep, F.concat_ws("/", "template", F.lit(WILD)).alias("template")))
+            deeper = deeper.where("not ends").drop("ends")
         if deeper.isEmpty():
             break
         counts = deeper.groupBy("host", "template", "seg").agg(F.sum("n").alias("n_seg"))
@@ -117,10 +125,9 @@ def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAI
         rare = (F.col("n_seg") == 1) | (F.col("n_seg") < least_count) & (F.col("n_rare") > long_tail)
         named = counts.join(nodes, ["host", "template"]).select(
             "host", "template", "seg", F.when(rare & (F.col("seg") != ""), WILD).otherwise(F.col("seg")).alias("step"))
-        grown = deeper.join(named, ["host", "template", "seg"]).withColumn(
-            "template", F.concat_ws("/", "template", "step"))
-        rows = grown.select(*keep, "template").unionByName(rows.where("seg is null").select(*keep, "template"))
-    return rows.select(*keep, "template")
+        rows = deeper.join(named, ["host", "template", "seg"]).withColumn(
+            "template", F.concat_ws("/", "template", "step")).select(*keep, "template")
+    return reduce(DataFrame.unionByName, done)
 
 
 def template_labels(urls: DataFrame, z: float = 1.96) -> DataFrame:
