@@ -113,3 +113,14 @@ def test_all_trusted_documents_count_and_small_languages_are_scored(spark):
     ids = labels.where("quality = 1").select("doc_id")
     passed = {r.doc_id for r in x._perhaps(docs, ids).collect()}
     assert known <= passed and {r[0] for r in rows if r[0] % 2 == 0} <= passed and len(passed) < 260
+
+
+def test_four_characters_of_context(spark):
+    """In the trusted texts the fourth character back tells the next one, the three before it do not."""
+    train = [" ".join(("qabcx", "zabcy")[i * k % 3 % 2] for k in range(60)) for i in range(1, 9)]
+    rows = spark.createDataFrame([("en", t) for t in train], "lang string, text string")
+    table = x.keyed(x.model(x.saved(x.count_grams(rows))))
+    docs = spark.createDataFrame([(0, "en", "qabcx zabcy " * 5, 0), (1, "en", "qabcy zabcx " * 5, 0)],
+                                 "doc_id long, lang string, text string, block int")
+    got = {r.doc_id: r.log_ppl for r in x.log_perplexity(docs, table).collect()}
+    assert got[1] > 1.5 * got[0]

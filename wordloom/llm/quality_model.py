@@ -1,6 +1,6 @@
 """Quality classifier: perplexity under an n-gram model of trusted text. [operator 1]
 
-The model is an interpolated modified Kneser-Ney model of characters, order 4, one per
+The model is an interpolated modified Kneser-Ney model of characters, order 5, one per
 language. Trusted are the documents whose label says so; four fifths of them, by a hash
 of the id, are counted, and the rest show what perplexity trusted text has that the
 model has not seen. All trusted documents take part: their ids meet the texts by a
@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from wordloom.llm.common import saved, ship
 
-ORDER = 4
+ORDER = 5
 # A language has a model of its own from so many counted documents on.
 MIN_TRUSTED = 20
 # The language of the model of all languages; no language of a corpus is called so.
