@@ -63,3 +63,22 @@ def test_awkward_rows(spark):
     assert x.identify(empty(spark), model).count() == 0
     none = x.fit(empty(spark))
     assert {r.lang_pred for r in x.identify(d, none).collect()} == {"und"}
+
+
+def test_a_small_language_beside_a_large_one(spark):
+    rows = [(i, prose("en", 30, i), "en", "a") for i in range(1200)]
+    rows += [(5000 + i, prose("fr", 30, i), "fr", "a") for i in range(6)]
+    d = spark.createDataFrame(rows, DOCS)
+    model = x.fit(d, train_rows=100, max_words=60, max_grams=100)
+    assert model.langs == ["en", "fr"]
+    new = [prose(lang, 30, 9000 + i) for lang in model.langs for i in range(20)]
+    assert model.start().predict(new)[0] == ["en"] * 20 + ["fr"] * 20
+    words = [(lang, w, 10**6 if lang == "en" else 9) for lang in ("en", "fr") for w in (f"{lang}a", f"{lang}b")]
+    assert sum(row.argmax() == 0 for row in x.Scorer(["en", "fr"], words, []).word_rows) == 2
+
+
+def test_every_language_can_be_predicted(spark):
+    texts = [f"{chr(0x4e00 + 2 * i)}{chr(0x4e01 + 2 * i)} {chr(0x4e01 + 2 * i)} " * 4 for i in range(300)]
+    d = spark.createDataFrame([(i, t, f"l{i:03d}", "a") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.lang_pred for r in x.identify(d, x.fit(d)).collect()}
+    assert got == {i: f"l{i:03d}" for i in range(300)}

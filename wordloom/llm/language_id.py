@@ -6,9 +6,10 @@ is replaced by the two one shorter, to single characters, and each order down co
 a constant. A document's language is the one with the largest sum over its words.
 
 The model is fitted on a bounded sample of labelled rows: about ``TRAIN_ROWS`` of
-them, picked by a hash of the id, keep at most ``MAX_WORDS`` words and ``MAX_GRAMS``
-n-grams by frequency. These bounds are what makes it small enough to be sent to every
-task; every document is scored over its whole text. Words are counted in Spark.
+them, picked by a hash of the id, keep about ``MAX_WORDS`` words and ``MAX_GRAMS``
+n-grams by frequency. Each language has an equal part of these bounds, and at least
+``LEAST_ROWS`` rows, so that no language pushes out another, and all languages take
+part. These bounds are what makes it small enough to be sent to every task; every document is scored over its whole text. Words are counted in Spark.
 
 Cases: ``und`` with score 0 where the text is null or has no letter, and for every
 text when there is nothing to learn from. Rows that repeat are scored alike. Ties go
@@ -25,13 +26,15 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordloom.llm.common import saved, ship
 
 TRAIN_ROWS = 20_000
 MAX_WORDS = 100_000
 MAX_GRAMS = 200_000
-MAX_LANGS = 256
+# Rows of a language that are learned from, however many languages there are.
+LEAST_ROWS = 500
 ORDER = 4
 BACKOFF = math.log(0.4)
 UNDETERMINED = "und"
@@ -86,19 +89,26 @@ class Scorer:
         self.memory = CACHE // max(1, len(langs))
 
     def _table(self, rows: list[tuple], kind) -> tuple[dict, object]:
-        """Smoothed log frequencies; n-grams are compared with those of their own order."""
+        """Smoothed log frequencies; n-grams are compared with those of their own order.
+
+        Languages are smoothed as if all had as many counts as the largest, so that what
+        is unseen is equally likely in each.
+        """
         import numpy as np
 
         at = {lang: i for i, lang in enumerate(self.langs)}
         ids: dict = {}
         for _, gram, _ in rows:
             ids.setdefault(gram, len(ids))
-        counts = np.full((len(ids), len(self.langs)), 0.5)
+        counts = np.zeros((len(ids), len(self.langs)))
         for lang, gram, n in rows:
             counts[ids[gram], at[lang]] += n
         kinds = np.array([kind(gram) for gram in ids], dtype=np.int64)
         for k in set(kinds.tolist()):
-            counts[kinds == k] /= counts[kinds == k].sum(axis=0)
+            some = counts[kinds == k]
+            totals = some.sum(axis=0)
+            some = some / np.maximum(totals, 1) * totals.max() + 0.5
+            counts[kinds == k] = some / (totals.max() + 0.5 * len(some))
         return ids, np.log(counts)
 
     def start(self) -> _Memory:
@@ -193,18 +203,26 @@ def fit(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS,
         max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Scorer:
     """A model of ``rows(doc_id, text, lang)``, rows without language left out."""
     rows = rows.where("lang is not null and text is not null")
-    labelled = rows.count()
-    share = min(1.0, train_rows / labelled) if labelled else 1.0
-    picked = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-    counts = saved(count_words(rows.where(picked)))
-    langs = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    names = sorted(r[0] for r in langs.collect())
+    sizes = saved(rows.groupBy("lang").agg(F.count("*").alias("n_rows")))
+    labelled, n_langs = sizes.agg(F.sum("n_rows"), F.count("*")).first()
+    if not n_langs:
+        return Scorer([], [], [], order)
+    quota = labelled if labelled <= train_rows else max(LEAST_ROWS, -(-train_rows // n_langs))
+    place = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1 << 40))
+    # One row per language.
+    shares = F.broadcast(sizes.select("lang", (F.lit(float(quota)) / F.col("n_rows")).alias("share")))
+    counts = saved(count_words(rows.join(shares, "lang").where(place < F.col("share") * (1 << 40))))
+    names = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not names:
         return Scorer([], [], [], order)
-    counts = counts.where(F.col("lang").isin(names))
-    top = counts.where("n >= 2").orderBy(F.desc("n"), "lang", "word").limit(max_words).collect()
-    grams = count_grams(counts, order).orderBy(F.desc("n"), "lang", "gram").limit(max_grams).collect()
-    return Scorer(names, [tuple(r) for r in top], [tuple(r) for r in grams], order)
+
+    def top(table: DataFrame, name: str, most: int) -> list[tuple]:
+        turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
+        some = table.withColumn("turn", turn).where(F.col("turn") <= -(-most // len(names)))
+        return [tuple(r) for r in some.select("lang", name, "n").orderBy(F.desc("n"), "lang", name).collect()]
+
+    return Scorer(names, top(counts.where("n >= 2"), "word", max_words),
+                  top(count_grams(counts, order), "gram", max_grams), order)
 
 
 def identify(docs: DataFrame, model: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
