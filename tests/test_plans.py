@@ -5,12 +5,13 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from wordloom.operators import cooc, lines, terms, words
 from wordloom.session import widths
 from wordloom.sources import lists
-from wordloom.sources.tables import spread
+from wordloom.sources.tables import load_table, row_groups, spread
 
 SF = "/root/testdata/sf0.001"
 
@@ -135,3 +136,47 @@ def test_widths_follow_the_input():
     large = widths(100 << 40)
     assert int(large["spark.sql.shuffle.partitions"]) == 819_200
     assert large["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def _one_file(spark, path, row_groups):
+    """A file of some 15 MB whose text Spark would cut into several splits."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(97, 123, 1500))) for _ in range(14_000)]
+    table = pa.table({"doc_id": list(range(len(texts))), "text": texts})
+    (path / "documents.parquet").mkdir()
+    pq.write_table(table, path / "documents.parquet" / "one.parquet", row_group_size=len(texts) // row_groups)
+    return str(path)
+
+
+def _tasks_with_rows(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_a_file_of_one_row_group_is_read_by_all_cores(spark, tmp_path):
+    folder = _one_file(spark, tmp_path, 1)
+    scan = spark.read.parquet(f"{folder}/documents.parquet")
+    assert scan.rdd.getNumPartitions() >= 4 and _tasks_with_rows(scan) == 1
+    assert row_groups(scan, 8) == 1
+    assert _tasks_with_rows(load_table(spark, folder, "documents", "doc_id", "text")) == 8
+
+
+def test_a_file_of_many_row_groups_is_left_alone(spark, tmp_path):
+    folder = _one_file(spark, tmp_path, 14)
+    scan = spark.read.parquet(f"{folder}/documents.parquet")
+    assert row_groups(scan, 99) == 14
+    assert "Exchange" not in plan(load_table(spark, folder, "documents"))
+
+
+def test_the_documents_of_the_bench_are_read_by_all_cores(spark):
+    docs = load_table(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text")
+    assert _tasks_with_rows(docs) == 8
+
+
+def test_row_groups_of_empty_tables(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
+    assert row_groups(spark.read.parquet(str(tmp_path / "none.parquet")), 4) == 0
+    assert load_table(spark, str(tmp_path), "none").count() == 0
