@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import (
+    bpe_automaton,
     exact_dedup,
     jaccard_join,
     language_id,
@@ -20,6 +21,7 @@ from wordloom.llm import (
     warc_fixity,
 )
 
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 ARCHIVE_PAGES = 1_000
 # Of the second replica every so-manyeth page has a damaged first byte.
@@ -94,7 +96,14 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    back = bpe_automaton.decode(bpe_automaton.encode(_table(spark, sf, "documents"), BYTE_BPE), BYTE_BPE)
+    return back.select("doc_id", bpe_automaton.n_tokens().alias("n_tokens"),
+                       F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_jaccard_join, op3_source_mixing, op4_language_id, op5_sentencepiece,
-        op6_exact_dedup, op7_warc_fixity, op8_url_filters, op9_secret_scan, op10_quality_rules)}
+        op6_exact_dedup, op7_warc_fixity, op8_url_filters, op9_secret_scan, op10_quality_rules,
+        op13_bpe_automaton)}
