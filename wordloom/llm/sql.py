@@ -99,6 +99,53 @@ FROM base
 """
 
 
+# crc32 of a text's bytes: eight steps for each byte, as the polynomial defines it.
+CRC = r"""
+xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(
+    range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+  lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda d, z: xor(d >> 1, 3988292384::BIGINT * (d & 1)))))
+"""
+
+OP11 = r"""
+WITH runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), lowered AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), keyed AS (SELECT *, id || ':' || run AS k FROM lowered
+), hashed AS (SELECT *, {crc} AS h FROM keyed
+), damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    n AS part
+  FROM hashed
+), words AS (
+  SELECT word, sum(part)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(part) >= 5
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), ranked AS (
+  SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS place
+  FROM near
+), told AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+), steps AS (
+  WITH RECURSIVE s(word, reached, depth) AS (
+    SELECT word, word, 0 FROM told
+    UNION ALL SELECT s.word, t.form, depth + 1 FROM s JOIN told t ON t.word = s.reached WHERE t.form IS NOT NULL
+  ) SELECT word, arg_max(reached, depth) AS root FROM s GROUP BY word
+)
+SELECT told.word, n, n_near, form, form_n::BIGINT AS form_n, root FROM told JOIN steps ON steps.word = told.word
+""".replace("{crc}", CRC.format(text="k"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_jaccard_join": OP2, "op6_exact_dedup": OP6, "op7_warc_fixity": OP7,
-            "op10_quality_rules": OP10}
+            "op10_quality_rules": OP10, "op11_spelling_variants": OP11}
