@@ -35,15 +35,16 @@ def differences(spark, con, sf: str, query, sql: str) -> list[str]:
     result = con.sql(sql)
     schema = sorted((name, TYPES.get(kind, kind)) for name, kind in df.dtypes)
     wanted = sorted(zip(result.columns, map(str, result.types)))
-    got, want = df.toPandas(), result.df()
-    if sorted(got.columns) != sorted(want.columns):
-        return [f"columns {sorted(got.columns)} / {sorted(want.columns)}"]
+    columns = sorted(df.columns)
+    if columns != sorted(result.columns):
+        return [f"columns {columns} / {sorted(result.columns)}"]
+    # Values as Python has them: a frame would turn whole numbers with nulls into floats.
+    got = df.select(*columns).collect()
+    want = result.project(", ".join(f'"{c}"' for c in columns)).fetchall()
     out = [] if schema == wanted else [f"types {schema} / {wanted}"]
     if len(got) != len(want):
         out.append(f"rows {len(got)} / {len(want)}")
-    columns = sorted(got.columns)
-    ours = sorted(map(tuple, got[columns].astype(str).values.tolist()))
-    theirs = sorted(map(tuple, want[columns].astype(str).values.tolist()))
+    ours, theirs = (sorted(tuple(map(str, row)) for row in rows) for rows in (got, want))
     if ours != theirs:
         a, b = set(ours), set(theirs)
         out.append(f"only ours {sorted(a - b)[:3]}; only theirs {sorted(b - a)[:3]}")
