@@ -14,6 +14,7 @@ from wordloom.llm import (
     language_id,
     mixing,
     pieces,
+    prefix_trie,
     quality_model,
     rule_cascade,
     secret_ledger,
@@ -101,6 +102,10 @@ def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling_variants.variants(_table(spark, sf, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, sf, "conversations"))
+
+
 def op13_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
     back = bpe_automaton.decode(bpe_automaton.encode(_table(spark, sf, "documents"), BYTE_BPE), BYTE_BPE)
     return back.select("doc_id", bpe_automaton.n_tokens().alias("n_tokens"),
@@ -111,4 +116,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_jaccard_join, op3_source_mixing, op4_language_id, op5_sentencepiece,
         op6_exact_dedup, op7_warc_fixity, op8_url_filters, op9_secret_scan, op10_quality_rules,
-        op11_spelling_variants, op13_bpe_automaton)}
+        op11_spelling_variants, op12_prefix_trie, op13_bpe_automaton)}

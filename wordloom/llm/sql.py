@@ -146,6 +146,41 @@ SELECT told.word, n, n_near, form, form_n::BIGINT AS form_n, root FROM told JOIN
 """.replace("{crc}", CRC.format(text="k"))
 
 
+OP12 = r"""
+WITH given AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, strlen(r) || ':' || r || ':' || t AS x,
+    len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || ':' || t)) AS place
+  FROM given
+), convs AS (SELECT DISTINCT c, c - c % 20 AS base, c::VARCHAR AS k FROM own
+), family AS (SELECT c, base, {crc} % 4 AS h FROM convs
+), turns AS (
+  SELECT f.c, o.place, o.x, o.words FROM family f JOIN own o ON o.c = f.base WHERE o.place <= f.h
+  UNION ALL SELECT f.c, o.place, o.x, o.words FROM family f JOIN own o ON o.c = f.c WHERE o.place > f.h
+), rows AS (
+  SELECT family.c, coalesce(list(x ORDER BY place) FILTER (x IS NOT NULL), []) AS s,
+    coalesce(list(words ORDER BY place) FILTER (x IS NOT NULL), []) AS w
+  FROM family LEFT JOIN turns ON turns.c = family.c GROUP BY family.c
+), nodes AS (
+  SELECT s[1:d] AS p, d, min(c) AS conv_id, count(*) AS n, any_value(w[d]) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends_sha256
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM rows) GROUP BY ALL
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.p = nodes.p
+), sums AS (
+  SELECT p[1:k] AS p, sum((n_children = 0)::INT) AS leaves, sum((n - 1) * coalesce(words, 0)) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM full_nodes) GROUP BY ALL
+)
+SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n AS n_convs, a.n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, a.ends_sha256
+FROM full_nodes a JOIN sums ON sums.p = a.p LEFT JOIN nodes b ON a.d > 0 AND b.p = a.p[1:a.d - 1] AND b.d = a.d - 1
+""".replace("{crc}", CRC.format(text="k"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_jaccard_join": OP2, "op6_exact_dedup": OP6, "op7_warc_fixity": OP7,
-            "op10_quality_rules": OP10, "op11_spelling_variants": OP11}
+            "op10_quality_rules": OP10, "op11_spelling_variants": OP11, "op12_prefix_trie": OP12}
