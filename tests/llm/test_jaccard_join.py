@@ -90,3 +90,18 @@ def test_words_are_told_apart_by_all_their_bytes():
     swapped = "y" * 64 + "z" * 64, "z" * 64 + "y" * 64
     assert s.word_hashes(swapped[0])[0] != s.word_hashes(swapped[1])[0]
     assert len(s.word_hashes(" a  b\t\nc é ")) == 4 and not len(s.word_hashes(" \n"))
+
+
+def test_rows_of_a_crowd_grow_with_its_size(spark):
+    """Near copies of one text, in blocks of 20: edges and rows per block, not per pair of classes."""
+    def rows_of(n):
+        base = list(range(1000))
+        sets = [(b"crowd", i % (n // 20), n // 20, f"{i:05d}".encode(), 1, sorted([*base[i % 50:], 10_000 + i])) for i in range(n)]
+        members = spark.createDataFrame(sets, "crowd binary, block int, n_blocks int, cid binary, n_docs long, runs array<long>")
+        counted, edges = x.crowd_links(members, 0.8)
+        assert {r.links for r in counted.collect()} == {n - 1}
+        return edges.count()
+
+    for n in (100, 200, 400):
+        blocks = n // 20
+        assert rows_of(n) <= n + blocks * (blocks - 1) // 2

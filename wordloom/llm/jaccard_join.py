@@ -10,9 +10,11 @@ band hash and verified on their whole sets.
 A bucket of up to ``SMALL`` classes gives its pairs, each told once, in the first
 band that it agrees in. Larger buckets are many different texts that resemble each
 other. Their pairs are never written down: classes in connected large buckets are one
-crowd, which is cut into blocks of ``BLOCK`` classes; a task compares two blocks on
-whole sets, and gives for each class the number of its links and one neighbour in
-each connected part. So every pair is verified, in pieces of bounded size.
+crowd, which is cut into blocks of ``BLOCK`` classes, each packed into one row and first
+compared with itself. A task then compares two blocks on whole sets, and gives two rows:
+how many links the classes of each have, and which connected parts of both are linked. So
+every pair is verified, in pieces of bounded size, and neither rows nor edges come per
+pair of classes.
 
 Cases: a text without words, or null, is in a class of its own and has no links.
 Rows that repeat are each linked with the others of their class. A tie for the class
@@ -176,52 +178,120 @@ def _similar(shared: Column, a: Column, b: Column, threshold: float) -> Column:
     return shared >= threshold * (a + b - shared) - 1e-9
 
 
-def compare_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """``(cid, links, root)`` from ``members(crowd, i, j, block, cid, n_docs, runs)``.
+def similar_sets(left: list, right: list, threshold: float):
+    """Which sets of ``left`` resemble which of ``right``, as a matrix; both hold sorted run hashes."""
+    import numpy as np
+
+    sizes = [np.array([len(r) for r in side], dtype=np.float64) for side in (left, right)]
+    runs = [np.concatenate([np.zeros(0, dtype=np.int64), *side]) for side in (left, right)]
+    # Only runs of both sides can be shared. They are multiplied in parts.
+    both = np.intersect1d(*runs)
+    place = []
+    for side, n in zip(runs, sizes):
+        column = np.searchsorted(both, side)
+        keep = (column < len(both)) & (both[np.minimum(column, max(0, len(both) - 1))] == side if len(both) else False)
+        owner = np.repeat(np.arange(len(n)), n.astype(np.int64))[keep]
+        column = column[keep]
+        order = np.argsort(column, kind="stable")
+        place.append((column[order], owner[order]))
+    shared = np.zeros((len(left), len(right)), dtype=np.float64)
+    width = 8192
+    for start in range(0, len(both), width):
+        parts = []
+        for (column, owner), n in zip(place, sizes):
+            a, b = np.searchsorted(column, [start, start + width])
+            part = np.zeros((len(n), width), dtype=np.float32)
+            part[owner[a:b], column[a:b] - start] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    return shared >= threshold * (sizes[0][:, None] + sizes[1][None, :] - shared) - 1e-9
+
+
+BLOCKS = ("crowd binary, block int, n_blocks int, cids array<binary>, n_docs array<long>, sizes array<int>, "
+          "runs binary, part array<int>, links array<long>")
+
+
+def packed_blocks(members: DataFrame, threshold: float) -> DataFrame:
+    """One row per block of ``members(crowd, block, n_blocks, cid, n_docs, runs)``, compared with itself.
 
-    A group holds the blocks ``i`` and ``j`` of a crowd, or one block with itself.
+    ``part`` gives for each class the first class of the block that links connect it with,
+    ``links`` how many documents of the block it has links to.
     """
     def work(key, frame):
         import numpy as np
         import pandas as pd
 
-        frame = frame.sort_values(["block", "cid"], kind="stable").reset_index(drop=True)
-        one = key[1] == key[2]
+        frame = frame.sort_values("cid", kind="stable")
         runs = [np.asarray(r, dtype=np.int64) for r in frame["runs"]]
-        size = np.array([len(r) for r in runs], dtype=np.float64)
-        owner = np.repeat(np.arange(len(runs)), size.astype(np.int64))
-        values, code, count = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
-        # Runs that only one class has cannot be shared. The rest is multiplied in parts.
-        column = np.cumsum(count > 1) - 1
-        keep = count[code] > 1
-        column, owner = column[code[keep]], owner[keep]
-        order = np.argsort(column, kind="stable")
-        column, owner = column[order], owner[order]
-        shared = np.zeros((len(runs), len(runs)), dtype=np.float64)
-        width = 8192
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-            a, b = np.searchsorted(column, [start, start + width])
-            part = np.zeros((len(runs), width), dtype=np.float32)
-            part[owner[a:b], column[a:b] - start] = 1
-            shared += part @ part.T
-        similar = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+        n_docs = frame["n_docs"].to_numpy(dtype=np.int64)
+        similar = similar_sets(runs, runs, threshold)
         np.fill_diagonal(similar, False)
-        if not one:
-            # Pairs inside a block belong to the group of that block with itself.
-            block = frame["block"].to_numpy()
-            similar &= block[:, None] != block[None, :]
-        links = similar @ frame["n_docs"].to_numpy(dtype=np.int64)
-        root = np.arange(len(runs))
+        part = np.arange(len(runs))
         while True:
-            low = np.minimum(root, np.where(similar, root[None, :], len(runs)).min(axis=1, initial=len(runs)))
-            if (low == root).all():
+            low = np.minimum(part, np.where(similar, part[None, :], len(runs)).min(axis=1, initial=len(runs)))
+            if (low == part).all():
                 break
-            root = low
-        has = links > 0
-        cids = frame["cid"].to_numpy()
-        return pd.DataFrame({"cid": cids[has], "links": links[has], "root": cids[root[has]]})
+            part = low
+        return pd.DataFrame({
+            "crowd": [key[0]], "block": [key[1]], "n_blocks": [frame["n_blocks"].iloc[0]], "cids": [list(frame["cid"])],
+            "n_docs": [n_docs], "sizes": [np.array([len(r) for r in runs], dtype=np.int32)],
+            "runs": [np.concatenate(runs).tobytes()], "part": [part.astype(np.int32)], "links": [similar @ n_docs]})
+
+    return members.groupBy("crowd", "block").applyInPandas(work, BLOCKS)
+
+
+def compare_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
+    """``(crowd, block, links, a, b)``: the blocks of a crowd compared, each two once.
+
+    Two rows per pair of blocks: the links that the classes of each have to the other,
+    and, in the first, the connected parts of both as pairs ``a[i], b[i]``, each pair once.
+    """
+    def unpacked(row):
+        import numpy as np
+
+        return np.split(np.frombuffer(row["runs"], dtype=np.int64), np.cumsum(row["sizes"])[:-1])
+
+    def work(key, frame):
+        import numpy as np
+        import pandas as pd
+
+        x, y = (row for _, row in frame.sort_values("block").iterrows())
+        similar = similar_sets(unpacked(x), unpacked(y), threshold)
+        i, j = np.nonzero(similar)
+        parts = np.unique(np.column_stack([np.asarray(x["part"])[i], np.asarray(y["part"])[j]]), axis=0)
+        a, b = [x["cids"][k] for k in parts[:, 0]], [y["cids"][k] for k in parts[:, 1]]
+        return pd.DataFrame({"crowd": [key[0]] * 2, "block": [x["block"], y["block"]],
+                             "links": [similar @ np.asarray(y["n_docs"]), np.asarray(x["n_docs"]) @ similar],
+                             "a": [a, []], "b": [b, []]})
+
+    dealt = blocks.where("n_blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    dealt = dealt.where("block <> other").withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    # A block may have no members; what is left alone then has nothing to be compared with.
+    there = blocks.select("crowd", F.col("block").alias("other"))
+    dealt = dealt.join(there, ["crowd", "other"], "left_semi")
+    return dealt.groupBy("crowd", "i", "j").applyInPandas(
+        work, "crowd binary, block int, links array<long>, a array<binary>, b array<binary>")
+
+
+def crowd_links(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(cid, links)`` and edges ``(a, b)`` of the classes of all crowds."""
+    blocks = saved(packed_blocks(members, threshold))
+    found = saved(compare_blocks(blocks, threshold))
+    inside = blocks.select(F.inline(F.arrays_zip("cids", F.transform("part", lambda k: F.col("cids")[k]).alias("first"))))
+    edges = inside.toDF("a", "b").where("a <> b").unionByName(
+        found.select(F.inline(F.arrays_zip("a", "b"))))
+
+    def total(key, frame):
+        import numpy as np
+        import pandas as pd
+
+        cids = next(c for c in frame["cids"] if c is not None)
+        return pd.DataFrame({"cid": list(cids), "links": np.sum(np.stack(frame["links"].to_list()), axis=0)})
 
-    return members.groupBy("crowd", "i", "j").applyInPandas(work, "cid binary, links long, root binary")
+    none = F.lit(None).cast("array<binary>").alias("cids")
+    counted = blocks.select("crowd", "block", "cids", "links").unionByName(
+        found.select("crowd", "block", none, "links")).groupBy("crowd", "block").applyInPandas(total, "cid binary, links long")
+    return counted, edges
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -276,18 +346,15 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Crowds block against block.
     placed = join_keyed(crowd, sizes, ["crowd"], "size").withColumn(
         "block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")).cast("int"))
-    dealt = placed.join(classes.select("cid", "n_docs"), "cid").join(full, "cid").withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    found = saved(compare_blocks(dealt.select("crowd", "i", "j", "block", "cid", "n_docs", "runs"), threshold))
+    members = placed.join(classes.select("cid", "n_docs"), "cid").join(full, "cid")
+    found, edges = crowd_links(members.select("crowd", "block", "n_blocks", "cid", "n_docs", "runs"), threshold)
 
     weight = classes.select("cid", "n_docs")
     one_way = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     counted = one_way.join(weight.withColumnsRenamed({"cid": "b"}), "b").select(
         F.col("a").alias("cid"), F.col("n_docs").alias("links")).unionByName(found.select("cid", "links"))
     n_links = counted.groupBy("cid").agg(F.sum("links").alias("links"))
-    groups = components(links.unionByName(found.where("cid <> root").select(
-        F.col("cid").alias("a"), F.col("root").alias("b"))))
+    groups = components(links.unionByName(edges))
     told = classes.select("cid", "n_docs", "least_id").join(n_links, "cid", "left").join(
         groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     told = saved(told)
