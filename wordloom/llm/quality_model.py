@@ -48,7 +48,12 @@ POOL = "\x02"
 # Bits of the bitmap of trusted ids, 64 MB at most; beyond that it only lets more texts through.
 MAX_BITS = 1 << 29
 BLOCK_CHARS = 24_000_000
+# The same where texts are returned with their scores.
+TEXT_BLOCK_CHARS = 8_000_000
 PART_CHARS = 1_000_000
+PACKED_ROWS = 1_000
+# Different n-grams that a task counts before it passes them on.
+COUNTED_GRAMS = 300_000
 FENCE = 3.0
 # Log perplexity that chance adds to a text of n characters is about this over sqrt(n).
 CHANCE = 4.0
@@ -68,18 +73,21 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
         import pandas as pd
 
         def told(found):
-            rows = [(lang, gram, n) for lang, c in found.items() for gram, n in c.items()]
-            return pd.DataFrame(rows, columns=["lang", "gram", "c"])
+            for lang, c in found.items():
+                yield pd.DataFrame({"lang": lang, "gram": list(c), "c": list(c.values())})
 
         found: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
                 padded = START * (order - 1) + text
-                found.setdefault(lang, Counter()).update(map("".join, zip(*(padded[i:] for i in range(order)))))
-            if sum(map(len, found.values())) > 500_000:
-                yield told(found)
-                found = {}
-        yield told(found)
+                # A very long text is counted in parts.
+                for at in range(0, len(text), PART_CHARS):
+                    part = padded[at:at + PART_CHARS + order - 1]
+                    found.setdefault(lang, Counter()).update(map("".join, zip(*(part[i:] for i in range(order)))))
+                    if sum(map(len, found.values())) > COUNTED_GRAMS:
+                        yield from told(found)
+                        found = {}
+        yield from told(found)
 
     return rows.select("lang", "text").mapInPandas(count, "lang string, gram string, c long").groupBy(
         "lang", "gram").agg(F.sum("c").alias("c"))
@@ -296,11 +304,13 @@ def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER, with_t
     def pack(batches: Iterator) -> Iterator:
         import zlib
 
-        for batch in batches:
-            out = batch[[*carried, "block"]].copy()
-            out["n_chars"] = [len(t) for t in batch["text"]]
-            out["zipped"] = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch["text"]]
-            yield out
+        for whole in batches:
+            for at in range(0, len(whole), PACKED_ROWS):
+                batch = whole.iloc[at:at + PACKED_ROWS]
+                out = batch[[*carried, "block"]].copy()
+                out["n_chars"] = [len(t) for t in batch["text"]]
+                out["zipped"] = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch["text"]]
+                yield out
 
     def unpacked(rows, at: list[int]) -> list[str]:
         import zlib
@@ -405,10 +415,10 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     return table, own, saved(found)
 
 
-def _block(docs: DataFrame) -> Column:
+def _block(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> Column:
     """Which block a row of ``docs(doc_id, text)`` is in."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // BLOCK_CHARS)))).cast("int")
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // block_chars)))).cast("int")
 
 
 def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance: float,
@@ -417,7 +427,8 @@ def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance
     ship(rows.sparkSession)
     table, own, fences = fit(rows, labels, order, fence)
     some = _model_lang(rows.where("text <> ''").withColumn("of_lang", F.col("lang")), own)
-    scored = log_perplexity(some.withColumn("block", _block(some)), table, order, with_text)
+    scored = log_perplexity(
+        some.withColumn("block", _block(some, TEXT_BLOCK_CHARS if with_text else BLOCK_CHARS)), table, order, with_text)
     limit = F.col("fence") + chance / F.sqrt("n_chars") + F.log(F.lit(tolerance))
     # One row per language with a model.
     known = scored.join(F.broadcast(fences), "lang", "left").drop("lang").withColumnRenamed(
