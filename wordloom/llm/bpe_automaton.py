@@ -42,9 +42,9 @@ from wordloom.llm.common import ship
 
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Words that a worker remembers, and cells of the table that it keeps; both start anew
-# when they are full, which changes no result.
-REMEMBERED_WORDS = 500_000
+# Words that a worker remembers, twice, and cells of the table that it keeps. Both start
+# anew when they are full, which changes no result.
+REMEMBERED_WORDS = 350_000
 REMEMBERED_LENGTH = 64
 TABLE_CELLS = 4_000_000
 # Bytes of text whose tokens are returned together.
@@ -231,16 +231,24 @@ class Splitter:
 
 
 class Met(dict):
-    """The packed tokens of the words that this worker has met; a new word is encoded."""
+    """The packed tokens of the words that this worker has met; a new word is encoded.
+
+    When it is full its words become the earlier ones, of which those that are met again
+    are kept.
+    """
 
     def __init__(self, automaton: Automaton):
         super().__init__()
         self.automaton = automaton
+        self.earlier: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        tokens = packed_ids(self.automaton.encode(word.encode("utf-8", "surrogatepass")))
+        tokens = self.earlier.get(word)
+        if tokens is None:
+            tokens = packed_ids(self.automaton.encode(word.encode("utf-8", "surrogatepass")))
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED_WORDS:
+                self.earlier = dict(self)
                 self.clear()
             self[word] = tokens
         return tokens
