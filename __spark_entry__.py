@@ -283,8 +283,10 @@ def top_word_semi_join(spark, sf):
 
 @_query
 def df_lookup_join(spark, sf):
-    counts = terms.term_frequency(_docs(spark, sf), _top_df(spark, sf, 200))
-    found = terms.with_df(counts, _top_df(spark, sf))
+    # The list is worked out once, and its first hundred rows are the shorter list.
+    many = lists.local_copy(_top_df(spark, sf, 200))
+    counts = terms.term_frequency(_docs(spark, sf), many)
+    found = terms.with_df(counts, terms.top_terms(many, 100))
     return found.select("doc_id", "term", "tf", "df")
 
 
@@ -294,6 +296,21 @@ def neighbour_band_join(spark, sf):
     return near.where("w2 is not null")
 
 
+def _whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as one long line."""
+    return _docs(spark, sf).select(F.translate("text", "\n", " ").alias("line"))
+
+
+@_query
+def cooc_pairs_whole_documents(spark, sf):
+    return cooc.cooc_pairs_in_chunks(_whole(spark, sf), _top(spark, sf), 2, size=10_000)
+
+
+@_query
+def cooc_pairs_whole_documents_long_list(spark, sf):
+    return cooc.cooc_pairs_in_chunks(_whole(spark, sf), _long_top(spark, sf), 2, size=10_000)
+
+
 # -- word counts -------------------------------------------------------------------------
 
 @_query
@@ -398,11 +415,21 @@ def stripes_keep_empty(spark, sf):
 @_query
 def stripe_merge(spark, sf):
     top = _listed(spark, _top(spark, sf))
-    near = cooc.cooc_stripes(_sentences(spark, sf), top, 1)
-    wide = cooc.cooc_stripes(_sentences(spark, sf), top, 2)
+    both = cooc.cooc_sweep(_sentences(spark, sf), top, 2, min_len=2)
+    near, wide = (cooc.stripes_from_pairs(both.where(F.col("d") == d)) for d in (1, 2))
     return _as_text(cooc.merge_stripes(near.unionByName(wide)))
 
 
+@_query
+def stripes_of_written_halves(spark, sf):
+    """Stripes of every other document, as written lines, and those of the rest added to them."""
+    top = _listed(spark, _top(spark, sf))
+    sentences = _sentences(spark, sf)
+    halves = [_as_text(cooc.cooc_stripes(sentences.where(F.pmod("doc_id", F.lit(2)) == k), top, 2)) for k in (0, 1)]
+    earlier, batch = (cooc.parse_stripes(h.select(F.concat_ws("\t", "word", "stripe").alias("value"))) for h in halves)
+    return _as_text(cooc.add_to_stripes(earlier, batch))
+
+
 @_query
 def cooc_sweep(spark, sf):
     return cooc.cooc_sweep(_sentences(spark, sf), _top(spark, sf), 4)
@@ -439,6 +466,13 @@ def document_frequency_long_list(spark, sf):
     return terms.document_frequency(_docs(spark, sf), stop, row_per_doc=True)
 
 
+@_query
+def document_frequency_by_dictionary(spark, sf):
+    docs = _docs(spark, sf)
+    stems = terms.stem_dictionary(terms.vocabulary(docs))
+    return terms.document_frequency(docs, _stop(spark), row_per_doc=True, stems=stems)
+
+
 @_query
 def document_frequency_by_line(spark, sf):
     return terms.document_frequency(_text_lines(spark, sf), _stop(spark))
@@ -457,11 +491,17 @@ def top_terms_desc_tie(spark, sf):
 # -- TF-IDF ----------------------------------------------------------------------------------
 
 def _tf(spark, sf):
-    return terms.term_frequency(_docs(spark, sf), _top_df(spark, sf), row_per_doc=True)
+    docs, top = _docs(spark, sf), _listed_df(spark, sf)
+    return terms.term_frequency(docs, top, row_per_doc=True, stems=terms.listed_stems(docs, top))
+
+
+def _listed_df(spark, sf):
+    return lists.local_copy(_top_df(spark, sf))
 
 
 def _tf_idf(spark, sf):
-    return terms.tf_idf(_docs(spark, sf), _top_df(spark, sf), _n_docs(spark, sf), row_per_doc=True)
+    docs, top = _docs(spark, sf), _listed_df(spark, sf)
+    return terms.tf_idf(docs, top, _n_docs(spark, sf), row_per_doc=True, stems=terms.listed_stems(docs, top))
 
 
 def _doc_stripes(spark, sf):
@@ -488,6 +528,13 @@ def doc_stripes_long_list(spark, sf):
     return stripes.select("doc_id", maps.stripe_text(F.col("stripe")).alias("stripe"))
 
 
+@_query
+def term_frequency_by_dictionary(spark, sf):
+    lines = _text_lines(spark, sf)
+    stems = terms.stem_dictionary(terms.vocabulary(lines))
+    return terms.term_frequency(lines, _top_df(spark, sf, LONG), stems=stems)
+
+
 @_query
 def term_frequency_by_line(spark, sf):
     return terms.term_frequency(_text_lines(spark, sf), _top_df(spark, sf))

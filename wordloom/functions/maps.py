@@ -28,6 +28,22 @@ def encode_stripe(stripe: Column) -> Column:
     return _joined(stripe, ":", "|")
 
 
+def parsed_stripe(text: Column) -> Column:
+    """The map of ``{k=v, k2=v2}``; null where the braces are missing.
+
+    Pieces without ``=``, with an empty key or with a value that is no 64-bit integer are
+    skipped. A repeated key has the sum of its values.
+    """
+    inside = F.when(text.rlike("^\\{.*\\}$"), F.substr(text, F.lit(2), F.length(text) - 2))
+    pieces = F.transform(F.split(inside, ", *"), lambda p: F.struct(
+        F.regexp_extract(p, "^(.*)=", 1).alias("k"),
+        F.regexp_extract(p, "=([+-]?[0-9]{1,19})$", 1).try_cast("bigint").alias("v")))
+    good = F.filter(pieces, lambda e: (e["k"] != "") & e["v"].isNotNull())
+    keys = F.array_sort(F.array_distinct(F.transform(good, lambda e: e["k"])))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.aggregate(
+        F.filter(good, lambda e: e["k"] == k), F.lit(0).cast("bigint"), lambda n, e: n + e["v"])))
+
+
 def _joined(stripe: Column, inner: str, outer: str) -> Column:
     pairs = F.transform(
         F.map_entries(stripe),

@@ -13,12 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions.maps import build_stripe
+from wordloom.functions.maps import build_stripe, parsed_stripe
 from wordloom.functions.text import once, raw_tokens
+from wordloom.operators.lines import Counters
 from wordloom.sources.lists import small_words
 
 # The id of an input row that the long way gives it; no key of the caller's is needed.
 ROW = "_row"
+# Counters of a job: top words in the text, and pairs of them in both directions.
+KEPT, RECORDS = "kept words", "pair records"
 
 
 def top_word_lines(lines: DataFrame, top: DataFrame, min_len: int = 1) -> DataFrame:
@@ -61,18 +64,21 @@ def top_word_positions(lines: DataFrame, top: DataFrame, min_len: int = 1,
     return listed.select(ROW, *keep, F.explode("places").alias("pos"), "word")
 
 
-def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1) -> DataFrame:
+def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
+              counters: Counters | None = None) -> DataFrame:
     """``(w1, w2, gap)``: each top word with each one up to ``distance`` behind it.
 
     A word with nothing behind it gives one row with null ``w2`` and ``gap``.
     A list of up to 1,000 words is matched inside the row that holds the line, so
     nothing is shuffled. A longer one is joined, and each row put back in order by
-    an id of its own; the results are the same.
+    an id of its own; the results are the same. ``counters`` gets the kept words.
     """
     chosen = small_words(_listed(top, min_len))
     if chosen is None:
-        return _following_by_window(top_word_positions(lines, top, min_len), distance)
+        positions = top_word_positions(lines, top, min_len)
+        return _following_by_window(counters.rows(positions, KEPT) if counters else positions, distance)
     at = _with_seq(lines, chosen).select("seq", F.posexplode("seq").alias("i", "w1"))
+    at = counters.rows(at, KEPT) if counters else at
     behind = F.slice("seq", F.col("i") + 2, distance)
     return at.select("w1", F.posexplode_outer(behind).alias("at", "w2")).select(
         "w1", "w2", (F.col("at") + 1).alias("gap"))
@@ -90,6 +96,50 @@ def _following_by_window(positions: DataFrame, distance: int) -> DataFrame:
         "w1", F.col("b.w2").alias("w2"), F.col("b.gap").alias("gap"))
 
 
+# Longer lines are cut, so that many tasks can work on one.
+CHUNK = 1 << 16
+
+
+def line_chunks(lines: DataFrame, size: int = CHUNK) -> DataFrame:
+    """``(_row, chunk, line)``: lines cut behind a word after ``size`` characters, lower-cased.
+
+    The chunks are dealt out over the tasks. Together they have the words of the line, in
+    order; only a line without a letter may have no chunk.
+    """
+    pieces = F.regexp_extract_all(F.lower("line"), F.lit(f"(?s).{{1,{size}}}[a-z]*+"), F.lit(0))
+    # Ids first: next to the explode they would count its rows.
+    rows = lines.select(F.monotonically_increasing_id().alias(ROW), "line")
+    chunks = rows.select(ROW, F.posexplode(pieces).alias("chunk", "line"))
+    # A fixed number of tasks: chunks are work, however few bytes they have.
+    return chunks.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), ROW, "chunk")
+
+
+def following_in_chunks(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
+                        size: int = CHUNK) -> DataFrame:
+    """As :func:`following`, for lines of any length.
+
+    A line above ``size`` characters is cut into chunks. Each takes along a halo, the first
+    ``distance`` top words behind it, put together from the first few of the chunks that
+    follow. Only those first words of a line ever meet in one place, never its text.
+    """
+    short = lines.where(F.length("line") <= size)
+    # The long way of the list gives rows ids of its own.
+    chunks = line_chunks(lines.where(F.length("line") > size).select("line"), size).withColumnRenamed(ROW, "line_row")
+    seqs = top_word_lines(chunks, top, min_len)
+    # Chunks without top words are gone, so the next ``distance`` chunks have enough.
+    heads = seqs.groupBy(F.col("line_row").alias(ROW)).agg(F.sort_array(F.collect_list(
+        F.struct("chunk", F.slice("seq", 1, distance).alias("head")))).alias("heads"))
+    halos = heads.select(F.col(ROW).alias("of_row"), "heads", F.posexplode("heads").alias("i", "at")).select(
+        "of_row", F.col("at.chunk").alias("of_chunk"),
+        F.slice(F.flatten(F.slice(F.col("heads.head"), F.col("i") + 2, distance)), 1, distance).alias("halo"))
+    own = seqs.join(halos, (F.col("line_row") == F.col("of_row")) & (F.col("chunk") == F.col("of_chunk"))).select(
+        F.posexplode("seq").alias("i", "w1"), F.concat("seq", "halo").alias("words"))
+    behind = F.slice("words", F.col("i") + 2, distance)
+    far = own.select("w1", F.posexplode_outer(behind).alias("at", "w2")).select(
+        "w1", "w2", (F.col("at") + 1).alias("gap"))
+    return following(short, top, distance, min_len).unionByName(far)
+
+
 def _mirrored(counts: list[str]) -> Column:
     """Both directions of an unordered pair ``(a, b)``; a pair ``(a, a)`` counts twice."""
     def side(w1: str, w2: str, times: int) -> Column:
@@ -108,9 +158,17 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(a, b, "gap")
 
 
-def cooc_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 1) -> DataFrame:
+def cooc_pairs(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 1,
+               counters: Counters | None = None) -> DataFrame:
     """``(w1, w2, n)``."""
-    return pair_counts(following(lines, top, distance, min_len).where("w2 is not null"))
+    pairs = following(lines, top, distance, min_len, counters).where("w2 is not null")
+    return pair_counts(counters.rows(pairs, RECORDS, 2 * F.count(F.lit(1))) if counters else pairs)
+
+
+def cooc_pairs_in_chunks(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 1,
+                         size: int = CHUNK) -> DataFrame:
+    """As :func:`cooc_pairs`; a line may be as long as it likes."""
+    return pair_counts(following_in_chunks(lines, top, distance, min_len, size).where("w2 is not null"))
 
 
 def cooc_pairs_by_window(lines: DataFrame, top: DataFrame, distance: int = 1,
@@ -127,13 +185,14 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 
 def cooc_stripes(lines: DataFrame, top: DataFrame, distance: int = 1, min_len: int = 2,
-                 keep_empty: bool = False) -> DataFrame:
+                 keep_empty: bool = False, counters: Counters | None = None) -> DataFrame:
     """``(word, stripe)``: per word a map from neighbour to count.
 
     ``keep_empty`` also gives words that were seen but never had a neighbour; they
     come from the same pass, as the words with nothing behind them.
     """
-    pairs = following(lines, top, distance, min_len)
+    pairs = following(lines, top, distance, min_len, counters)
+    pairs = counters.rows(pairs, RECORDS, 2 * F.count("w2")) if counters else pairs
     if not keep_empty:
         pairs = pairs.where("w2 is not null")
     return stripes_from_pairs(pair_counts(pairs))
@@ -149,6 +208,23 @@ def pairs_from_stripes(stripes: DataFrame) -> DataFrame:
     return stripes.select(F.col("word").alias("w1"), F.explode("stripe").alias("w2", "n"))
 
 
+def parse_stripes(source: DataFrame, line: str = "value") -> DataFrame:
+    """``(word, stripe)`` from written ``word<TAB>{k=v, …}`` lines; other lines are dropped."""
+    fields = source.select(F.split(line, "\t").alias("p")).where(F.size("p") == 2)
+    return fields.select(F.col("p")[0].alias("word"), parsed_stripe(F.col("p")[1]).alias("stripe")).where(
+        "stripe is not null")
+
+
+def add_to_stripes(earlier: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stripes of an earlier run with those of a new batch added, cell by cell.
+
+    Words that have no neighbour in either keep an empty stripe.
+    """
+    both = earlier.select("word", "stripe").unionByName(batch.select("word", "stripe"))
+    cells = both.select(F.col("word").alias("w1"), F.explode_outer("stripe").alias("w2", "n"))
+    return stripes_from_pairs(cells.groupBy("w1", "w2").agg(F.sum("n").alias("n")))
+
+
 def merge_stripes(stripes: DataFrame) -> DataFrame:
     """Element-wise sum of all stripes of a word, in two aggregations.
 

@@ -60,6 +60,23 @@ def merge_corpora(**parts: tuple[DataFrame, Column, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+class Counters:
+    """Record counters of the stages of a job, gathered while its one action runs."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def rows(self, df: DataFrame, name: str, count: Column | None = None) -> DataFrame:
+        """``df`` as it is; its rows, or the aggregate ``count`` of them, are counter ``name``."""
+        self._seen[name] = Observation(name)
+        count = F.count(F.lit(1)) if count is None else count
+        return df.observe(self._seen[name], F.coalesce(count, F.lit(0)).cast("bigint").alias("n"))
+
+    def values(self) -> dict[str, int]:
+        """The counters in the order of the stages; to be asked for after the action."""
+        return {name: seen.get["n"] for name, seen in self._seen.items()}
+
+
 def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     """Count the rows of a stage while it runs: ``observation.get['rows']``."""
     seen = Observation(stage)

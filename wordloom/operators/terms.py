@@ -15,6 +15,7 @@ from wordloom.sources.lists import (
     with_stems,
     words_and_stems,
 )
+from wordloom.sources.sinks import finished
 
 
 def vocabulary(texts: DataFrame, column: str = "text") -> DataFrame:
@@ -28,6 +29,56 @@ def stem_vocab(words: DataFrame) -> DataFrame:
     return words.select("word", once(stem_all("array(word)")[0]).alias("stem"))
 
 
+# A word is hot when it is in more than one row in so many; so fewer words than this are,
+# which bounds what is broadcast.
+HOT_WORDS = 20_000
+
+
+def stem_dictionary(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(word, stem)`` of distinct ``words``; those in ``known(word, stem)`` are not stemmed again."""
+    if known is None:
+        return stem_vocab(words)
+    fresh = words.select("word").join(known.select("word"), "word", "left_anti")
+    old = known.join(words.select("word"), "word", "left_semi").select("word", "stem")
+    return old.unionByName(stem_vocab(fresh))
+
+
+def grown_dictionary(words: DataFrame, path: str) -> DataFrame:
+    """The dictionary kept at ``path``, grown by the words that it does not have yet.
+
+    Only these are stemmed. A first call makes the dictionary.
+    """
+    spark = words.sparkSession
+    words = words.select("word").distinct()
+    if finished(spark, path):
+        words = words.join(spark.read.parquet(path).select("word"), "word", "left_anti")
+    stem_vocab(words).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def word_rows(docs: DataFrame) -> DataFrame:
+    """``(word, n)``: in how many rows of ``docs(text)`` each word stands."""
+    tokens = F.array_distinct(raw_tokens(F.col("text")))
+    return docs.select(F.explode(tokens).alias("word")).where("word <> ''").groupBy("word").agg(
+        F.count("*").alias("n"))
+
+
+def look_up(rows: DataFrame, stems: DataFrame) -> DataFrame:
+    """Inner join of ``rows(word, …)`` with a dictionary, on ``word``.
+
+    A dictionary with a column ``n``, the rows that hold a word, should be saved: its hot
+    words are joined where their rows are, the others are shuffled. Without ``n`` the
+    planner chooses the join, and may split what is too large for one task.
+    """
+    if "n" not in stems.columns:
+        return rows.join(stems, "word")
+    total = stems.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT_WORDS > F.lit(total)
+    hot = F.broadcast(stems.where(is_hot).drop("n"))
+    rest = rows.join(hot.select("word"), "word", "left_anti").join(stems.where(~is_hot).drop("n"), "word")
+    return rows.join(hot, "word").unionByName(rest)
+
+
 def stemmed_without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
     """``(word, stem)`` where neither is a stopword or the stem of one."""
     stop = with_stems(stopwords)
@@ -80,8 +131,8 @@ def _distinct_unless(tokens: Column, dropped: list[str]) -> Column:
     return F.array_distinct(F.filter(tokens, lambda t: ~t.isin("", *dropped)))
 
 
-def document_frequency(docs: DataFrame, stopwords: DataFrame,
-                       row_per_doc: bool = False) -> DataFrame:
+def document_frequency(docs: DataFrame, stopwords: DataFrame, row_per_doc: bool = False,
+                       stems: DataFrame | None = None) -> DataFrame:
     """``(term, df)``: in how many documents a term occurs.
 
     By default a document may be spread over many rows (lines), so its terms are
@@ -89,13 +140,31 @@ def document_frequency(docs: DataFrame, stopwords: DataFrame,
     a whole document (``row_per_doc``), a row's own distinct terms are enough, and
     the only exchange left is that of partial counts per term. No list of
     documents is ever built for a term, however frequent it is.
+
+    With a dictionary ``stems(word, stem)`` nothing is stemmed here: a row's different
+    words look theirs up.
     """
+    if stems is not None:
+        return _frequency_by_dictionary(docs, stopwords, stems, row_per_doc)
     terms = document_terms(docs, stopwords)
     if not row_per_doc:
         terms = terms.distinct()
     return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def _frequency_by_dictionary(docs: DataFrame, stopwords: DataFrame, stems: DataFrame,
+                             row_per_doc: bool) -> DataFrame:
+    stop = with_stems(stopwords)
+    kept = stems.where("stem <> ''").join(stop, "word", "left_anti").join(
+        stop.withColumnRenamed("word", "stem"), "stem", "left_anti")
+    doc = F.monotonically_increasing_id() if row_per_doc else F.col("doc_id")
+    rows = docs.select(doc.alias("doc"), "text").select(
+        "doc", F.explode(F.array_distinct(raw_tokens(F.col("text")))).alias("word"))
+    # Two words of a document may share a stem.
+    terms = look_up(rows, kept).select("doc", F.col("stem").alias("term")).distinct()
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
 def top_terms(frequencies: DataFrame, k: int = 100, tie: str = "asc") -> DataFrame:
     """The ``k`` terms in most documents; ties in ``asc`` or ``desc`` term order."""
     if tie not in ("asc", "desc"):
@@ -106,7 +175,8 @@ def top_terms(frequencies: DataFrame, k: int = 100, tie: str = "asc") -> DataFra
 
 # -- term frequency and TF-IDF ------------------------------------------------
 
-def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False) -> DataFrame:
+def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False,
+                   stems: DataFrame | None = None) -> DataFrame:
     """``(doc_id, term, tf)`` of the listed terms.
 
     ``terms`` has a ``term`` column. With up to 1,000 of them a row's words are cut
@@ -114,8 +184,13 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False)
     terms leave the row. When every row is a whole document (``row_per_doc``) they
     are also counted in it, and nothing is shuffled. A longer list is joined to the
     counts, which have one row per document and term.
+
+    With a dictionary ``stems(word, stem)`` nothing is stemmed here: the words that have
+    a listed stem are looked up, and their counts are shuffled once.
     """
     listed = terms.select("term").where(valid_token(F.col("term")))
+    if stems is not None:
+        return _counted_by_dictionary(docs, listed, stems, row_per_doc)
     chosen = small_words(listed)
     if chosen is not None and row_per_doc:
         return _counted_in_row(docs, chosen).select("doc_id", F.inline("counts"))
@@ -128,6 +203,28 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False)
     return counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
+def _counted_by_dictionary(docs: DataFrame, listed: DataFrame, stems: DataFrame, row_per_doc: bool) -> DataFrame:
+    kept = stems.where(valid_token(F.col("word"))).withColumnRenamed("stem", "term").join(
+        listed.distinct(), "term", "left_semi")
+    row = [F.monotonically_increasing_id().alias("row")] if row_per_doc else []
+    rows = docs.select(*row, "doc_id", "text")
+    rows = rows.select(*(["row"] if row else []), "doc_id", F.explode(raw_tokens(F.col("text"))).alias("word"))
+    keys = [*(["row"] if row else []), "doc_id", "term"]
+    return look_up(rows, kept).groupBy(*keys).agg(F.count("*").alias("tf")).select("doc_id", "term", "tf")
+
+
+def listed_stems(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(word, stem)``: a dictionary of the words of ``docs`` that can become one of ``terms``.
+
+    With up to 1,000 terms the others are not even stemmed.
+    """
+    words = vocabulary(docs)
+    chosen = small_words(terms.select("term"))
+    if chosen is not None:
+        words = words.where(valid_token(F.col("word")) & _may_become(F.col("word"), chosen)) if chosen else words.limit(0)
+    return stem_dictionary(words)
+
+
 def _listed_in_rows(docs: DataFrame, listed: DataFrame) -> DataFrame:
     """``(row, doc_id, term, tf)`` of the terms of a long list, counted in each row.
 
@@ -221,7 +318,7 @@ def document_count(docs: DataFrame, row_per_doc: bool = False) -> Column:
 
 
 def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None = None,
-           row_per_doc: bool = False) -> DataFrame:
+           row_per_doc: bool = False, stems: DataFrame | None = None) -> DataFrame:
     """``(doc_id, term, tf, df, score)`` of the terms listed in ``frequencies``.
 
     ``n_docs`` is the N of the formula; by default the number of documents. A
@@ -236,7 +333,7 @@ def tf_idf(docs: DataFrame, frequencies: DataFrame, n_docs: int | Column | None
                              df=[r.df for r in rows]) if rows else listed.limit(0)
     n = document_count(docs, row_per_doc) if n_docs is None else n_docs
     n = n if isinstance(n, Column) else F.lit(n)
-    return score(with_df(term_frequency(docs, listed, row_per_doc), listed), n)
+    return score(with_df(term_frequency(docs, listed, row_per_doc, stems), listed), n)
 
 
 def score(counts: DataFrame, n_docs: Column) -> DataFrame:

@@ -33,6 +33,14 @@ def local_table(spark: SparkSession, **columns: list) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
+def local_copy(df: DataFrame, limit: int = SMALL_LIST) -> DataFrame:
+    """``df`` worked out once and held in the plan where it has at most ``limit`` rows, else as it is."""
+    rows = small_rows(df, limit)
+    if not rows:
+        return df if rows is None else df.limit(0)
+    return local_table(df.sparkSession, **{c: [r[c] for r in rows] for c in df.columns})
+
+
 def default_stopwords(spark: SparkSession) -> DataFrame:
     return local_table(spark, word=list(DEFAULT_STOPWORDS))
 

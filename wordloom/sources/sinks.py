@@ -33,6 +33,18 @@ def write_single_tsv(df: DataFrame, path: str, *order: Column | str,
     _tsv(df.coalesce(1).sortWithinPartitions(*order)).write.mode("overwrite").text(path)
 
 
+def write_ranked_tsv(df: DataFrame, path: str, *order: Column | str, max_rows: int = 1_000_000) -> None:
+    """A ranking as one sorted file, or as sorted part files where it has over ``max_rows`` rows."""
+    many = df.limit(max_rows + 1).count() > max_rows
+    (write_sorted_tsv if many else write_single_tsv)(df, path, *order)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has completed the folder ``path``: its mark is written last."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def hand_over(df: DataFrame, path: str) -> DataFrame:
     """Write a result once and read it back for the next job."""
     df.write.mode("overwrite").parquet(path)

@@ -318,6 +318,14 @@ def oracle_sql() -> dict[str, str]:
         sql[f"{name}_by_line"] = sql[name]
     sql["cooc_pairs"] = sql["cooc_pairs_by_window"]
     sql["cooc_pairs_min2"] = sql["cooc_stripes"] = _with(_cooc(2, 2)) + "SELECT * FROM pairs"
+    for name, k in (("cooc_pairs_whole_documents", 50), ("cooc_pairs_whole_documents_long_list", LONG)):
+        sql[name] = _with(_cooc(2, 1, k=k).replace(SENTENCES, """sentences AS (
+          SELECT doc_id, 0 AS line_no, 0 AS sent_no, replace(text, chr(10), ' ') AS line FROM documents)""")
+        ) + "SELECT * FROM pairs"
+    sql["document_frequency_by_dictionary"] = sql["document_frequency"]
+    sql["term_frequency_by_dictionary"] = sql["term_frequency_long_list"]
+    sql["stripes_of_written_halves"] = _with(_cooc(2, 2)) + (
+        f"SELECT w1 AS word, {STRIPE} AS stripe FROM pairs GROUP BY w1")
     for d in (1, 2, 3, 4):
         sql[f"cooc_pairs_d{d}"] = _with(_cooc(d, 1)) + "SELECT * FROM pairs"
         sql[f"cooc_pairs_min2_d{d}"] = _with(_cooc(d, 2)) + "SELECT * FROM pairs"
