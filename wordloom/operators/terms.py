@@ -204,8 +204,10 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False,
 
 
 def _counted_by_dictionary(docs: DataFrame, listed: DataFrame, stems: DataFrame, row_per_doc: bool) -> DataFrame:
-    kept = stems.where(valid_token(F.col("word"))).withColumnRenamed("stem", "term").join(
-        listed.distinct(), "term", "left_semi")
+    # As a filter on the word Spark would test every token of the text; this stays with the stem.
+    term = once(F.when(valid_token(F.col("word")), F.col("stem"))).alias("term")
+    more = [c for c in stems.columns if c not in ("word", "stem")]
+    kept = stems.select("word", *more, term).join(listed.distinct(), "term", "left_semi")
     row = [F.monotonically_increasing_id().alias("row")] if row_per_doc else []
     rows = docs.select(*row, "doc_id", "text")
     rows = rows.select(*(["row"] if row else []), "doc_id", F.explode(raw_tokens(F.col("text"))).alias("word"))
@@ -214,15 +216,9 @@ def _counted_by_dictionary(docs: DataFrame, listed: DataFrame, stems: DataFrame,
 
 
 def listed_stems(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(word, stem)``: a dictionary of the words of ``docs`` that can become one of ``terms``.
-
-    With up to 1,000 terms the others are not even stemmed.
-    """
-    words = vocabulary(docs)
-    chosen = small_words(terms.select("term"))
-    if chosen is not None:
-        words = words.where(valid_token(F.col("word")) & _may_become(F.col("word"), chosen)) if chosen else words.limit(0)
-    return stem_dictionary(words)
+    """``(word, stem)``: a dictionary of the words of ``docs`` that become one of ``terms``."""
+    stems = stem_dictionary(vocabulary(docs))
+    return stems.join(terms.select(F.col("term").alias("stem")).distinct(), "stem", "left_semi")
 
 
 def _listed_in_rows(docs: DataFrame, listed: DataFrame) -> DataFrame:
