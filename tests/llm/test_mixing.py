@@ -80,3 +80,13 @@ def test_repeated_rows_in_the_mix(spark):
     rows = Counter(r.doc_id for r in mixing.mixed(docs).collect())
     assert {k: v for k, v in plan.items() if v} == dict(rows)
     assert mixing.mixed(awkward(spark)).columns == awkward(spark).columns
+
+
+def test_wordless_rows_stay_within_the_epochs(spark):
+    """A source at its most epochs, one without words, and wordless rows in both."""
+    rows = [(i, " " if i % 3 else "word " * 5, "en", "a") for i in range(60)]
+    rows += [(100 + i, "word " * 2000, "en", "b") for i in range(5)] + [(200 + i, None, "en", "c") for i in range(9)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    assert max(r.copies for r in got) <= 2
+    assert {r.copies for r in got if r.doc_id < 100} == {2}
+    assert {r.copies for r in got if r.doc_id >= 200} == {0}

@@ -143,7 +143,9 @@ def copies(rows: DataFrame, weights=WEIGHTS, share: float = SHARE,
         "key", "n_docs", "source_size", "target", F.floor(epochs).alias("whole"))
     part = F.col("target") - F.col("whole") * F.col("source_size")
     goal = saved(goal.withColumn("want", F.round(part).cast("long")))
-    ends = saved(goal.join(_prefix_ends(rows, goal), "key"))
+    # Where whole copies make up the target nobody is taken once more, wordless rows neither.
+    cut = F.when(F.col("want") > 0, F.col("cut")).otherwise(F.lit(-1).cast("long"))
+    ends = saved(goal.join(_prefix_ends(rows, goal), "key").withColumn("cut", cut))
 
     placed = saved(join_keyed(rows, ends.drop("want"), ["key"], "n_docs"))
     behind = placed.where((F.col("u") > F.col("cut")) & (F.col("size") < 2 * F.col("missing")))
