@@ -65,3 +65,23 @@ def test_hot_group(spark):
     got = x.exact_dedup(docs)
     assert got.where("keep_id = 0 and group_size = 300").count() == 300
     assert got.where("kept").count() == 601
+
+
+def test_ids_of_any_type(spark):
+    docs = awkward(spark).withColumn("doc_id", x.F.col("doc_id").cast("string"))
+    got = {(r.doc_id, r.keep_id, r.group_size) for r in x.exact_dedup(docs).collect()}
+    assert ("2", "2", 4) in got and (None, "2", 4) in got and ("4", "5", 3) in got
+    assert len(x.keep_one(docs).collect()) == len({norm(r[1]) for r in AWKWARD})
+
+
+def test_the_result_comes_through_the_directory(spark, monkeypatch):
+    """Without the entry for its slot a row has no bucket, and no keeper."""
+    docs = spark.range(300).selectExpr("id as doc_id", "string(id % 200) as text")
+    whole = x.directory
+
+    def torn(entries, capacity, hash_bits):
+        return whole(entries, capacity, hash_bits).where("slot > 0")
+
+    assert x.exact_dedup(docs, capacity=20).count() == 300
+    monkeypatch.setattr(x, "directory", torn)
+    assert 0 < x.exact_dedup(docs, capacity=20).count() < 300

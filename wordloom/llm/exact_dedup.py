@@ -9,11 +9,14 @@ Each owner task takes a range of buckets and chains the entries whose hashes agr
 
 Only built-in expressions: equal texts meet, and are compared byte by byte, in a
 grouping on ``(hash, text)`` that folds the copies of a task before anything is
-shuffled. Digests then stand for the texts; that no two different texts share one
-is checked against the byte-wise groups, and the job stops if they do.
+shuffled; these are the entries. Digests then stand for the texts. A row finds its bucket
+through the directory, and in it the entry of its text, which gives the row that stays
+and the size of the group. That no two different texts share a digest is checked against
+the byte-wise entry, and the job stops if they do.
 
 Cases: a null text counts as empty, so all null, empty and blank texts are equal. Of
-rows alike in text, length and id one stays. A null id comes after all others. An
+rows alike in text, length and id one stays. Ids are of any type that has an order; a
+null id comes after all others. An
 empty table gives an empty result. Only the id and the text are read, so further
 columns cannot clash.
 """
@@ -78,20 +81,29 @@ def _leading(h: Column, bits: int, hash_bits: int) -> Column:
     return F.shiftrightunsigned(h, hash_bits - bits)
 
 
+def _located(rows: DataFrame, slots: DataFrame, hash_bits: int) -> DataFrame:
+    """``rows(h, …)`` with the ``bucket`` and ``depth`` that the directory has for their hash."""
+    top = slots.agg(F.max("top")).first()[0] or 0
+    slot = _leading(F.col("h"), top, hash_bits) if top else F.lit(0).cast("long")
+    # At most 2 ** CELL_BITS slots.
+    return rows.withColumn("slot", slot).join(F.broadcast(slots.select("slot", "depth", "bucket")), "slot").drop("slot")
+
+
+def _index(docs: DataFrame, text: str, capacity: int, hash_bits: int) -> tuple[DataFrame, DataFrame]:
+    entries = saved(text_groups(docs, text, hash_bits))
+    slots = saved(directory(entries, capacity, hash_bits))
+    owned = _located(entries, slots, hash_bits).repartitionByRange("depth", "bucket")
+    chain = F.row_number().over(Window.partitionBy("depth", "bucket", "h").orderBy("sha"))
+    return saved(owned.select("bucket", "depth", "h", chain.alias("chain"), "sha", "n")), slots
+
+
 def build_index(docs: DataFrame, text: str = "text", capacity: int = CAPACITY,
                 hash_bits: int = 64) -> DataFrame:
     """``(bucket, depth, h, chain, sha, n)``, saved in bucket order in the shared folder.
 
     ``chain`` counts the different texts under one hash, from 1.
     """
-    entries = saved(text_groups(docs, text, hash_bits))
-    slots = directory(entries, capacity, hash_bits)
-    top = slots.agg(F.max("top")).first()[0] or 0
-    placed = entries.withColumn("slot", _leading(F.col("h"), top, hash_bits) if top else F.lit(0).cast("long"))
-    owned = placed.join(slots.select("slot", "depth", "bucket"), "slot").repartitionByRange(
-        "depth", "bucket")
-    chain = F.row_number().over(Window.partitionBy("depth", "bucket", "h").orderBy("sha"))
-    return saved(owned.select("bucket", "depth", "h", chain.alias("chain"), "sha", "n"))
+    return _index(docs, text, capacity, hash_bits)[0]
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -107,17 +119,18 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         normalised(F.col(text)).alias("norm"),
     ).select("doc_id", "length", F.monotonically_increasing_id().alias("row"),
              _hash(F.col("norm"), hash_bits).alias("h"), F.sha2("norm", 256).alias("sha")))
-    index = build_index(docs, text, capacity, hash_bits)
-    # ~x turns the order of longs around without overflow.
-    best = F.max(F.struct("length", F.col("doc_id").isNotNull(), F.expr("~doc_id"),
-                          F.expr("~row").alias("last"), "doc_id"))
-    keepers = rows.groupBy("h", "sha").agg(best.alias("best"), F.count("*").alias("group_size"))
+    index, slots = _index(docs, text, capacity, hash_bits)
+    # Every row finds its bucket in the directory, and there the entry of its text.
+    held = _located(rows, slots, hash_bits)
+    best = F.min(F.struct(-F.col("length"), F.col("doc_id").isNull(), "doc_id", "row"))
+    entry = ["depth", "bucket", "h", "sha"]
+    owned = held.groupBy(*entry).agg(best.alias("best"), F.count("*").alias("group_size"))
     agreed = F.when(F.col("n") == F.col("group_size"), F.col("group_size")).otherwise(
         F.raise_error(F.lit("different texts share one digest")))
-    chosen = saved(keepers.join(index.select("h", "sha", "n"), ["h", "sha"]).select(
-        "h", "sha", F.col("best.doc_id").alias("keep_id"),
-        F.expr("~best.last").alias("keep_row"), agreed.alias("group_size")))
-    return join_keyed(rows, chosen, ["h", "sha"], "group_size").select(
+    chosen = saved(owned.join(index, entry).select(
+        *entry, "chain", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"),
+        agreed.alias("group_size")))
+    return join_keyed(held, chosen, entry, "group_size").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.col("sha").alias("text_sha256"))
 
