@@ -63,3 +63,26 @@ def test_no_python_in_the_plan(spark, n):
     docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(TEXTS[:n])], DOCS)
     plan = x.judged(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rejected_rows_see_no_later_rule(spark, monkeypatch):
+    """A later rule, and a later measure, that raise at every document that comes to them."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "short"), (2, "# " * 20 + "long enough " * 9)], "doc_id long, text string")
+    raises = x.Rule("raises", "raise_error('seen') is null")
+    rows = x.cascade(x.texts(docs), [x.RULES[0], x.Rule("symbols", "n_symbols > 10"), raises])
+    assert {r.doc_id: r.rejected_by for r in rows.collect()} == {1: "few_words", 2: "symbols"}
+    with pytest.raises(Exception, match="seen"):
+        x.cascade(x.texts(docs), [x.RULES[0], raises]).collect()
+    monkeypatch.setitem(x.MEASURES, "n_repeat_words", lambda: F.raise_error(F.lit("measured")).cast("long"))
+    order = [x.RULES[0], x.Rule("symbols", "n_symbols > 10"), x.RULES[1]]
+    assert x.cascade(x.texts(docs), order).where("rejected_by is null").count() == 0
+    with pytest.raises(Exception, match="measured"):
+        x.cascade(x.texts(docs), order[::-1]).select("rejected_by").collect()
+
+
+def test_kept_is_the_verdict_of_the_report(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    short = {r.doc_id: r.rejected_by is None for r in x.kept(docs).collect()}
+    assert short == {r.doc_id: r.rejected_by is None for r in x.judged(docs).collect()}
