@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import join_keyed, one_of_alike, saved, ship, without
+from wordloom.llm.common import give_back, join_keyed, one_of_alike, saved, ship, without
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -136,6 +136,7 @@ def signatures(docs: DataFrame, shingler: Shingler, doc_id: str, text: str) -> D
                 cid.append(shingler.digest(runs))
                 bands.append(shingler.band_hashes(runs) if len(runs) else [])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "th": batch["th"], "n": n, "cid": cid, "bands": bands})
+        give_back()
 
     return rows.mapInPandas(sign, f"doc_id {kind}, th long, n int, cid binary, bands array<long>")
 
@@ -151,6 +152,7 @@ def sets(docs: DataFrame, wanted: DataFrame, shingler: Shingler, text: str) -> D
         for batch in batches:
             yield pd.DataFrame({"cid": batch["cid"],
                                 "runs": [shingler.set_of(t).view("int64") for t in batch["text"]]})
+        give_back()
 
     return texts.join(wanted, "th").select("cid", "text").mapInPandas(work, "cid binary, runs array<long>")
 

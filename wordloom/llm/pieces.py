@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import ship
+from wordloom.llm.common import give_back, ship
 
 DROPOUT = 0.1
 VARIANTS = 4
@@ -379,6 +379,8 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                 ends = pa.array(offsets, mask=null.to_numpy(zero_copy_only=False))
                 ids = pa.ListArray.from_arrays(ends, pa.array(flat, type=pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out])
+        del encoder
+        give_back()
 
     return rows.mapInArrow(work, schema)
 
@@ -397,6 +399,7 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decod
             for batch in _slices(whole, ids):
                 texts = decode_lists(shared.value, batch.column(ids))
                 yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, out])
+        give_back()
 
     return docs.mapInArrow(work, schema)
 

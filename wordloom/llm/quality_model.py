@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import saved, ship
+from wordloom.llm.common import give_back, saved, ship
 
 ORDER = 5
 # A language has a model of its own from so many counted documents on.
@@ -86,6 +86,8 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
                         yield from told(found)
                         found = {}
         yield from told(found)
+        del found
+        give_back()
 
     return rows.select("lang", "text").mapInPandas(count, "lang string, gram string, c long").groupBy(
         "lang", "gram").agg(F.sum("c").alias("c"))
@@ -329,8 +331,9 @@ def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER, with_t
                     asked.setdefault(block, []).append(_Part(keys, lang, unpacked(rows, at)).requests())
                 if len(asked[block]) > 8:
                     asked[block] = [np.unique(np.concatenate(asked[block]))]
-        for block, found in asked.items():
-            yield pd.DataFrame({"block": block, "key": np.unique(np.concatenate(found))})
+        for block in list(asked):
+            yield pd.DataFrame({"block": block, "key": np.unique(np.concatenate(asked.pop(block)))})
+        give_back()
 
     requests = blocks.mapInPandas(ask, "block int, key long")
     answers = requests.join(table, "key").select("block", "key", "p", "gamma")
@@ -346,8 +349,10 @@ def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER, with_t
             out[at] = -_Part(keys, lang, unpacked(rows, at)).log_probabilities(known)
         result = rows[[*carried, "n_chars"]].copy()
         result["log_ppl"] = out / sizes
+        del known, found
         if with_text:
             result["text"] = unpacked(rows, range(len(rows)))
+        give_back()
         return result
 
     schema = T.StructType([*(fields[c] for c in carried), size, T.StructField("log_ppl", T.DoubleType()),
