@@ -35,8 +35,7 @@ def mix_of_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document; a text that would not decode to itself stops the job."""
-    ids = pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES)
-    return pieces.checked(ids, PIECES).drop("text")
+    return pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES, check=True).drop("text")
 
 
 STAGES = [

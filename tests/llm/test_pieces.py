@@ -127,3 +127,11 @@ def test_random_strings(vocabulary):
     texts = ["".join(chr(rng.choice([32, 10, 97, 101, 0x2581, 0x4E00, 0x1F600, 160])) for _ in range(rng.randrange(60))) for _ in range(300)]
     for dropout in (0, 0.4):
         assert decoded(vocabulary, encoded(vocabulary, texts, dropout)) == texts
+
+
+def test_encoding_checks_itself(spark):
+    """The check changes no ids, and texts of all kinds pass it."""
+    docs = awkward(spark)
+    plain = x.encode(docs, PIECES, out="made").select("doc_id", "made").collect()
+    checked = x.encode(docs, PIECES, out="made", check=True).select("doc_id", "made").collect()
+    assert sorted(map(str, plain)) == sorted(map(str, checked))

@@ -352,8 +352,13 @@ def _slices(batch, column: str) -> Iterator:
 
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
-           out: str = "ids", dropout: float = DROPOUT, seed: int = 1, variants: int = VARIANTS) -> DataFrame:
-    """``docs`` with the piece ids of ``text`` as ``out``."""
+           out: str = "ids", dropout: float = DROPOUT, seed: int = 1, variants: int = VARIANTS,
+           check: bool = False) -> DataFrame:
+    """``docs`` with the piece ids of ``text`` as ``out``.
+
+    With ``check`` the task decodes them again at once, and the job stops at a text that
+    its ids do not decode to.
+    """
     if not 0 <= dropout <= 1:
         raise ValueError("dropout is a share")
     ship(docs.sparkSession)
@@ -378,6 +383,8 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                 null = pa.array([t is None for t in texts] + [False])
                 ends = pa.array(offsets, mask=null.to_numpy(zero_copy_only=False))
                 ids = pa.ListArray.from_arrays(ends, pa.array(flat, type=pa.int32()))
+                if check and decode_lists(shared.value, ids).to_pylist() != texts:
+                    raise ValueError("ids do not decode to the text")
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out])
         del encoder
         give_back()
