@@ -135,3 +135,42 @@ def test_encoding_checks_itself(spark):
     plain = x.encode(docs, PIECES, out="made").select("doc_id", "made").collect()
     checked = x.encode(docs, PIECES, out="made", check=True).select("doc_id", "made").collect()
     assert sorted(map(str, plain)) == sorted(map(str, checked))
+
+
+def test_remembered_agendas_are_those_of_each_occurrence(vocabulary, monkeypatch):
+    texts = TEXTS + [prose("en", 300, i % 5) for i in range(30)]
+    keys = [i * i - 7 for i in range(len(texts))]
+    for dropout in (0.1, 0.4, 1):
+        got = encoded(vocabulary, texts, dropout, variants=keys)
+        with monkeypatch.context() as m:
+            m.setattr(x.Encoder, "_nodes", lambda self, codes, own: (codes, np.arange(len(codes))))
+            assert encoded(vocabulary, texts, dropout, variants=keys) == got
+        assert decoded(vocabulary, got) == texts
+
+
+def test_segmentations_of_a_word_grow_with_documents(vocabulary):
+    ways = [len(set(map(tuple, encoded(vocabulary, ["understandings"] * n, 0.3, variants=list(range(n)))))) for n in (4, 40, 400)]
+    assert ways[0] > 1 and ways[1] > ways[0] and ways[2] > max(20, ways[1])
+    ids = encoded(vocabulary, ["understandings " * 50], 0.3)[0]
+    words, word = [], []
+    for i in ids:
+        if vocabulary.text[vocabulary.text_start[i]] == 32 and word:
+            words.append(tuple(word))
+            word = []
+        word.append(i)
+    assert len(set(words)) > 4
+
+
+def test_the_share_of_skips_is_the_dropout():
+    key = x._mixed(np.arange(200_000, dtype=np.uint64))
+    at = [np.array([k]) for k in (0, 1, 2)]
+    assert abs(x._skipped(key, *at, 0.1).mean() - 0.1) < 0.005
+
+
+def test_copies_behind_each_other_are_cut_on_their_own(spark):
+    docs = spark.createDataFrame([(1, prose("en", 200, 4)), (2, "x")], "doc_id long, text string")
+    copies = docs.select("*", F.explode(F.expr("sequence(1, 5)")).alias("copy")).coalesce(1)
+    rows = [r for r in x.encode(copies, PIECES).collect() if r.doc_id == 1]
+    assert len({tuple(r.ids) for r in rows}) == 5
+    again = [r for r in x.encode(copies, PIECES).collect() if r.doc_id == 1]
+    assert rows == again

@@ -4,19 +4,23 @@ A text becomes the characters of its chunks; a chunk is a word with the blanks i
 front of it, and no piece reaches over its end. Each chunk has an agenda of
 candidate merges, two neighbours whose joined text is a piece. The best candidate is
 taken until none is left. A candidate is skipped for good when a hash of its place,
-keyed by seed, variant and chunk, falls below ``dropout``: so the same text is cut
-differently under other keys, always by merges the model knows, and always decodes
-to what it was. Characters that the model lacks become byte pieces. With no dropout
-the result is the model's own segmentation.
+keyed by seed, document, copy and the chunk's number in its text, falls below
+``dropout``: so every occurrence of a word is cut on its own, always by merges the
+model knows, and always decodes to what it was. Characters that the model lacks become
+byte pieces. With no dropout the result is the model's own segmentation.
 
 The vocabulary is read from a file whose path is a parameter; it is small and fixed,
-and sent to the tasks. All chunks of a batch that are new to a task are worked
-through together, as arrays. A document's variant is a hash of its id and the seed.
+and sent to the tasks. A task remembers the agenda of each chunk without a skip, and
+after each single first skip, with the candidates it meets; occurrences are held
+against these as arrays, and what skips twice or more goes through its own agenda.
+What is remembered changes no result.
 
 Cases: null text gives null ids, null ids give null text; an empty text gives no
 ids. The character that marks blanks in the vocabulary is kept as bytes where a text
-holds it. Rows that repeat are cut alike. An empty table gives an empty result.
-Further columns stay as they are; ``out`` names the new one.
+holds it. Rows of one id that follow each other in a partition are copies 0, 1, 2, ...
+and are cut as such; copies further apart, or in other partitions, start at 0 again.
+Rows without an id share a key. An empty table gives an empty result. Further columns
+stay as they are; ``out`` names the new one.
 """
 
 from __future__ import annotations
@@ -32,7 +36,6 @@ from pyspark.sql import types as T
 from wordloom.llm.common import give_back, ship
 
 DROPOUT = 0.1
-VARIANTS = 4
 MARK = "▁"
 # Stands for the mark itself in a text; a lone surrogate cannot come from UTF-8.
 MARK_IN_TEXT = "\udc81"
@@ -40,7 +43,10 @@ CHUNKS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 LONG = 32
 NONE = 1 << 30
 MEMORY = 500_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+# Occurrences that are held against their candidates together, chunks merged together.
+BLOCK, ROWS = 50_000, 20_000
+NOWHERE = (1 << 64) - 1
 
 
 class Vocabulary:
@@ -143,11 +149,21 @@ def _mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
+def _place(left, middle, end):
+    """A candidate [left, middle) + [middle, end) as one number."""
+    import numpy as np
+
+    return (left.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
+
+
 def _skipped(key, left, middle, end, dropout: float):
     """Whether the candidate [left, middle) + [middle, end) of a keyed chunk is skipped."""
+    return _skipped_at(key, _place(left, middle, end), dropout)
+
+
+def _skipped_at(key, place, dropout: float):
     import numpy as np
 
-    place = (left.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
     return (_mixed(_mixed(key ^ place) + place) >> np.uint64(11)) < np.uint64(int(dropout * (1 << 53)))
 
 
@@ -159,63 +175,154 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        """Nodes: chunks cut without a skip, and chunks cut with one."""
         import numpy as np
 
-        self.known: dict[int, _Numbered] = {}
-        self.pending: list[tuple[int, str]] = []
+        self.known = _Numbered(self)
+        self.pending: list[str] = []
         self.n = 0
-        self.size = np.zeros(0, dtype=np.int64)
+        self.size, self.start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
+        self.names: list[str] = []
+        # The candidates that each node meets in turn, and the node of a skip there.
+        self.met, self.met_start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.places, self.child = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
 
-    def number(self, variant: int):
-        if variant not in self.known:
-            self.known[variant] = _Numbered(self, variant)
-        return self.known[variant].__getitem__
+    def encode(self, texts: list[str | None], keys: list[int]):
+        """Flat ids of all texts, and how many each text has; 0 for null.
 
-    def encode(self, texts: list[str | None], variants: list[int]):
-        """Flat ids of all texts, and how many each text has; 0 for null."""
+        Texts of one key are cut alike where they are alike.
+        """
         import numpy as np
 
         if self.n > MEMORY:
             self.forget()
         codes, per_text = [], []
-        for text, variant in zip(texts, variants):
+        for text in texts:
             chunks = CHUNKS.findall(MARK + text.replace(MARK, MARK_IN_TEXT).replace(" ", MARK)) if text else ()
-            codes.append(np.fromiter(map(self.number(variant), chunks), dtype=np.int64, count=len(chunks)))
+            codes.append(np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
             per_text.append(len(chunks))
         if self.pending:
-            size, flat = self.segment(self.pending)
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+            self._grow(self.pending, np.full(len(self.pending), NOWHERE, dtype=np.uint64))
             self.pending = []
         if not codes:
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
-        codes = np.concatenate(codes)
-        start = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        sizes = self.size[codes]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        codes, per_text = np.concatenate(codes), np.array(per_text, dtype=np.int64)
         at = np.concatenate([[0], np.cumsum(per_text)])
-        return gather(self.flat, start[codes], sizes), ends[at[1:]] - ends[at[:-1]]
+        flat, starts, sizes = self.flat, self.start[codes], self.size[codes]
+        if self.dropout > 0:
+            number = (np.arange(len(codes)) - np.repeat(at[:-1], per_text)).astype(np.uint64)
+            own = np.repeat(np.array(keys, dtype=np.int64).astype(np.uint64), per_text)
+            seed = np.uint64(self.seed & (1 << 63) - 1)
+            own = _mixed(own ^ _mixed(number * np.uint64(0xD1B54A32D192ED03) + seed))
+            nodes, apart = self._nodes(codes, own)
+            starts, sizes = self.start[nodes], self.size[nodes]
+            if len(apart):
+                more, own_flat = self.segment([(k, self.names[c]) for k, c in zip(own[apart].tolist(), codes[apart].tolist())])
+                starts[apart] = len(self.flat) + np.cumsum(more) - more
+                sizes[apart] = more
+                flat = np.concatenate([self.flat, own_flat])
+            else:
+                flat = self.flat
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return gather(flat, starts, sizes), ends[at[1:]] - ends[at[:-1]]
+
+    def _nodes(self, codes, keys):
+        """The node of every occurrence, and the occurrences that no node holds."""
+        import numpy as np
+
+        nodes, apart = codes.copy(), [np.flatnonzero(self.met[codes] < 0)]
+        at = np.flatnonzero(self.met[codes] >= 0)
+        for depth in range(2):
+            first = np.concatenate([np.zeros(0, dtype=np.int64), *(
+                self._first_skip(nodes[at[i:i + BLOCK]], keys[at[i:i + BLOCK]]) for i in range(0, len(at), BLOCK))])
+            at, first = at[first >= 0], first[first >= 0]
+            if depth == 0:
+                new = np.unique(first[self.child[first] < 0])
+                if len(new):
+                    parents = np.searchsorted(self.met_start, new, side="right") - 1
+                    children = np.arange(self.n, self.n + len(new))
+                    self.n += len(new)
+                    self._grow([self.names[p] for p in parents.tolist()], self.places[new], new - self.met_start[parents])
+                    self.child[new] = children
+                nodes[at] = self.child[first]
+        return nodes, np.concatenate([*apart, at])
+
+    def _first_skip(self, nodes, keys):
+        """Where each occurrence first skips a candidate that its node meets, else -1."""
+        import numpy as np
+
+        counts = self.met[nodes]
+        some = np.flatnonzero(counts > 0)
+        out = np.full(len(nodes), -1, dtype=np.int64)
+        if len(some):
+            counts = counts[some]
+            before = np.cumsum(counts) - counts
+            entry = np.arange(int(counts.sum())) + np.repeat(self.met_start[nodes[some]] - before, counts)
+            lost = _skipped_at(np.repeat(keys[some], counts), self.places[entry], self.dropout)
+            first = np.minimum.reduceat(np.where(lost, entry, np.int64(1 << 62)), before)
+            out[some] = np.where(first < 1 << 62, first, -1)
+        return out
+
+    def _grow(self, chunks: list[str], barred, known=None) -> None:
+        """Nodes of ``chunks`` without the candidate ``barred``; their first ``known + 1`` are met before."""
+        import numpy as np
+
+        short = np.array([self.dropout == 0 or len(c) <= LONG for c in chunks])
+        some = np.flatnonzero(short)
+        trace = None if self.dropout == 0 else []
+        sizes, flat = np.zeros(len(chunks), dtype=np.int64), np.zeros(0, dtype=np.int32)
+        met, places = np.where(short, 0, -1), np.zeros(0, dtype=np.uint64)
+        if len(some):
+            sizes[some], flat = self._cut([chunks[i] for i in some.tolist()], barred[some], trace)
+        if trace:
+            rows, places = map(np.concatenate, zip(*trace))
+            order = np.argsort(rows, kind="stable")
+            rows, places = rows[order], places[order]
+            if known is not None:
+                counts = np.bincount(rows, minlength=len(some))
+                turn = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+                rows, places = rows[late := turn > known[some][rows]], places[late]
+            met[some] = np.bincount(rows, minlength=len(some))
+        join = np.concatenate
+        self.names += chunks
+        self.start = join([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size, self.flat = join([self.size, sizes]), join([self.flat, flat])
+        counts = np.maximum(met, 0)
+        self.met_start = join([self.met_start, len(self.places) + np.cumsum(counts) - counts])
+        self.met, self.places = join([self.met, met]), join([self.places, places])
+        self.child = join([self.child, np.full(len(places), -1, dtype=np.int32)])
 
     def segment(self, chunks: list[tuple[int, str]]):
-        """Sizes and flat ids of ``(variant, chunk)``, in their order."""
+        """Sizes and flat ids of ``(key, chunk)``, in their order."""
+        import numpy as np
+
+        return self._cut([c for _, c in chunks], np.array([k for k, _ in chunks], dtype=np.uint64))
+
+    def _cut(self, chunks: list[str], keys, trace: list | None = None):
+        """Sizes and flat ids of chunks under their keys.
+
+        With ``trace`` the keys are places, of the one candidate that each chunk skips, and
+        ``trace`` gets the (row, place) of every candidate met, in turn.
+        """
         import numpy as np
 
         v = self.vocabulary
-        lengths = np.array([len(c) for _, c in chunks], dtype=np.int64)
-        codes = np.frombuffer("".join(c for _, c in chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        lengths = np.array([len(c) for c in chunks], dtype=np.int64)
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        weights = _mixed(np.arange(1, int(lengths.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        inside = np.arange(len(codes)) - np.repeat(starts, lengths)
-        sums = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * weights[inside], starts)
-        keys = _mixed(sums ^ _mixed(np.array([x for x, _ in chunks], dtype=np.uint64)
-                                    * np.uint64(0xD1B54A32D192ED03) + np.uint64(self.seed & (1 << 63) - 1)))
         ids = v.char_id[codes]
         out_piece, out_row, out_at = [], [], []
         edges = (4, 7, 10, 14, 20, LONG)
         for low, high in zip((0, *edges), edges):
-            for rows in np.array_split(r := np.flatnonzero((lengths > low) & (lengths <= high)), max(1, len(r) // 50_000)):
+            for rows in np.array_split(r := np.flatnonzero((lengths > low) & (lengths <= high)), max(1, len(r) // ROWS)):
                 if len(rows):
-                    piece, row, at = self._merge(ids, starts[rows], lengths[rows], keys[rows], high)
+                    if trace is None:
+                        piece, row, at = self._merge(ids, starts[rows], lengths[rows], keys[rows], high)
+                    else:
+                        own: list = []
+                        piece, row, at = self._merge(ids, starts[rows], lengths[rows], keys[rows], high, own)
+                        trace += [(rows[r], place) for r, place in own]
                     out_piece.append(piece), out_row.append(rows[row]), out_at.append(at)
         for r in np.flatnonzero(lengths > LONG):
             piece, at = self._merge_long(ids[starts[r]:starts[r] + lengths[r]], keys[r])
@@ -234,7 +341,7 @@ class Encoder:
         flat[flat < 0] = v.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         return np.bincount(np.repeat(row, count), minlength=len(chunks)), flat
 
-    def _merge(self, ids, starts, lengths, keys, width: int):
+    def _merge(self, ids, starts, lengths, keys, width: int, trace: list | None = None):
         """The agendas of many short chunks, one merge of each at a time."""
         import numpy as np
 
@@ -245,7 +352,8 @@ class Encoder:
         begin = np.minimum(np.arange(width + 1), lengths[:, None]).astype(np.int16)
         if width == 1:
             return piece[:, 0], np.arange(n), begin[:, 0]
-        joined = self._candidates(piece[:, :-1], piece[:, 1:], keys[:, None], begin[:, :-2], begin[:, 1:-1], begin[:, 2:])
+        joined = self._candidates(piece[:, :-1], piece[:, 1:], keys[:, None], begin[:, :-2], begin[:, 1:-1], begin[:, 2:],
+                                  np.arange(n)[:, None], trace)
         rank = self.vocabulary.rank_or_none[joined]
         done, live = [], np.arange(n)
         while True:
@@ -273,11 +381,11 @@ class Encoder:
                 here = np.flatnonzero((at >= 0) & (at < width - 1))
                 k = at[here]
                 found = self._candidates(piece[here, k], piece[here, k + 1], keys[here],
-                                         begin[here, k], begin[here, k + 1], begin[here, k + 2])
+                                         begin[here, k], begin[here, k + 1], begin[here, k + 2], live[here], trace)
                 joined[here, k], rank[here, k] = found, self.vocabulary.rank_or_none[found]
         return tuple(map(np.concatenate, zip(*done)))
 
-    def _candidates(self, left, right, key, a, b, c):
+    def _candidates(self, left, right, key, a, b, c, row=None, trace=None):
         """What two neighbours join into, -1 where they do not or the merge is skipped."""
         import numpy as np
 
@@ -285,7 +393,12 @@ class Encoder:
         if self.dropout > 0:
             at = np.flatnonzero(flat >= 0)
             key, a, b, c = (np.broadcast_to(x, left.shape).ravel()[at] for x in (key, a, b, c))
-            flat[at[_skipped(key, a, b, c, self.dropout)]] = -1
+            place = _place(a, b, c)
+            if trace is None:
+                flat[at[_skipped_at(key, place, self.dropout)]] = -1
+            else:
+                trace.append((np.broadcast_to(row, left.shape).ravel()[at], place))
+                flat[at[place == key]] = -1
         return flat.reshape(left.shape)
 
     def _merge_long(self, ids, key):
@@ -322,15 +435,15 @@ class Encoder:
 
 
 class _Numbered(dict):
-    """Chunks of one variant; an unseen chunk gets the next number and is put down to be segmented."""
+    """Numbers of chunks; an unseen chunk gets the next one and is put down to be cut."""
 
-    def __init__(self, encoder: Encoder, variant: int):
+    def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder, self.variant = encoder, variant
+        self.encoder = encoder
 
     def __missing__(self, chunk: str) -> int:
         e = self.encoder
-        e.pending.append((self.variant, chunk))
+        e.pending.append(chunk)
         self[chunk] = at = e.n
         e.n += 1
         return at
@@ -352,7 +465,7 @@ def _slices(batch, column: str) -> Iterator:
 
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
-           out: str = "ids", dropout: float = DROPOUT, seed: int = 1, variants: int = VARIANTS,
+           out: str = "ids", dropout: float = DROPOUT, seed: int = 1,
            check: bool = False) -> DataFrame:
     """``docs`` with the piece ids of ``text`` as ``out``.
 
@@ -363,10 +476,10 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         raise ValueError("dropout is a share")
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
-    variant = "_variant"
-    while variant in docs.columns:
-        variant += "_"
-    rows = docs.withColumn(variant, F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(variants)))
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), doc_id))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     names = docs.columns
 
@@ -375,10 +488,14 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         import pyarrow as pa
 
         encoder = Encoder(shared.value, dropout, seed)
+        last, copy = None, 0
         for whole in batches:
             for batch in _slices(whole, text):
-                texts = batch.column(text).to_pylist()
-                flat, sizes = encoder.encode(texts, batch.column(variant).to_pylist())
+                texts, keys = batch.column(text).to_pylist(), batch.column(key).to_pylist()
+                for i, k in enumerate(keys):
+                    copy = copy + 1 if k == last else 0
+                    last, keys[i] = k, k ^ copy << 32
+                flat, sizes = encoder.encode(texts, keys)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 null = pa.array([t is None for t in texts] + [False])
                 ends = pa.array(offsets, mask=null.to_numpy(zero_copy_only=False))
