@@ -13,12 +13,12 @@ URLS = [
 ]
 
 
-def plain(url):
+def plain(url, rules=x.RULES):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host):])[0] if rest else ""
     host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
-    fits = [(len(h + p), h + p, v) for v, h, p in x.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return host, path, max(fits, default=(0, None, None))
 
 
@@ -143,3 +143,99 @@ def test_deep_paths_are_told_apart(spark):
     assert (got[0].template, got[20].template) == (f"{deep}/spam/*", f"{deep}/news/*")
     assert got[42].template == "/*/*/*/*/*/*/*" and got[51].template.count("/") == 7
     assert len(got) == len(urls)
+
+
+def plain_judge(urls, rules, least_count=5, strength=4.0, least_purity=0.4, z=1.96):
+    """``(template, verdict)`` of every URL by plain loops, the tree level by level."""
+    def lower(part, whole):
+        p = part / whole
+        return (p + z * z / 2 / whole - z * (p * (1 - p) / whole + z * z / 4 / whole**2) ** 0.5) / (1 + z * z / whole)
+
+    rows = []
+    for u in urls:
+        host, path, (_, _, verdict) = plain(u, rules)
+        segs = [] if path == "" else re.sub("^/", "", path).split("/")
+        rows.append({"h": host, "s": ["*" if re.search(x.IDENTIFIER, s) else s for s in segs], "t": "", "v": verdict, "done": False})
+    for level in range(max(len(r["s"]) for r in rows) + 1):
+        nodes = defaultdict(list)
+        for r in rows:
+            r["done"] = r["done"] or level >= len(r["s"])
+            if not r["done"]:
+                nodes[r["h"], r["t"]].append(r)
+        for members in nodes.values():
+            if level >= x.DEPTH and (len(members) < least_count or all(r["s"] == members[0]["s"] for r in members)):
+                for r in members:
+                    r["t"], r["done"] = r["t"] + "/*", True
+                continue
+            by = defaultdict(list)
+            for r in members:
+                by[r["s"][level]].append(r)
+            few = [m for m in by.values() if 1 < len(m) < least_count]
+            known = [m for m in few if any(r["v"] for r in m)]
+            bad = sum(sum(r["v"] == "block" for r in m) > sum(r["v"] == "allow" for r in m) for m in known)
+            alike = 2 * len(known) >= len(few) and known and lower(max(bad, len(known) - bad), len(known)) > 0.6
+            for seg, m in by.items():
+                wild = seg and (len(m) == 1 or len(m) < least_count and alike)
+                for r in m:
+                    r["t"] += "/" + ("*" if wild else seg)
+    count = defaultdict(lambda: [0, 0])
+    for r in rows:
+        if r["v"]:
+            count[r["h"], r["t"]][r["v"] == "block"] += 1
+    shapes, pooled = defaultdict(list), {}
+    for (h, t), (good, bad) in count.items():
+        shapes[h, re.sub(r"/[^/*][^/]*((?:/\*|/)*)$", r"/?\1", t)].append((bad / (good + bad), t, good, bad))
+    for (h, _), siblings in shapes.items():
+        groups = []
+        for one in sorted(siblings):
+            if groups:
+                _, _, g0, b0 = groups[-1][-1]
+                n0, n, b = g0 + b0, one[2] + one[3], one[3]
+                p = (b + b0) / (n + n0)
+                if abs(b / n - b0 / n0) <= z * (p * (1 - p) * (1 / n + 1 / n0)) ** 0.5:
+                    groups[-1].append(one)
+                    continue
+            groups.append([one])
+        for group in groups:
+            good, bad = sum(o[2] for o in group), sum(o[3] for o in group)
+            rejected = good + bad >= strength and (good + strength / 2) / (good + bad + strength) < least_purity
+            pooled |= {(h, o[1]): rejected for o in group}
+    return [(r["t"], r["v"] or ("block" if pooled.get((r["h"], r["t"])) else "allow")) for r in rows]
+
+
+def sections(host, n, of=2):
+    return [f"http://{host}/sec-{chr(97 + k // 26)}{chr(97 + k % 26)}/page" for k in range(n) for _ in range(of)]
+
+
+def test_whole_rule_beside_plain_loops(spark):
+    urls = many() + sections("tail.net", 60) + sections("mixed.net", 60) + sections("rare.net", 40, 3)
+    urls += [f"http://deep.org/a/b/c/d/e/f/{s}/{t}" for s in ("g", "h") for t in ("x", "y", "y") for _ in range(3)]
+    urls += [f"http://one.org/{chr(97 + i)}x/{chr(97 + j)}y" for i in range(9) for j in range(i % 4)]
+    rules = [*x.RULES, *[("block", "tail.net", f"/sec-{c}") for c in "ab"], ("block", "mixed.net", "/sec-a"),
+             ("allow", "mixed.net", "/sec-b"), ("block", "rare.net", "/sec-aa/"), ("block", "deep.org", "/a/b/c/d/e/f/g/"),
+             *[("block", "one.org", f"/{c}x/ay") for c in "abcdefgh"]]
+    got = {r.page_id: (r.template or "", r.verdict) for r in x.judge(pages(spark, urls), rules=rules).collect()}
+    want = plain_judge(urls, rules)
+    assert [got[i] for i in range(len(urls))] == want
+    assert {t for t, _ in want} >= {"/*/page", "/sec-aa/page"}
+
+
+def test_verdicts_do_not_turn_with_the_number_of_sections(spark):
+    """One or two blocked sections among few or many others that have no label."""
+    urls, rules = [], list(x.RULES)
+    for blocked in (1, 2):
+        for n in (8, 31, 32, 33, 34, 200):
+            host = f"h{blocked}-{n}.org"
+            urls += sections(host, n)
+            rules += [("block", host, f"/sec-a{c}/") for c in "ab"[:blocked]]
+    got = x.judge(pages(spark, urls), rules=rules).collect()
+    assert len(got) == len(urls)
+    assert all(r.verdict == ("block" if r.rule else "allow") for r in got)
+
+
+def test_a_few_labels_reject_nothing(spark):
+    urls = [f"http://x.org/blog/{i}" for i in range(60)]
+    for n, verdict in ((2, "allow"), (4, "block")):
+        rules = [("block", "x.org", f"/blog/5{i}") for i in range(n)]
+        got = {r.page_id: r.verdict for r in x.judge(pages(spark, urls), rules=rules).collect()}
+        assert got[10] == verdict

@@ -1,11 +1,13 @@
 """URL filters by a path-template tree. [operator 8]
 
 Known rules judge the URLs that they fit, and serve as labels for the rest. Per
-host the paths form a tree of segments. A segment that looks like an identifier, that
-occurs once, or that is one of many rare values of its node, is generalised into a
-wildcard, whatever its share. Sibling templates of one shape whose labelled shares do not differ
-significantly are merged. A template is rejected when the share of good labels,
-smoothed towards a half, falls below ``least_purity``.
+host the paths form a tree of segments. A segment that looks like an identifier or that
+occurs once in its node is generalised into a wildcard. So are the rare segments of a
+node where most of them have labels and these agree; others stay literal, however many
+they are, and are not judged by their neighbours. Sibling templates of one shape whose
+labelled shares do not differ significantly are merged. A template is rejected when it
+has labels of at least the prior's weight, and their share of good ones, smoothed
+towards a half, falls below ``least_purity``.
 
 Only built-in expressions. The tree works on counts per (host, path prefix), never
 on the URLs of a host in one task; the rows that a window compares are the different
@@ -42,8 +44,9 @@ MAX_RULES = 10_000
 # Below here a branch goes on only where it has several shapes and enough URLs to tell
 # them apart; there its whole paths take part however deep they are.
 DEPTH = 6
-# A node with more different rare segments than this has a long tail.
-LONG_TAIL = 32
+# The labels of rare segments agree when the commoner one's share is surely above this.
+AGREED = 0.6
+Z = 1.96
 IDENTIFIER = "^(?=.*[0-9])[0-9A-Fa-f_-]+(\\.[a-z0-9]{1,5})?$|^[0-9A-Fa-f-]{16,}$|^.{65,}$"
 # What the wildcard is called; a segment of a real path never holds a slash.
 WILD = "*"
@@ -96,12 +99,21 @@ def plain_segments(path: Column) -> Column:
     return F.transform(segments(path), lambda x: F.when(x.rlike(IDENTIFIER), WILD).otherwise(x))
 
 
-def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAIL) -> DataFrame:
-    """``shapes(host, segs, n, …)`` with their ``template``.
+def surely(part: Column, whole: Column, z: float = Z) -> Column:
+    """Lower end of the Wilson interval of ``part / whole``; null where ``whole`` is 0."""
+    whole, z2 = F.nullif(whole, F.lit(0)), z * z
+    share = part / whole
+    spread = z * F.sqrt(share * (1 - share) / whole + z2 / (4 * whole * whole))
+    return (share + z2 / (2 * whole) - spread) / (1 + z2 / whole)
+
+
+def templates(shapes: DataFrame, least_count: int = 5, agreed: float = AGREED) -> DataFrame:
+    """``shapes(host, segs, n, bad, …)`` with their ``template``.
 
     Level by level: a segment stays literal if it occurs ``least_count`` times in its
-    node, or more than once in a node of at most ``long_tail`` different rarer segments.
-    Identifiers have gone before, so the rows are the different shapes of paths; each
+    node. One that occurs less often, but more than once, stays so too, unless at least
+    half of these in its node have labels and the share of those with the commoner label
+    is surely above ``agreed``: six that are all alike are enough. Identifiers have gone before, so the rows are the different shapes of paths; each
     level is one job over those that are as deep. Below ``DEPTH`` a node of one shape or
     of less than ``least_count`` URLs ends in one wildcard.
     """
@@ -120,9 +132,16 @@ def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAI
             deeper = deeper.where("not ends").drop("ends")
         if deeper.isEmpty():
             break
-        counts = deeper.groupBy("host", "template", "seg").agg(F.sum("n").alias("n_seg"))
-        nodes = counts.groupBy("host", "template").agg(F.count_if(F.col("n_seg") < least_count).alias("n_rare"))
-        rare = (F.col("n_seg") == 1) | (F.col("n_seg") < least_count) & (F.col("n_rare") > long_tail)
+        counts = deeper.groupBy("host", "template", "seg").agg(
+            F.sum("n").alias("n_seg"), F.coalesce(F.sum(F.col("n") * (2 * F.col("bad") - 1)), F.lit(0)).alias("more_bad"),
+            F.count("bad").alias("labels"))
+        few = (F.col("n_seg") > 1) & (F.col("n_seg") < least_count)
+        known = few & (F.col("labels") > 0)
+        n_few, n_known, n_bad = F.count_if(few), F.count_if(known), F.count_if(known & (F.col("more_bad") > 0))
+        alike = surely(F.greatest(n_bad, n_known - n_bad), n_known) > agreed
+        nodes = counts.groupBy("host", "template").agg(
+            F.coalesce((2 * n_known >= n_few) & alike, F.lit(False)).alias("alike"))
+        rare = (F.col("n_seg") == 1) | few & F.col("alike")
         named = counts.join(nodes, ["host", "template"]).select(
             "host", "template", "seg", F.when(rare & (F.col("seg") != ""), WILD).otherwise(F.col("seg")).alias("step"))
         rows = deeper.join(named, ["host", "template", "seg"]).withColumn(
@@ -130,7 +149,7 @@ def templates(shapes: DataFrame, least_count: int = 5, long_tail: int = LONG_TAI
     return reduce(DataFrame.unionByName, done)
 
 
-def template_labels(urls: DataFrame, z: float = 1.96) -> DataFrame:
+def template_labels(urls: DataFrame, z: float = Z) -> DataFrame:
     """``(host, template, group, n_urls, n_good, n_bad)`` of ``urls(host, template, n, bad)``.
 
     The shape of a template has a mark for its last literal segment. Labelled siblings
@@ -173,7 +192,7 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
 
     The verdict is that of the longest rule, else that of the URL's template, whose
     ``purity`` is the smoothed share of its allowed URLs. ``strength`` is the weight
-    of ``prior`` in labelled URLs; a template without labels has the prior, and stays.
+    of ``prior`` in labelled URLs; a template with fewer labels than that stays.
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -186,10 +205,11 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     shapes = saved(rows.groupBy("host", shape.alias("segs"), bad.alias("bad")).agg(F.count("*").alias("n")))
     built = saved(templates(shapes))
     purity = (F.col("good") + strength * prior) / (F.col("good") + F.col("bad") + strength)
-    labels = template_labels(built).select("host", "template", purity.alias("purity"))
+    bad_one = (purity < least_purity) & (F.col("good") + F.col("bad") >= strength)
+    labels = template_labels(built).select("host", "template", purity.alias("purity"), bad_one.alias("rejected"))
     scored = saved(built.groupBy("host", "segs").agg(F.sum("n").alias("n"), F.first("template").alias("template")).join(
-        labels, ["host", "template"]).select("host", "segs", "n", "template", "purity"))
+        labels, ["host", "template"]).select("host", "segs", "n", "template", "purity", "rejected"))
     judged = join_keyed(rows.withColumn("segs", shape), scored, ["host", "segs"], "n")
-    own = F.when(F.col("purity") < least_purity, BLOCK).otherwise(ALLOW)
+    own = F.when(F.col("rejected"), BLOCK).otherwise(ALLOW)
     return judged.select("page_id", "host", "path", "rule",
                          F.coalesce("ruled", own).alias("verdict"), "template", "purity")
