@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter, defaultdict
 
 from samples import DOCS, awkward, corpus, empty, prose
 from wordloom.llm import language_id as x
@@ -82,3 +84,80 @@ def test_every_language_can_be_predicted(spark):
     d = spark.createDataFrame([(i, t, f"l{i:03d}", "a") for i, t in enumerate(texts)], DOCS)
     got = {r.doc_id: r.lang_pred for r in x.identify(d, x.fit(d)).collect()}
     assert got == {i: f"l{i:03d}" for i in range(300)}
+
+
+def plain_identify(rows, texts, order=4):
+    """Language and score by plain loops over dictionaries."""
+    langs = sorted({lang for _, text, lang, _ in rows if lang is not None and text is not None and x.LETTERS.search(text.lower())})
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang, _ in rows:
+        if lang is not None and text is not None:
+            words[lang].update(x.LETTERS.findall(text.lower()))
+    for lang in langs:
+        for word, n in words[lang].items():
+            for k in range(1, order + 1):
+                for i in range(len(word) + 3 - k):
+                    grams[lang][f" {word} "[i:i + k]] += n
+
+    def smoothed(table, kind):
+        keys = {g for c in table.values() for g in c if kind(g)}
+        totals = {a: sum(n for g, n in table[a].items() if g in keys) for a in langs}
+        most = max(totals.values(), default=0)
+        return {g: [math.log((table[a][g] / max(totals[a], 1) * most + 0.5) / (most + 0.5 * len(keys))) for a in langs] for g in keys}
+
+    known = smoothed(words, lambda g: True)
+    pieces = {g: v for k in range(1, order + 1) for g, v in smoothed(grams, lambda g: len(g) == k).items()}
+
+    def gram(g):
+        if g in pieces:
+            return pieces[g]
+        if len(g) == 1:
+            return [math.log(1e-7)] * len(langs)
+        return [math.log(0.4) + (a + b) / 2 for a, b in zip(gram(g[:-1]), gram(g[1:]))]
+
+    def word(w):
+        if w in known:
+            return known[w]
+        w = f" {w} "
+        k = min(order, len(w))
+        parts = [gram(w[i:i + k]) for i in range(len(w) - k + 1)]
+        return [sum(v) / len(parts) for v in zip(*parts)]
+
+    for text in texts:
+        found = x.LETTERS.findall(text.lower()) if text is not None else []
+        if not found or not langs or not any(c.isalpha() for w in found for c in w):
+            yield "und", 0.0
+            continue
+        sums = [sum(v) for v in zip(*map(word, found))]
+        best = max(range(len(langs)), key=lambda i: (sums[i], -i))
+        yield langs[best], 1 / sum(math.exp((s - sums[best]) / math.sqrt(len(found))) for s in sums)
+
+
+def test_predictions_beside_plain_code(spark):
+    rows = corpus(200, 30)
+    split = x.held_out_split(spark.createDataFrame(rows, DOCS))
+    got = {r.doc_id: r for r in x.identify(split, x.fit(split.where("not held_out"))).collect()}
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    want = list(plain_identify(learned, [r[1] for r in rows]))
+    assert len(got) == len(rows)
+    for r, (lang, score) in zip(rows, want):
+        assert got[r[0]].lang_pred == lang and abs(got[r[0]].score - score) < 1e-6
+
+
+def test_awkward_predictions_beside_plain_code(spark):
+    d = awkward(spark)
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in d.collect()]
+    got = sorted((str(r.doc_id), r.lang_pred, round(r.score, 6)) for r in x.identify(d, x.fit(d)).collect())
+    want = plain_identify(rows, [r[1] for r in rows])
+    assert got == sorted((str(r[0]), lang, round(score, 6)) for r, (lang, score) in zip(rows, want))
+
+
+def test_every_word_of_the_sample_is_in_the_model(spark):
+    rows = [(i, f"only{chr(97 + i // 26)}{chr(97 + i % 26)} thing", "en", "a") for i in range(300)]
+    model = x.fit(spark.createDataFrame(rows, DOCS))
+    assert len(model.words) == 301 and " onl" in model.grams
+
+
+def test_a_null_id_is_kept_apart(spark):
+    d = spark.createDataFrame([(None, "some text", "en", "a"), (1, "more text", "en", "a")], DOCS)
+    assert [r.held_out for r in x.held_out_split(d).orderBy("doc_id").collect()] == [True, False]

@@ -6,12 +6,13 @@ is replaced by the two one shorter, to single characters, and each order down co
 a constant. A document's language is the one with the largest sum over its words.
 
 The model is fitted on a bounded sample of labelled rows: about ``TRAIN_ROWS`` of
-them, picked by a hash of the id, keep about ``MAX_WORDS`` words and ``MAX_GRAMS``
-n-grams by frequency. Each language has an equal part of these bounds, and at least
-``LEAST_ROWS`` rows, so that no language pushes out another, and all languages take
-part. These bounds are what makes it small enough to be sent to every task; every document is scored over its whole text. Words are counted in Spark.
+them, picked by a hash of the id. Each language has an equal part of these, and at
+least ``LEAST_ROWS`` rows, so that no language pushes out another, and all languages
+take part. The model holds every word of the sample and every n-gram of these; the
+sample's bound is what makes it small enough to be sent to every task, and the only
+one. Every document is scored over its whole text. Words are counted in Spark.
 
-Cases: ``und`` with score 0 where the text is null or has no letter, and for every
+Cases: a null id counts as an empty one, and is kept apart from learning. ``und`` with score 0 where the text is null or has no letter, and for every
 text when there is nothing to learn from. Rows that repeat are scored alike. Ties go
 to the first language in code point order. An empty table gives an empty result. Only
 id, text and, for learning, language are read, so further columns cannot clash.
@@ -31,8 +32,6 @@ from pyspark.sql.window import Window
 from wordloom.llm.common import saved, ship
 
 TRAIN_ROWS = 20_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 200_000
 # Rows of a language that are learned from, however many languages there are.
 LEAST_ROWS = 500
 ORDER = 4
@@ -44,7 +43,7 @@ CACHE = 2_000_000
 
 
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -200,8 +199,12 @@ class _Rows:
 
 
 def fit(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS,
-        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Scorer:
-    """A model of ``rows(doc_id, text, lang)``, rows without language left out."""
+        max_words: int | None = None, max_grams: int | None = None) -> Scorer:
+    """A model of ``rows(doc_id, text, lang)``, rows without language left out.
+
+    A smaller model can be asked for by ``max_words`` and ``max_grams``, which every
+    language then has an equal part of, by frequency.
+    """
     rows = rows.where("lang is not null and text is not null")
     sizes = saved(rows.groupBy("lang").agg(F.count("*").alias("n_rows")))
     labelled, n_langs = sizes.agg(F.sum("n_rows"), F.count("*")).first()
@@ -216,13 +219,14 @@ def fit(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS,
     if not names:
         return Scorer([], [], [], order)
 
-    def top(table: DataFrame, name: str, most: int) -> list[tuple]:
-        turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
-        some = table.withColumn("turn", turn).where(F.col("turn") <= -(-most // len(names)))
-        return [tuple(r) for r in some.select("lang", name, "n").orderBy(F.desc("n"), "lang", name).collect()]
+    def rows_of(table: DataFrame, name: str, most: int | None) -> list[tuple]:
+        if most is not None:
+            turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
+            table = table.withColumn("turn", turn).where(F.col("turn") <= -(-most // len(names)))
+        found = table.select("lang", name, "n").toArrow()
+        return sorted(zip(*(found.column(c).to_pylist() for c in ("lang", name, "n"))))
 
-    return Scorer(names, top(counts.where("n >= 2"), "word", max_words),
-                  top(count_grams(counts, order), "gram", max_grams), order)
+    return Scorer(names, rows_of(counts, "word", max_words), rows_of(count_grams(counts, order), "gram", max_grams), order)
 
 
 def identify(docs: DataFrame, model: Scorer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
