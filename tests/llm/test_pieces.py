@@ -143,7 +143,7 @@ def test_remembered_agendas_are_those_of_each_occurrence(vocabulary, monkeypatch
     for dropout in (0.1, 0.4, 1):
         got = encoded(vocabulary, texts, dropout, variants=keys)
         with monkeypatch.context() as m:
-            m.setattr(x.Encoder, "_nodes", lambda self, codes, own: (codes, np.arange(len(codes))))
+            m.setattr(x.Encoder, "_apart", lambda self, codes, own: np.arange(len(codes)))
             assert encoded(vocabulary, texts, dropout, variants=keys) == got
         assert decoded(vocabulary, got) == texts
 

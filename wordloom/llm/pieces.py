@@ -10,10 +10,10 @@ model knows, and always decodes to what it was. Characters that the model lacks
 byte pieces. With no dropout the result is the model's own segmentation.
 
 The vocabulary is read from a file whose path is a parameter; it is small and fixed,
-and sent to the tasks. A task remembers the agenda of each chunk without a skip, and
-after each single first skip, with the candidates it meets; occurrences are held
-against these as arrays, and what skips twice or more goes through its own agenda.
-What is remembered changes no result.
+and sent to the tasks. A task remembers each chunk as it is cut without a skip, and the
+candidates that this meets; an occurrence that skips none of these is cut so, any other
+goes through its own agenda, all of a batch as arrays. What is remembered changes no
+result.
 
 Cases: null text gives null ids, null ids give null text; an empty text gives no
 ids. The character that marks blanks in the vocabulary is kept as bytes where a text
@@ -46,7 +46,6 @@ MEMORY = 500_000
 SLICE_BYTES = 1 << 20
 # Occurrences that are held against their candidates together, chunks merged together.
 BLOCK, ROWS = 50_000, 20_000
-NOWHERE = (1 << 64) - 1
 
 
 class Vocabulary:
@@ -175,7 +174,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Nodes: chunks cut without a skip, and chunks cut with one."""
+        """Known chunks, as they are cut without a skip."""
         import numpy as np
 
         self.known = _Numbered(self)
@@ -184,9 +183,9 @@ class Encoder:
         self.size, self.start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
         self.names: list[str] = []
-        # The candidates that each node meets in turn, and the node of a skip there.
+        # How many candidates each meets, -1 where that is not known, and their places.
         self.met, self.met_start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.places, self.child = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.places = np.zeros(0, dtype=np.uint64)
 
     def encode(self, texts: list[str | None], keys: list[int]):
         """Flat ids of all texts, and how many each text has; 0 for null.
@@ -203,7 +202,7 @@ class Encoder:
             codes.append(np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
             per_text.append(len(chunks))
         if self.pending:
-            self._grow(self.pending, np.full(len(self.pending), NOWHERE, dtype=np.uint64))
+            self._grow(self.pending)
             self.pending = []
         if not codes:
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
@@ -215,57 +214,32 @@ class Encoder:
             own = np.repeat(np.array(keys, dtype=np.int64).astype(np.uint64), per_text)
             seed = np.uint64(self.seed & (1 << 63) - 1)
             own = _mixed(own ^ _mixed(number * np.uint64(0xD1B54A32D192ED03) + seed))
-            nodes, apart = self._nodes(codes, own)
-            starts, sizes = self.start[nodes], self.size[nodes]
+            apart = self._apart(codes, own)
             if len(apart):
                 more, own_flat = self.segment([(k, self.names[c]) for k, c in zip(own[apart].tolist(), codes[apart].tolist())])
                 starts[apart] = len(self.flat) + np.cumsum(more) - more
                 sizes[apart] = more
                 flat = np.concatenate([self.flat, own_flat])
-            else:
-                flat = self.flat
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return gather(flat, starts, sizes), ends[at[1:]] - ends[at[:-1]]
 
-    def _nodes(self, codes, keys):
-        """The node of every occurrence, and the occurrences that no node holds."""
-        import numpy as np
-
-        nodes, apart = codes.copy(), [np.flatnonzero(self.met[codes] < 0)]
-        at = np.flatnonzero(self.met[codes] >= 0)
-        for depth in range(2):
-            first = np.concatenate([np.zeros(0, dtype=np.int64), *(
-                self._first_skip(nodes[at[i:i + BLOCK]], keys[at[i:i + BLOCK]]) for i in range(0, len(at), BLOCK))])
-            at, first = at[first >= 0], first[first >= 0]
-            if depth == 0:
-                new = np.unique(first[self.child[first] < 0])
-                if len(new):
-                    parents = np.searchsorted(self.met_start, new, side="right") - 1
-                    children = np.arange(self.n, self.n + len(new))
-                    self.n += len(new)
-                    self._grow([self.names[p] for p in parents.tolist()], self.places[new], new - self.met_start[parents])
-                    self.child[new] = children
-                nodes[at] = self.child[first]
-        return nodes, np.concatenate([*apart, at])
-
-    def _first_skip(self, nodes, keys):
-        """Where each occurrence first skips a candidate that its node meets, else -1."""
+    def _apart(self, codes, keys):
+        """The occurrences that skip a candidate, or may: those need an agenda of their own."""
         import numpy as np
 
-        counts = self.met[nodes]
-        some = np.flatnonzero(counts > 0)
-        out = np.full(len(nodes), -1, dtype=np.int64)
-        if len(some):
-            counts = counts[some]
-            before = np.cumsum(counts) - counts
-            entry = np.arange(int(counts.sum())) + np.repeat(self.met_start[nodes[some]] - before, counts)
-            lost = _skipped_at(np.repeat(keys[some], counts), self.places[entry], self.dropout)
-            first = np.minimum.reduceat(np.where(lost, entry, np.int64(1 << 62)), before)
-            out[some] = np.where(first < 1 << 62, first, -1)
-        return out
-
-    def _grow(self, chunks: list[str], barred, known=None) -> None:
-        """Nodes of ``chunks`` without the candidate ``barred``; their first ``known + 1`` are met before."""
+        out = self.met[codes] < 0
+        for i in range(0, len(codes), BLOCK):
+            some = i + np.flatnonzero(self.met[codes[i:i + BLOCK]] > 0)
+            if len(some):
+                counts = self.met[codes[some]]
+                before = np.cumsum(counts) - counts
+                entry = np.arange(int(counts.sum())) + np.repeat(self.met_start[codes[some]] - before, counts)
+                lost = _skipped_at(np.repeat(keys[some], counts), self.places[entry], self.dropout)
+                out[some] = np.logical_or.reduceat(lost, before)
+        return np.flatnonzero(out)
+
+    def _grow(self, chunks: list[str]) -> None:
+        """Remember ``chunks``; long ones always have an agenda of their own."""
         import numpy as np
 
         short = np.array([self.dropout == 0 or len(c) <= LONG for c in chunks])
@@ -274,15 +248,10 @@ class Encoder:
         sizes, flat = np.zeros(len(chunks), dtype=np.int64), np.zeros(0, dtype=np.int32)
         met, places = np.where(short, 0, -1), np.zeros(0, dtype=np.uint64)
         if len(some):
-            sizes[some], flat = self._cut([chunks[i] for i in some.tolist()], barred[some], trace)
+            sizes[some], flat = self._cut([chunks[i] for i in some.tolist()], np.zeros(len(some), dtype=np.uint64), trace)
         if trace:
             rows, places = map(np.concatenate, zip(*trace))
-            order = np.argsort(rows, kind="stable")
-            rows, places = rows[order], places[order]
-            if known is not None:
-                counts = np.bincount(rows, minlength=len(some))
-                turn = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
-                rows, places = rows[late := turn > known[some][rows]], places[late]
+            places = places[np.argsort(rows, kind="stable")]
             met[some] = np.bincount(rows, minlength=len(some))
         join = np.concatenate
         self.names += chunks
@@ -291,7 +260,6 @@ class Encoder:
         counts = np.maximum(met, 0)
         self.met_start = join([self.met_start, len(self.places) + np.cumsum(counts) - counts])
         self.met, self.places = join([self.met, met]), join([self.places, places])
-        self.child = join([self.child, np.full(len(places), -1, dtype=np.int32)])
 
     def segment(self, chunks: list[tuple[int, str]]):
         """Sizes and flat ids of ``(key, chunk)``, in their order."""
@@ -302,8 +270,7 @@ class Encoder:
     def _cut(self, chunks: list[str], keys, trace: list | None = None):
         """Sizes and flat ids of chunks under their keys.
 
-        With ``trace`` the keys are places, of the one candidate that each chunk skips, and
-        ``trace`` gets the (row, place) of every candidate met, in turn.
+        With ``trace`` nothing is skipped, and it gets the (row, place) of every candidate met.
         """
         import numpy as np
 
@@ -398,7 +365,6 @@ class Encoder:
                 flat[at[_skipped_at(key, place, self.dropout)]] = -1
             else:
                 trace.append((np.broadcast_to(row, left.shape).ravel()[at], place))
-                flat[at[place == key]] = -1
         return flat.reshape(left.shape)
 
     def _merge_long(self, ids, key):
