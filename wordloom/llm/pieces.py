@@ -45,7 +45,7 @@ NONE = 1 << 30
 MEMORY = 500_000
 SLICE_BYTES = 1 << 20
 # Occurrences that are held against their candidates together, chunks merged together.
-BLOCK, ROWS = 50_000, 20_000
+BLOCK, ROWS = 50_000, 5_000
 
 
 class Vocabulary:
@@ -319,37 +319,35 @@ class Encoder:
         begin = np.minimum(np.arange(width + 1), lengths[:, None]).astype(np.int16)
         if width == 1:
             return piece[:, 0], np.arange(n), begin[:, 0]
-        joined = self._candidates(piece[:, :-1], piece[:, 1:], keys[:, None], begin[:, :-2], begin[:, 1:-1], begin[:, 2:],
-                                  np.arange(n)[:, None], trace)
-        rank = self.vocabulary.rank_or_none[joined]
+        rank_or_none, join = self.vocabulary.rank_or_none, self.vocabulary.join
+        rank = rank_or_none[self._candidates(piece[:, :-1], piece[:, 1:], keys[:, None], begin[:, :-2], begin[:, 1:-1],
+                                             begin[:, 2:], np.arange(n)[:, None], trace)]
         done, live = [], np.arange(n)
-        while True:
+        while len(live):
             rows = np.arange(len(live))
             best = rank.argmin(axis=1)
             more = rank[rows, best] < NONE
             if not more.all():
                 row, at = np.nonzero(piece[~more] != -2)
                 done.append((piece[~more][row, at], live[~more][row], begin[~more][row, at]))
-                piece, begin, joined, rank, best, live, keys = (
-                    x[more] for x in (piece, begin, joined, rank, best, live, keys))
+                piece, begin, rank, best, live, keys = (x[more] for x in (piece, begin, rank, best, live, keys))
                 rows = np.arange(len(live))
-            if not len(live):
+            piece[rows, best] = join(piece[rows, best], piece[rows, best + 1])
+            # What stands behind the merge moves up by one, so each round needs a column less.
+            width -= 1
+            after = columns[:width + 1] > best[:, None]
+            piece = np.where(after[:, :width], piece[:, 1:], piece[:, :-1])
+            begin = np.where(after, begin[:, 1:], begin[:, :-1])
+            if width == 1:
+                done.append((piece[:, 0], live, begin[:, 0]))
                 break
-            piece[rows, best] = joined[rows, best]
-            after = columns > best[:, None]
-            np.copyto(piece[:, :-1], piece[:, 1:].copy(), where=after[:, :-1])
-            piece[:, -1] = -2
-            np.copyto(begin[:, :-2], begin[:, 1:-1].copy(), where=after[:, :-1])
-            begin[:, -2] = begin[:, -1]
-            np.copyto(joined[:, :-1], joined[:, 1:].copy(), where=after[:, :-2])
-            np.copyto(rank[:, :-1], rank[:, 1:].copy(), where=after[:, :-2])
-            rank[:, -1] = NONE
+            rank = np.where(after[:, :width - 1], rank[:, 1:], rank[:, :-1])
             for at in (best - 1, best):
                 here = np.flatnonzero((at >= 0) & (at < width - 1))
                 k = at[here]
-                found = self._candidates(piece[here, k], piece[here, k + 1], keys[here],
-                                         begin[here, k], begin[here, k + 1], begin[here, k + 2], live[here], trace)
-                joined[here, k], rank[here, k] = found, self.vocabulary.rank_or_none[found]
+                rank[here, k] = rank_or_none[self._candidates(
+                    piece[here, k], piece[here, k + 1], keys[here],
+                    begin[here, k], begin[here, k + 1], begin[here, k + 2], live[here], trace)]
         return tuple(map(np.concatenate, zip(*done)))
 
     def _candidates(self, left, right, key, a, b, c, row=None, trace=None):
