@@ -116,10 +116,11 @@ def scan(versions: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES,
     # Copies in a task fold into one row before the texts are shuffled.
     unseen = rows.groupBy("blob").agg(F.any_value("text").alias("text")).join(known, "blob", "left_anti")
     scan_blobs(unseen, rules).write.mode("append").parquet(ledger)
+    # Of the ledger's whole history only the rows of this scan's blobs go on. A run that
+    # was repeated may have added a blob twice, with the same findings.
     found = ledger_table(spark, ledger).where(F.col("rules") == rule_version(rules)).drop("rules")
-    # A run that was repeated may have added a blob twice, with the same findings.
-    found = found.dropDuplicates(["blob"])
-    return join_keyed(places, saved(found.join(blobs, "blob")), ["blob"], "n").select("path", "blob", "findings")
+    found = found.join(blobs, "blob").dropDuplicates(["blob"])
+    return join_keyed(places, saved(found), ["blob"], "n").select("path", "blob", "findings")
 
 
 def fresh_ledger(spark: SparkSession) -> str:
