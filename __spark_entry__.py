@@ -52,7 +52,8 @@ LONG = 1_200  # more words than a list that travels with the tasks may have
 
 
 def _long_top(spark: SparkSession, sf: str) -> DataFrame:
-    return words.top_words(_counts(spark, sf), LONG)
+    # Worked out once: the operators look at a list more than once.
+    return lists.local_copy(words.top_words(_counts(spark, sf), LONG), LONG)
 
 
 def _stop(spark: SparkSession) -> DataFrame:

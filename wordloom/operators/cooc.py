@@ -29,11 +29,16 @@ def top_word_lines(lines: DataFrame, top: DataFrame, min_len: int = 1) -> DataFr
 
     Words of a long list are joined, and each row's put back in order by a row id.
     """
+    return _sequences(lines, top, min_len).where(F.size("seq") > 0)
+
+
+def _sequences(lines: DataFrame, top: DataFrame, min_len: int) -> DataFrame:
+    """``seq`` of the lines; with a long list those without a top word are left out."""
     keep = [c for c in lines.columns if c != "line"]
     chosen = small_words(_listed(top, min_len))
     if chosen is not None:
-        return _with_seq(lines, chosen).where(F.size("seq") > 0)
-    found = F.array_sort(F.collect_list(F.struct("pos", "word")))
+        return _with_seq(lines, chosen)
+    found = F.sort_array(F.collect_list(F.struct("pos", "word")))
     rows = top_word_positions(lines, top, min_len, tuple(keep)).groupBy(ROW, *keep).agg(found.alias("found"))
     return rows.select(*keep, F.col("found.word").alias("seq"))
 
@@ -52,16 +57,14 @@ def top_word_positions(lines: DataFrame, top: DataFrame, min_len: int = 1,
                        keep: tuple[str, ...] = ()) -> DataFrame:
     """``(_row, keep…, pos, word)`` of every top word, for lists of any length.
 
-    A row's different words are joined, each with its places: a word that a line
-    repeats is shuffled once. The join may split a word that very many lines have.
+    A line is taken apart in one pass over its tokens. The join may split a word that very
+    many lines have.
     """
-    words = lines.select(F.monotonically_increasing_id().alias(ROW), *keep,
-                         once(raw_tokens(F.col("line"))).alias("tokens"))
-    words = words.select(ROW, *keep, "tokens", F.explode(F.array_distinct("tokens")).alias("word"))
-    places = F.expr("filter(transform(tokens, (t, i) -> if(t = word, i, null)), i -> i is not null)")
-    words = words.where("word <> ''").select(ROW, *keep, "word", places.alias("places"))
+    rows = lines.select(F.monotonically_increasing_id().alias(ROW), *keep,
+                        once(raw_tokens(F.col("line"))).alias("tokens"))
+    words = rows.select(ROW, *keep, F.posexplode("tokens").alias("pos", "word")).where("word <> ''")
     listed = words.join(_listed(top, min_len).distinct(), "word", "left_semi")
-    return listed.select(ROW, *keep, F.explode("places").alias("pos"), "word")
+    return listed.select(ROW, *keep, "pos", "word")
 
 
 def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
@@ -73,11 +76,7 @@ def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
     nothing is shuffled. A longer one is joined, and each row put back in order by
     an id of its own; the results are the same. ``counters`` gets the kept words.
     """
-    chosen = small_words(_listed(top, min_len))
-    if chosen is None:
-        positions = top_word_positions(lines, top, min_len)
-        return _following_by_window(counters.rows(positions, KEPT) if counters else positions, distance)
-    at = _with_seq(lines, chosen).select("seq", F.posexplode("seq").alias("i", "w1"))
+    at = _sequences(lines.select("line"), top, min_len).select("seq", F.posexplode("seq").alias("i", "w1"))
     at = counters.rows(at, KEPT) if counters else at
     behind = F.slice("seq", F.col("i") + 2, distance)
     return at.select("w1", F.posexplode_outer(behind).alias("at", "w2")).select(
@@ -85,15 +84,13 @@ def following(lines: DataFrame, top: DataFrame, distance: int, min_len: int = 1,
 
 
 def _following_by_window(positions: DataFrame, distance: int) -> DataFrame:
-    in_line = Window.partitionBy(ROW).orderBy("pos")
-    behind = F.array(*[
-        F.struct(F.lead("word", k).over(in_line).alias("w2"), F.lit(k).alias("gap"))
-        for k in range(1, distance + 1)
-    ])
-    ahead = positions.select(F.col("word").alias("w1"), behind.alias("behind"))
-    found = F.filter("behind", lambda b: b["w2"].isNotNull())
-    return ahead.select("w1", F.explode_outer(found).alias("b")).select(
-        "w1", F.col("b.w2").alias("w2"), F.col("b.gap").alias("gap"))
+    in_line, steps = Window.partitionBy(ROW).orderBy("pos"), range(1, distance + 1)
+    ahead = positions.select(F.col("word").alias("w1"),
+                             *[F.lead("word", k).over(in_line).alias(f"b{k}") for k in steps])
+    behind = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"b{k}").alias("w2")) for k in steps])
+    # A word with nothing behind it keeps its first, empty place.
+    found = ahead.select("w1", F.inline(behind)).where("w2 is not null or k = 1")
+    return found.select("w1", "w2", F.when(F.col("w2").isNotNull(), F.col("k")).alias("gap"))
 
 
 # Longer lines are cut, so that many tasks can work on one.
@@ -173,7 +170,7 @@ def cooc_pairs_in_chunks(lines: DataFrame, top: DataFrame, distance: int = 1, mi
 
 def cooc_pairs_by_window(lines: DataFrame, top: DataFrame, distance: int = 1,
                          min_len: int = 1) -> DataFrame:
-    """As :func:`cooc_pairs`, always by the way that long word lists take."""
+    """As :func:`cooc_pairs`, for lists of any length, by window functions over a line's top words."""
     positions = top_word_positions(lines, top, min_len)
     return pair_counts(_following_by_window(positions, distance).where("w2 is not null"))
 
