@@ -85,6 +85,10 @@ def _top_df(spark: SparkSession, sf: str, k: int = 100) -> DataFrame:
     return terms.top_terms(_df(spark, sf), k)
 
 
+def _long_top_df(spark: SparkSession, sf: str) -> DataFrame:
+    return lists.local_copy(_top_df(spark, sf, LONG), LONG)
+
+
 def _part_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``term<TAB>count`` lines out of the part table, many of them malformed."""
     part = load_table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_size")
@@ -520,12 +524,12 @@ def term_frequency(spark, sf):
 
 @_query
 def term_frequency_long_list(spark, sf):
-    return terms.term_frequency(_docs(spark, sf), _top_df(spark, sf, LONG), row_per_doc=True)
+    return terms.term_frequency(_docs(spark, sf), _long_top_df(spark, sf), row_per_doc=True)
 
 
 @_query
 def doc_stripes_long_list(spark, sf):
-    stripes = terms.doc_stripes_by_row(_docs(spark, sf), _top_df(spark, sf, LONG))
+    stripes = terms.doc_stripes_by_row(_docs(spark, sf), _long_top_df(spark, sf))
     return stripes.select("doc_id", maps.stripe_text(F.col("stripe")).alias("stripe"))
 
 
@@ -533,7 +537,7 @@ def doc_stripes_long_list(spark, sf):
 def term_frequency_by_dictionary(spark, sf):
     lines = _text_lines(spark, sf)
     stems = terms.stem_dictionary(terms.vocabulary(lines))
-    return terms.term_frequency(lines, _top_df(spark, sf, LONG), stems=stems)
+    return terms.term_frequency(lines, _long_top_df(spark, sf), stems=stems)
 
 
 @_query

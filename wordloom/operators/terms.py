@@ -9,6 +9,7 @@ from wordloom.functions.maps import build_stripe, decoded_count, decoded_key, en
 from wordloom.functions.porter import stem_all
 from wordloom.functions.text import once, raw_tokens, tfidf_score, valid_token
 from wordloom.sources.lists import (
+    local_copy,
     local_table,
     small_rows,
     small_words,
@@ -146,12 +147,32 @@ def document_frequency(docs: DataFrame, stopwords: DataFrame, row_per_doc: bool
     """
     if stems is not None:
         return _frequency_by_dictionary(docs, stopwords, stems, row_per_doc)
+    if row_per_doc and small_rows(stopwords) is None:
+        return _frequency_by_words(docs, with_stems(stopwords))
     terms = document_terms(docs, stopwords)
     if not row_per_doc:
         terms = terms.distinct()
     return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def _frequency_by_words(docs: DataFrame, stop: DataFrame) -> DataFrame:
+    """:func:`document_frequency` of rows that are whole documents, for a long stop list.
+
+    A row gives each of its stems with its words that have it. Equal ones are counted before
+    the list is joined, so only counts are shuffled: a term is in the rows that hold it with
+    a word that is no stopword.
+    """
+    tokens = F.array_remove(F.array_distinct(raw_tokens(F.col("text"))), "")
+    rows = docs.where("text is not null").select(once(tokens).alias("words"))
+    rows = rows.select("words", once(stem_all("words")).alias("stems"))
+    pairs = F.zip_with("stems", "words", lambda s, w: F.struct(s.alias("term"), w.alias("word")))
+    rows = rows.select(once(F.sort_array(F.filter(pairs, lambda p: p["term"] != ""))).alias("found"))
+    found = rows.select(F.inline(F.expr(_WORDS))).groupBy("term", "words").agg(F.count("*").alias("n"))
+    found = found.join(stop.withColumnRenamed("word", "term"), "term", "left_anti")
+    kept = found.select("term", "words", "n", F.explode("words").alias("word")).join(stop, "word", "left_anti")
+    return kept.select("term", "words", "n").distinct().groupBy("term").agg(F.sum("n").alias("df"))
+
+
 def _frequency_by_dictionary(docs: DataFrame, stopwords: DataFrame, stems: DataFrame,
                              row_per_doc: bool) -> DataFrame:
     stop = with_stems(stopwords)
@@ -182,8 +203,8 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False,
     ``terms`` has a ``term`` column. With up to 1,000 of them a row's words are cut
     down to those that can become one before anything is stemmed, and only listed
     terms leave the row. When every row is a whole document (``row_per_doc``) they
-    are also counted in it, and nothing is shuffled. A longer list is joined to the
-    counts, which have one row per document and term.
+    are also counted in it, and nothing is shuffled. For a longer list each different
+    word of the corpus is stemmed once, into a dictionary.
 
     With a dictionary ``stems(word, stem)`` nothing is stemmed here: the words that have
     a listed stem are looked up, and their counts are shuffled once.
@@ -197,17 +218,27 @@ def term_frequency(docs: DataFrame, terms: DataFrame, row_per_doc: bool = False,
     if chosen is not None:
         found = F.explode(_listed_stems(chosen)).alias("term")
         return _per_document(_able_words(docs, chosen).select("doc_id", found))
-    counts = _listed_in_rows(docs, listed)
-    if row_per_doc:
-        return counts.select("doc_id", "term", "tf")
-    return counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return _counted_by_dictionary(docs, listed, stem_dictionary(vocabulary(docs)), row_per_doc)
 
 
-def _counted_by_dictionary(docs: DataFrame, listed: DataFrame, stems: DataFrame, row_per_doc: bool) -> DataFrame:
+def _listed_words(listed: DataFrame, stems: DataFrame) -> DataFrame:
+    """``(word, …, term)``: the part of a dictionary that gives a listed term.
+
+    Up to ``HOT_WORDS`` words are worked out once and travel with the tasks. More of them,
+    and a dictionary that is saved with its counts, stay as they are.
+    """
     # As a filter on the word Spark would test every token of the text; this stays with the stem.
     term = once(F.when(valid_token(F.col("word")), F.col("stem"))).alias("term")
     more = [c for c in stems.columns if c not in ("word", "stem")]
-    kept = stems.select("word", *more, term).join(listed.distinct(), "term", "left_semi")
+    kept = stems.select("word", *more, term).join(listed.distinct(), "term", "left_semi").select("word", *more, "term")
+    if more:
+        return kept
+    copy = local_copy(kept, HOT_WORDS)
+    return copy if copy is kept else F.broadcast(copy)
+
+
+def _counted_by_dictionary(docs: DataFrame, listed: DataFrame, stems: DataFrame, row_per_doc: bool) -> DataFrame:
+    kept = _listed_words(listed, stems)
     row = [F.monotonically_increasing_id().alias("row")] if row_per_doc else []
     rows = docs.select(*row, "doc_id", "text")
     rows = rows.select(*(["row"] if row else []), "doc_id", F.explode(raw_tokens(F.col("text"))).alias("word"))
@@ -221,18 +252,6 @@ def listed_stems(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return stems.join(terms.select(F.col("term").alias("stem")).distinct(), "stem", "left_semi")
 
 
-def _listed_in_rows(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """``(row, doc_id, term, tf)`` of the terms of a long list, counted in each row.
-
-    Rows have a ``row`` id or get one. Their different terms are joined, not their tokens.
-    """
-    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
-    words = F.filter(raw_tokens(F.col("text")), valid_token).alias("words")
-    rows = _stem_counts(docs.select(row, "doc_id", words), valid_token)
-    rows = rows.select("row", "doc_id", F.inline("counts"))
-    return rows.join(listed.distinct(), "term", "left_semi").select("row", "doc_id", "term", "tf")
-
-
 def _able_words(docs: DataFrame, chosen: list[str]) -> DataFrame:
     able = F.filter(raw_tokens(F.col("text")), lambda w: _may_become(w, chosen) & valid_token(w))
     return docs.select("doc_id", able.alias("words"))
@@ -278,6 +297,12 @@ _SUMS = """
         filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i].term <> found[i - 1].term)), s ->
         transform(slice(s, 1, size(s) - 1), (a, k) -> struct(found[a].term AS term,
             aggregate(slice(found, a + 1, s[k + 1] - a), 0L, (n, x) -> n + x.tf) AS tf))))"""
+# ``(term, words)`` of the sorted array ``found`` of ``(term, word)``: the words of each term.
+_WORDS = """
+    flatten(transform(array(
+        filter(sequence(0, size(found)), i -> i = 0 or i = size(found) or found[i].term <> found[i - 1].term)), s ->
+        transform(slice(s, 1, size(s) - 1), (a, k) -> struct(found[a].term AS term,
+            slice(found, a + 1, s[k + 1] - a).word AS words))))"""
 
 
 def _may_become(word: Column, terms: list[str]) -> Column:
@@ -359,12 +384,14 @@ def doc_stripes_by_row(docs: DataFrame, terms: DataFrame) -> DataFrame:
     if chosen is not None:
         counts = _counted_in_row(docs, chosen)
         return counts.select("doc_id", F.map_from_entries("counts").alias("stripe"))
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    counts = _listed_in_rows(rows, listed)
-    none = (F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf"))
+    kept = _listed_words(listed, stem_dictionary(vocabulary(docs)))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+                       once(raw_tokens(F.col("text"))).alias("tokens"))
+    rows = rows.select("row", "doc_id", F.explode_outer("tokens").alias("word"))
+    # Words that give no listed term leave one null per row.
+    counts = rows.join(kept, "word", "left").groupBy("row", "doc_id", "term").agg(F.count("*").alias("tf"))
     stripe = build_stripe(F.col("term"), F.col("tf")).alias("stripe")
-    return counts.unionByName(rows.select("row", "doc_id", *none)).groupBy("row", "doc_id").agg(
-        stripe).select("doc_id", "stripe")
+    return counts.groupBy("row", "doc_id").agg(stripe).select("doc_id", "stripe")
 
 
 def encode_doc_stripes(stripes: DataFrame) -> DataFrame:
