@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from samples import DOCS, awkward, corpus, empty, prose
 from wordloom.llm import quality_model as x
@@ -124,3 +125,31 @@ def test_four_characters_of_context(spark):
                                  "doc_id long, lang string, text string, block int")
     got = {r.doc_id: r.log_ppl for r in x.log_perplexity(docs, table).collect()}
     assert got[1] > 1.5 * got[0]
+
+
+def test_trusted_texts_are_found_without_a_shuffle_of_texts(spark, monkeypatch):
+    rows = corpus(300, 40) + [(None, "no id", "en", "a"), (4, "again", "fr", "b")]
+    docs = spark.createDataFrame(rows, DOCS)
+    ids = labelled(spark, corpus(300, 1)).select("doc_id")
+    want = sorted(r[1] for r in rows if r[0] is not None and r[0] % 2 == 0)
+    found = x._trusted_rows(docs.where("doc_id is not null"), docs, ids)
+    assert sorted(r.text for r in found.collect()) == want and found.columns == docs.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(doc_id" not in plan
+    monkeypatch.setattr(x, "MAX_WRONG", -1)
+    found = x._trusted_rows(docs.where("doc_id is not null"), docs, ids)
+    assert sorted(r.text for r in found.collect()) == want and found.columns == docs.columns
+
+
+def test_blocks_are_of_one_language_and_keep_further_columns(spark, monkeypatch):
+    monkeypatch.setattr(x, "BLOCK_CHARS", 4_000)
+    docs = spark.createDataFrame(corpus(90, 60), DOCS)
+    blocks = x._in_blocks(docs).groupBy("block").agg(F.countDistinct("lang").alias("n")).collect()
+    assert len(blocks) > 4 and all(r.n == 1 for r in blocks)
+    monkeypatch.setattr(x, "PART_CHARS", 700)
+    more = docs.selectExpr("*", "if(doc_id % 2 = 0, doc_id, null) as big", "timestamp_seconds(doc_id) as at",
+                           "array(lang, null) as many")
+    table = x.keyed(x.model(x.saved(x.count_grams(docs.where("lang = 'en'"), 3)), 3), 3)
+    got = x.log_perplexity(x._in_blocks(more), table, 3, with_text=True)
+    assert sorted(got.select(more.columns).collect()) == sorted(more.collect())
+    assert all(r.n_chars == len(r.text) and (r.log_ppl is None) == (r.lang == "fr") for r in got.collect())

@@ -3,14 +3,17 @@
 The model is an interpolated modified Kneser-Ney model of characters, order 5, one per
 language. Trusted are the documents whose label says so; four fifths of them, by a hash
 of the id, are counted, and the rest show what perplexity trusted text has that the
-model has not seen. All trusted documents take part: their ids meet the texts by a
-shuffle, before which a bitmap of the ids keeps back most texts that are not trusted.
+model has not seen. All trusted documents take part: a bitmap of their ids goes to the
+texts, with a list of the other ids that the bitmap lets through, so that these texts are
+not shuffled. Where that list is long, ids and texts that passed the bitmap are joined.
 
 Counts, discounts, context sums and probabilities are tables, joined by n-gram. Texts
-are scored in blocks of documents. A block asks for the different n-grams it holds; the
-requests are sharded by n-gram, joined with the model there, and the answers go back to
-the block. So neither the model nor the n-grams of a corpus ever meet in one task, and
-a block is bounded by ``BLOCK_CHARS`` and its longest document.
+are scored in blocks of documents of one language, which hold far fewer different n-grams
+than mixed ones. A block asks for the different n-grams it holds; the requests are sharded
+by n-gram, joined with the model there, and the answers go back to the block. So neither
+the model nor the n-grams of a corpus ever meet in one task, and a block is bounded by
+``BLOCK_CHARS`` and its longest document. Rows go to their block in compressed packs, and
+a task unpacks ``PART_CHARS`` of them at a time.
 
 A document is rejected when its perplexity is more than ``TOLERANCE`` times the upper
 fence of its language, ``q75 + fence * (q75 - q25)`` of the log perplexities of the
@@ -47,9 +50,11 @@ MIN_TRUSTED = 20
 POOL = "\x02"
 # Bits of the bitmap of trusted ids, 64 MB at most; beyond that it only lets more texts through.
 MAX_BITS = 1 << 29
+# Other ids that the bitmap lets through: so many are sent to the texts, about 16 MB.
+MAX_WRONG = 1_000_000
 BLOCK_CHARS = 24_000_000
 PART_CHARS = 1_000_000
-PACKED_ROWS = 1_000
+ZSTD_LEVEL = 6
 # Different n-grams that a task counts before it passes them on.
 COUNTED_GRAMS = 300_000
 FENCE = 3.0
@@ -72,7 +77,9 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
 
         def told(found):
             for lang, c in found.items():
-                yield pd.DataFrame({"lang": lang, "gram": list(c), "c": list(c.values())})
+                # In order, as neighbours that begin alike are compressed better.
+                grams = sorted(c)
+                yield pd.DataFrame({"lang": lang, "gram": grams, "c": [c[g] for g in grams]})
 
         found: dict[str, Counter] = {}
         for batch in batches:
@@ -274,90 +281,114 @@ class _Part:
         return ends[last] - ends[last - self.sizes]
 
 
-def _parts(langs, sizes) -> Iterator[tuple[str, list[int]]]:
-    """Rows of a block by language, up to ``PART_CHARS`` at a time, one row at least."""
-    by_lang: dict[str, list[int]] = {}
+def _packs(rows) -> Iterator:
+    """Arrow rows of one block and language each, up to ``PART_CHARS`` bytes of text, one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    rows = rows.sort_by([("block", "ascending"), ("lang", "ascending")])
+    before = np.concatenate([[0], np.cumsum(pc.binary_length(rows["text"]).to_numpy().astype(np.int64))[:-1]])
+    marks = (rows["block"].to_numpy(), pc.rank(rows["lang"], tiebreaker="dense").to_numpy(), before // PART_CHARS)
+    cuts = np.flatnonzero(reduce(np.logical_or, [m[1:] != m[:-1] for m in marks])) + 1
+    for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
+        yield rows.slice(first, last - first)
+
+
+def _parts(packs) -> Iterator[tuple]:
+    """Rows of a block's packs with their texts, by language, ``PART_CHARS`` at a time; then the rest."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    waiting: dict[str, list] = {}
     size: Counter = Counter()
-    for row, (lang, n) in enumerate(zip(langs, sizes)):
-        by_lang.setdefault(lang, []).append(row)
-        size[lang] += n
+    for pack in packs:
+        rows = pa.ipc.open_stream(pack.as_buffer()).read_all()
+        lang = rows["lang"][0].as_py()
+        waiting.setdefault(lang, []).append(rows)
+        size[lang] += pc.sum(pc.utf8_length(rows["text"])).as_py()
         if size[lang] >= PART_CHARS:
-            yield lang, by_lang.pop(lang)
             del size[lang]
-    yield from by_lang.items()
+            yield lang, pa.concat_tables(waiting.pop(lang))
+    while waiting:
+        lang, rows = waiting.popitem()
+        yield lang, pa.concat_tables(rows)
 
 
 def log_perplexity(docs: DataFrame, table: DataFrame, order: int = ORDER, with_text: bool = False) -> DataFrame:
     """``docs(lang, text, block, …)`` with ``n_chars`` and ``log_ppl``; texts not empty.
 
     Further columns are carried along, the text only if ``with_text``. The log
-    perplexity is null where the language has no model. Texts are compressed before
+    perplexity is null where the language has no model. Rows are compressed before
     they are shuffled to their blocks; the two uses of the blocks share that exchange.
     """
     ship(docs.sparkSession)
     keys = Keys(order)
     carried = [c for c in docs.columns if c not in ("text", "block")]
     fields = {f.name: f for f in docs.schema.fields}
-    size, zipped = T.StructField("n_chars", T.LongType()), T.StructField("zipped", T.BinaryType())
-    packed_schema = T.StructType([*(fields[c] for c in carried), fields["block"], size, zipped])
 
     def pack(batches: Iterator) -> Iterator:
-        import zlib
+        import pyarrow as pa
 
-        for whole in batches:
-            for at in range(0, len(whole), PACKED_ROWS):
-                batch = whole.iloc[at:at + PACKED_ROWS]
-                out = batch[[*carried, "block"]].copy()
-                out["n_chars"] = [len(t) for t in batch["text"]]
-                out["zipped"] = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch["text"]]
-                yield out
-
-    def unpacked(rows, at: list[int]) -> list[str]:
-        import zlib
-
-        zipped = rows["zipped"].to_numpy()
-        return [zlib.decompress(zipped[i]).decode("utf-8", "surrogatepass") for i in at]
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", ZSTD_LEVEL))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks, packs = [], []
+            for rows in _packs(pa.Table.from_batches([batch])):
+                blocks.append(rows["block"][0].as_py())
+                rows = rows.drop_columns("block")
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_table(rows)
+                packs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packs, pa.binary())], ["block", "pack"])
+        give_back()
 
-    blocks = docs.select(*carried, "block", "text").mapInPandas(pack, packed_schema).repartition("block")
+    blocks = docs.select(*carried, "block", "text").mapInArrow(pack, "block int, pack binary").repartition("block")
 
     def ask(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         asked: dict[int, list] = {}
         for batch in batches:
-            for block, rows in batch.groupby("block"):
-                for lang, at in _parts(rows["lang"].tolist(), rows["n_chars"].tolist()):
-                    asked.setdefault(block, []).append(_Part(keys, lang, unpacked(rows, at)).requests())
-                if len(asked[block]) > 8:
-                    asked[block] = [np.unique(np.concatenate(asked[block]))]
+            of_block: dict[int, list] = {}
+            for block, packed in zip(batch["block"].to_pylist(), batch["pack"]):
+                of_block.setdefault(block, []).append(packed)
+            for block, packs in of_block.items():
+                some = asked.setdefault(block, [])
+                for lang, rows in _parts(packs):
+                    some.append(_Part(keys, lang, rows["text"].to_pylist()).requests())
+                    if len(some) > 8:
+                        some[:] = [np.unique(np.concatenate(some))]
         for block in list(asked):
-            yield pd.DataFrame({"block": block, "key": np.unique(np.concatenate(asked.pop(block)))})
+            found = np.unique(np.concatenate(asked.pop(block)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block, dtype=np.int32)), pa.array(found)], ["block", "key"])
         give_back()
 
-    requests = blocks.mapInPandas(ask, "block int, key long")
+    requests = blocks.mapInArrow(ask, "block int, key long")
     answers = requests.join(table, "key").select("block", "key", "p", "gamma")
+    schema = T.StructType([*(fields[c] for c in carried), T.StructField("n_chars", T.LongType()),
+                           T.StructField("log_ppl", T.DoubleType()), *([fields["text"]] if with_text else [])])
 
     def score(rows, found):
         import numpy as np
+        import pyarrow as pa
 
         order_ = np.argsort(found["key"].to_numpy())
         known = tuple(found[c].to_numpy()[order_] for c in ("key", "p", "gamma"))
-        sizes = rows["n_chars"].to_numpy(dtype=np.int64)
-        out = np.full(len(rows), np.nan)
-        for lang, at in _parts(rows["lang"].tolist(), sizes.tolist()):
-            out[at] = -_Part(keys, lang, unpacked(rows, at)).log_probabilities(known)
-        result = rows[[*carried, "n_chars"]].copy()
-        result["log_ppl"] = out / sizes
+        done = []
+        for lang, some in _parts(rows["pack"]):
+            part = _Part(keys, lang, some["text"].to_pylist())
+            log_ppl = -part.log_probabilities(known) / part.sizes
+            some = some.append_column("n_chars", pa.array(part.sizes)).append_column(
+                "log_ppl", pa.array(log_ppl, mask=np.isnan(log_ppl)))
+            done.append(some.select(schema.names))
         del known, found
-        if with_text:
-            result["text"] = unpacked(rows, range(len(rows)))
         give_back()
-        return result
+        return pa.concat_tables(done)
 
-    schema = T.StructType([*(fields[c] for c in carried), size, T.StructField("log_ppl", T.DoubleType()),
-                           *([fields["text"]] if with_text else [])])
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
 
 
 def _lang(lang: Column) -> Column:
@@ -376,6 +407,17 @@ def _perhaps(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.withColumn("bucket", bucket).join(F.broadcast(bitmaps), "bucket").where(is_set).select(texts.columns)
 
 
+def _trusted_rows(rows: DataFrame, docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The ``rows`` of ``docs`` whose id is in ``trusted(doc_id)``, which is distinct; ids not null."""
+    ids = docs.select("doc_id").where("doc_id is not null")
+    wrong = saved(_perhaps(ids, trusted).distinct().join(trusted, "doc_id", "left_anti"))
+    some = _perhaps(rows, trusted)
+    if wrong.count() <= MAX_WRONG:
+        return some.join(F.broadcast(wrong), "doc_id", "left_anti")
+    # Not a semi-join: the planner would move it below the bitmap, and shuffle all texts.
+    return some.join(trusted, "doc_id").select(rows.columns)
+
+
 def _model_lang(rows: DataFrame, own: DataFrame) -> DataFrame:
     """``rows`` with the language of their model as ``lang``: their own, or that of all."""
     mine = own.select("lang", F.col("lang").alias("model_lang"))
@@ -394,23 +436,21 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     kind = docs.schema["doc_id"].dataType
     trusted = saved(labels.where("quality = 1 and doc_id is not null").select(
         F.col("doc_id").cast(kind).alias("doc_id")).distinct())
-    some = _perhaps(docs.where("text <> '' and doc_id is not null"), trusted)
-    of = lambda rows: rows.join(trusted, "doc_id", "left_semi")
+    some = _trusted_rows(docs.where("text <> '' and doc_id is not null"), docs, trusted)
     is_apart = _fold(F.col("doc_id")) == 0
-    sizes = saved(of(some.select("doc_id", "lang")).groupBy("lang").agg(
+    sizes = saved(some.groupBy("lang").agg(
         F.count_if(~is_apart).alias("n"), F.count_if(is_apart).alias("n_apart")))
     own = saved(sizes.where((F.col("n") >= MIN_TRUSTED) & (F.col("n_apart") * FOLDS >= MIN_TRUSTED)).select("lang"))
     strange = docs.where("text <> ''").select("lang").distinct().join(F.broadcast(own), "lang", "left_anti")
     pooled = (sizes.agg(F.sum("n")).first()[0] or 0) >= MIN_TRUSTED and not strange.isEmpty()
-    every = count_grams(of(some.where(~is_apart).select("doc_id", "lang", "text")), order)
+    every = count_grams(some.where(~is_apart), order)
     every = saved(every) if pooled else every
     counts = every.join(F.broadcast(own), "lang", "left_semi")
     if pooled:
         counts = counts.unionByName(every.groupBy(F.lit(POOL).alias("lang"), "gram").agg(F.sum("c").alias("c")))
     table = saved(keyed(model(saved(counts), order), order))
     apart = some.where(is_apart).select("doc_id", "lang", "text")
-    apart = _model_lang(of(apart.withColumn("block", _block(apart))), own)
-    scored = log_perplexity(apart, table, order).where("log_ppl is not null")
+    scored = log_perplexity(_in_blocks(_model_lang(apart, own)), table, order).where("log_ppl is not null")
     quartile = F.percentile_approx("log_ppl", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
     fences = scored.groupBy("lang").agg(quartile.alias("q"), F.count("*").alias("n")).where(
         F.col("n") * FOLDS >= MIN_TRUSTED)
@@ -418,10 +458,16 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     return table, own, saved(found)
 
 
-def _block(docs: DataFrame) -> Column:
-    """Which block a row of ``docs(doc_id, text)`` is in."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-chars // BLOCK_CHARS)))).cast("int")
+def _in_blocks(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, lang, text, …)`` with ``block``: of one language, about ``BLOCK_CHARS`` together.
+
+    ``lang`` is that of a model. Blocks whose numbers collide are one block of two languages.
+    """
+    chars = F.sum(F.length("text").cast("long"))
+    sizes = saved(docs.groupBy("lang").agg(F.ceil(chars / BLOCK_CHARS).alias("n_blocks")))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.greatest("n_blocks", F.lit(1)))
+    # One row per language with a model.
+    return docs.join(F.broadcast(sizes), "lang").withColumn("block", F.hash("lang", part)).drop("n_blocks")
 
 
 def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance: float,
@@ -430,7 +476,7 @@ def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance
     ship(rows.sparkSession)
     table, own, fences = fit(rows, labels, order, fence)
     some = _model_lang(rows.where("text <> ''").withColumn("of_lang", F.col("lang")), own)
-    scored = log_perplexity(some.withColumn("block", _block(some)), table, order, with_text)
+    scored = log_perplexity(_in_blocks(some), table, order, with_text)
     limit = F.col("fence") + chance / F.sqrt("n_chars") + F.log(F.lit(tolerance))
     # One row per language with a model.
     known = scored.join(F.broadcast(fences), "lang", "left").drop("lang").withColumnRenamed(
