@@ -174,3 +174,11 @@ def test_copies_behind_each_other_are_cut_on_their_own(spark):
     assert len({tuple(r.ids) for r in rows}) == 5
     again = [r for r in x.encode(copies, PIECES).collect() if r.doc_id == 1]
     assert rows == again
+
+
+def test_only_candidates_that_are_taken_are_remembered(vocabulary):
+    """A candidate that is met but never the best one may be skipped without an agenda of its own."""
+    e = x.Encoder(vocabulary, 0.1, 1)
+    e.encode([" ".join(f"{w}" for w in prose("en", 200, 5).split())], [3])
+    for chunk, at in e.known.items():
+        assert e.taken[at] == len(chunk) - e.size[at]

@@ -11,9 +11,9 @@ byte pieces. With no dropout the result is the model's own segmentation.
 
 The vocabulary is read from a file whose path is a parameter; it is small and fixed,
 and sent to the tasks. A task remembers each chunk as it is cut without a skip, and the
-candidates that this meets; an occurrence that skips none of these is cut so, any other
-goes through its own agenda, all of a batch as arrays. What is remembered changes no
-result.
+candidates that this takes; an occurrence that skips none of these is cut so, as the ones
+it may skip would never have been the best. Any other goes through its own agenda, all of
+a batch as arrays. What is remembered changes no result.
 
 Cases: null text gives null ids, null ids give null text; an empty text gives no
 ids. The character that marks blanks in the vocabulary is kept as bytes where a text
@@ -183,8 +183,8 @@ class Encoder:
         self.size, self.start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
         self.names: list[str] = []
-        # How many candidates each meets, -1 where that is not known, and their places.
-        self.met, self.met_start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        # How many candidates each takes, -1 where that is not known, and their places.
+        self.taken, self.taken_start = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.places = np.zeros(0, dtype=np.uint64)
 
     def encode(self, texts: list[str | None], keys: list[int]):
@@ -224,16 +224,16 @@ class Encoder:
         return gather(flat, starts, sizes), ends[at[1:]] - ends[at[:-1]]
 
     def _apart(self, codes, keys):
-        """The occurrences that skip a candidate, or may: those need an agenda of their own."""
+        """The occurrences that skip a candidate of those taken, or may: those need an agenda of their own."""
         import numpy as np
 
-        out = self.met[codes] < 0
+        out = self.taken[codes] < 0
         for i in range(0, len(codes), BLOCK):
-            some = i + np.flatnonzero(self.met[codes[i:i + BLOCK]] > 0)
+            some = i + np.flatnonzero(self.taken[codes[i:i + BLOCK]] > 0)
             if len(some):
-                counts = self.met[codes[some]]
+                counts = self.taken[codes[some]]
                 before = np.cumsum(counts) - counts
-                entry = np.arange(int(counts.sum())) + np.repeat(self.met_start[codes[some]] - before, counts)
+                entry = np.arange(int(counts.sum())) + np.repeat(self.taken_start[codes[some]] - before, counts)
                 lost = _skipped_at(np.repeat(keys[some], counts), self.places[entry], self.dropout)
                 out[some] = np.logical_or.reduceat(lost, before)
         return np.flatnonzero(out)
@@ -246,20 +246,20 @@ class Encoder:
         some = np.flatnonzero(short)
         trace = None if self.dropout == 0 else []
         sizes, flat = np.zeros(len(chunks), dtype=np.int64), np.zeros(0, dtype=np.int32)
-        met, places = np.where(short, 0, -1), np.zeros(0, dtype=np.uint64)
+        taken, places = np.where(short, 0, -1), np.zeros(0, dtype=np.uint64)
         if len(some):
             sizes[some], flat = self._cut([chunks[i] for i in some.tolist()], np.zeros(len(some), dtype=np.uint64), trace)
         if trace:
             rows, places = map(np.concatenate, zip(*trace))
             places = places[np.argsort(rows, kind="stable")]
-            met[some] = np.bincount(rows, minlength=len(some))
+            taken[some] = np.bincount(rows, minlength=len(some))
         join = np.concatenate
         self.names += chunks
         self.start = join([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
         self.size, self.flat = join([self.size, sizes]), join([self.flat, flat])
-        counts = np.maximum(met, 0)
-        self.met_start = join([self.met_start, len(self.places) + np.cumsum(counts) - counts])
-        self.met, self.places = join([self.met, met]), join([self.places, places])
+        counts = np.maximum(taken, 0)
+        self.taken_start = join([self.taken_start, len(self.places) + np.cumsum(counts) - counts])
+        self.taken, self.places = join([self.taken, taken]), join([self.places, places])
 
     def segment(self, chunks: list[tuple[int, str]]):
         """Sizes and flat ids of ``(key, chunk)``, in their order."""
@@ -270,7 +270,7 @@ class Encoder:
     def _cut(self, chunks: list[str], keys, trace: list | None = None):
         """Sizes and flat ids of chunks under their keys.
 
-        With ``trace`` nothing is skipped, and it gets the (row, place) of every candidate met.
+        With ``trace`` nothing is skipped, and it gets the (row, place) of every candidate taken.
         """
         import numpy as np
 
@@ -321,7 +321,7 @@ class Encoder:
             return piece[:, 0], np.arange(n), begin[:, 0]
         rank_or_none, join = self.vocabulary.rank_or_none, self.vocabulary.join
         rank = rank_or_none[self._candidates(piece[:, :-1], piece[:, 1:], keys[:, None], begin[:, :-2], begin[:, 1:-1],
-                                             begin[:, 2:], np.arange(n)[:, None], trace)]
+                                             begin[:, 2:], trace is None)]
         done, live = [], np.arange(n)
         while len(live):
             rows = np.arange(len(live))
@@ -332,6 +332,8 @@ class Encoder:
                 done.append((piece[~more][row, at], live[~more][row], begin[~more][row, at]))
                 piece, begin, rank, best, live, keys = (x[more] for x in (piece, begin, rank, best, live, keys))
                 rows = np.arange(len(live))
+            if trace is not None:
+                trace.append((live, _place(*(begin[rows, best + i] for i in range(3)))))
             piece[rows, best] = join(piece[rows, best], piece[rows, best + 1])
             # What stands behind the merge moves up by one, so each round needs a column less.
             width -= 1
@@ -347,22 +349,18 @@ class Encoder:
                 k = at[here]
                 rank[here, k] = rank_or_none[self._candidates(
                     piece[here, k], piece[here, k + 1], keys[here],
-                    begin[here, k], begin[here, k + 1], begin[here, k + 2], live[here], trace)]
+                    begin[here, k], begin[here, k + 1], begin[here, k + 2], trace is None)]
         return tuple(map(np.concatenate, zip(*done)))
 
-    def _candidates(self, left, right, key, a, b, c, row=None, trace=None):
-        """What two neighbours join into, -1 where they do not or the merge is skipped."""
+    def _candidates(self, left, right, key, a, b, c, skip: bool = True):
+        """What two neighbours join into, -1 where they do not or, with ``skip``, the merge is skipped."""
         import numpy as np
 
         flat = self.vocabulary.join(left.ravel(), right.ravel())
-        if self.dropout > 0:
+        if self.dropout > 0 and skip:
             at = np.flatnonzero(flat >= 0)
             key, a, b, c = (np.broadcast_to(x, left.shape).ravel()[at] for x in (key, a, b, c))
-            place = _place(a, b, c)
-            if trace is None:
-                flat[at[_skipped_at(key, place, self.dropout)]] = -1
-            else:
-                trace.append((np.broadcast_to(row, left.shape).ravel()[at], place))
+            flat[at[_skipped_at(key, _place(a, b, c), self.dropout)]] = -1
         return flat.reshape(left.shape)
 
     def _merge_long(self, ids, key):
