@@ -1,4 +1,6 @@
+import glob
 import math
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -153,3 +155,41 @@ def test_blocks_are_of_one_language_and_keep_further_columns(spark, monkeypatch)
     got = x.log_perplexity(x._in_blocks(more), table, 3, with_text=True)
     assert sorted(got.select(more.columns).collect()) == sorted(more.collect())
     assert all(r.n_chars == len(r.text) and (r.log_ppl is None) == (r.lang == "fr") for r in got.collect())
+
+
+def test_a_partition_sends_its_rows_to_few_blocks(spark, monkeypatch):
+    """Packs stay full however many blocks there are."""
+    monkeypatch.setattr(x, "BLOCK_CHARS", 3_000)
+    docs = spark.createDataFrame(corpus(300, 60), DOCS).repartition(6, "doc_id").localCheckpoint()
+    found = x._in_blocks(docs)
+    assert found.columns == [*docs.columns, "block"] and sorted(found.drop("block").collect()) == sorted(docs.collect())
+    sizes = [r.n for r in found.groupBy("block").agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) < 2 * 3_000
+    met = found.select("block", "lang", F.spark_partition_id().alias("place")).distinct().count()
+    assert met <= len(sizes) + 6 * docs.select("lang").distinct().count()
+
+
+def test_rows_of_another_partition_than_measured_have_a_block(spark, monkeypatch):
+    monkeypatch.setattr(x, "BLOCK_CHARS", 3_000)
+    docs = spark.createDataFrame(corpus(90, 60), DOCS).repartition(6, "doc_id").localCheckpoint()
+    places = x._places
+    monkeypatch.setattr(x, "_places", lambda rows: places(rows.withColumn("place", F.col("place") % 2 + 5)))
+    found = x._in_blocks(docs)
+    assert sorted(found.drop("block").collect()) == sorted(docs.collect())
+    assert found.where("block is null").isEmpty() and found.select("block").distinct().count() > 4
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+    rows = spark.createDataFrame([("en", prose("en", 60, i)) for i in range(12)], "lang string, text string")
+    before = files()
+    counts = x.saved(x.count_grams(rows))
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert len(files() - before) == 0 and counts.count() > 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

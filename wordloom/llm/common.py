@@ -20,6 +20,9 @@ SPACE_RUN = "[ \\t\\n\\x0B\\f\\r]+"
 # HOT_SHARE - 1 keys are: that is the size bound behind every broadcast of them.
 HOT_SHARE = 256
 
+# Spark's setting for shuffle files that go with the job they were written for.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
@@ -73,6 +76,21 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def saved_tidily(df: DataFrame) -> DataFrame:
+    """``saved``, and the files that its shuffles left go at once.
+
+    Otherwise they stay on the executors' disks until the driver happens to collect garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY, "false")
+    conf.set(TIDY, "true")
+    try:
+        # The setting is read where a plan is made, so the plan is made anew.
+        return saved(df.select("*"))
+    finally:
+        conf.set(TIDY, before)
+
+
 def without(docs: DataFrame, dropped: DataFrame, doc_id: str, digest) -> DataFrame:
     """The rows of ``docs`` whose ``(id, digest)`` is not in ``dropped(doc_id, digest)``.
 

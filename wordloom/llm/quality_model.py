@@ -13,7 +13,9 @@ than mixed ones. A block asks for the different n-grams it holds; the requests a
 by n-gram, joined with the model there, and the answers go back to the block. So neither
 the model nor the n-grams of a corpus ever meet in one task, and a block is bounded by
 ``BLOCK_CHARS`` and its longest document. Rows go to their block in compressed packs, and
-a task unpacks ``PART_CHARS`` of them at a time.
+a task unpacks ``PART_CHARS`` of them at a time. A block holds rows of neighbouring
+partitions, so that a partition's rows go to few blocks, in full packs, however many
+blocks there are.
 
 A document is rejected when its perplexity is more than ``TOLERANCE`` times the upper
 fence of its language, ``q75 + fence * (q75 - q25)`` of the log perplexities of the
@@ -40,8 +42,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from wordloom.llm.common import give_back, saved, ship
+from wordloom.llm.common import give_back, ship
+from wordloom.llm.common import saved_tidily as saved
 
 ORDER = 5
 # A language has a model of its own from so many counted documents on.
@@ -458,16 +462,32 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER,
     return table, own, saved(found)
 
 
+def _places(docs: DataFrame) -> DataFrame:
+    """``(lang, place, chars, before)`` of ``docs(lang, text, place)``: characters of a
+    language in a partition, and in the partitions before it."""
+    sizes = docs.groupBy("lang", "place").agg(F.sum(F.length("text").cast("long")).alias("chars"))
+    # One row per language and partition; a language's are few enough for one task.
+    upto = F.sum("chars").over(Window.partitionBy("lang").orderBy("place"))
+    return saved(sizes.withColumn("before", upto - F.col("chars")))
+
+
 def _in_blocks(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, lang, text, …)`` with ``block``: of one language, about ``BLOCK_CHARS`` together.
 
-    ``lang`` is that of a model. Blocks whose numbers collide are one block of two languages.
+    ``lang`` is that of a model. The texts of a language stand in a row, by partition and in
+    it by a hash, and are cut into blocks of like length. Where rows are in another partition
+    than when these were measured, the hash alone tells the block. Blocks whose numbers
+    collide are one block of two languages.
     """
-    chars = F.sum(F.length("text").cast("long"))
-    sizes = saved(docs.groupBy("lang").agg(F.ceil(chars / BLOCK_CHARS).alias("n_blocks")))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.greatest("n_blocks", F.lit(1)))
-    # One row per language with a model.
-    return docs.join(F.broadcast(sizes), "lang").withColumn("block", F.hash("lang", part)).drop("n_blocks")
+    rows = docs.withColumn("place", F.spark_partition_id())
+    places = _places(rows)
+    sizes = places.groupBy("lang").agg(F.sum("chars").alias("in_all"))
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
+    at = F.coalesce(F.col("before") + share * F.col("chars"), share * F.col("in_all")) / F.col("in_all")
+    number = F.floor(at * F.ceil(F.col("in_all") / BLOCK_CHARS))
+    # One row per language and partition, and one per language.
+    found = rows.join(F.broadcast(places), ["lang", "place"], "left").join(F.broadcast(sizes), "lang")
+    return found.withColumn("block", F.hash("lang", number)).select(*docs.columns, "block")
 
 
 def _judged(rows: DataFrame, labels: DataFrame, order: int, fence: float, chance: float,
