@@ -66,6 +66,23 @@ def test_perplexity_beside_plain_code(spark, order):
     assert got[9] is None
 
 
+@pytest.mark.parametrize("order", [1, 2, 5])
+def test_grams_beside_plain_code(spark, monkeypatch, order):
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 6_000)))  # no number holds five of these
+    texts = [prose("en", 60, i) for i in range(6)] + ["a", "é𐍈\n" * 40, wide, wide[::-1], "", "a"]
+    want = Counter()
+    for i, t in enumerate(texts):
+        padded = x.START * (order - 1) + t
+        want.update(("en" if i % 3 else "fr", padded[j:j + order]) for j in range(len(t)))
+    rows = spark.createDataFrame([("en" if i % 3 else "fr", t) for i, t in enumerate(texts)], "lang string, text string")
+    for chars in (1_000_000, 50):
+        monkeypatch.setattr(x, "PART_CHARS", chars)
+        assert {(r.lang, r.gram): r.c for r in x.count_grams(rows, order).collect()} == want
+    padded = [x.START * (order - 1) + t for t in texts if t]
+    plain = Counter(p[i:i + order] for p in padded for i in range(len(p) - order + 1))
+    assert x._grams(padded, order) == x._grams(padded[:7], order) + x._grams(padded[7:], order) == plain
+
+
 def test_probabilities_sum_to_one(spark):
     train = [prose("en", 40, i) for i in range(8)]
     rows = spark.createDataFrame([("en", t) for t in train], "lang string, text string")

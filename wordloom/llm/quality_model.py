@@ -74,30 +74,63 @@ def _fold(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(11), doc_id), F.lit(FOLDS))
 
 
+def _grams(pieces: list[str], order: int) -> Counter:
+    """How often each n-gram of ``order`` characters is in the pieces, which it does not cross."""
+    import numpy as np
+    import pandas as pd
+
+    codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    small, alphabet = pd.factorize(codes)
+    bits = max(1, (len(alphabet) - 1).bit_length())
+    if bits * order > 63:
+        # Too many different characters for a number to hold a gram.
+        return sum((Counter(map("".join, zip(*(p[i:] for i in range(order))))) for p in pieces), Counter())
+    n = len(codes) - order + 1
+    numbers = reduce(lambda x, j: x << bits | small[j:j + n], range(1, order), small[:n].astype(np.int64))
+    inside = np.ones(n, dtype=bool)
+    ends = np.cumsum([len(p) for p in pieces[:-1]], dtype=np.int64)
+    for j in range(1, order):
+        inside[ends - j] = False
+    code, different = pd.factorize(numbers[inside])
+    letters = [alphabet[different >> bits * j & (1 << bits) - 1] for j in reversed(range(order))]
+    text = np.stack(letters, axis=1).astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+    return Counter(dict(zip((text[i:i + order] for i in range(0, len(text), order)), np.bincount(code).tolist())))
+
+
 def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
     """``(lang, gram, c)`` of ``rows(lang, text)``; each task counts its own texts first."""
     def count(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        def told(found):
+        found: dict[str, Counter] = {}
+
+        def told():
             for lang, c in found.items():
                 # In order, as neighbours that begin alike are compressed better.
                 grams = sorted(c)
                 yield pd.DataFrame({"lang": lang, "gram": grams, "c": [c[g] for g in grams]})
+            found.clear()
+
+        def add(lang, pieces):
+            if pieces:
+                found.setdefault(lang, Counter()).update(_grams(pieces, order))
+            if sum(map(len, found.values())) > COUNTED_GRAMS:
+                yield from told()
 
-        found: dict[str, Counter] = {}
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                padded = START * (order - 1) + text
-                # A very long text is counted in parts.
-                for at in range(0, len(text), PART_CHARS):
-                    part = padded[at:at + PART_CHARS + order - 1]
-                    found.setdefault(lang, Counter()).update(map("".join, zip(*(part[i:] for i in range(order)))))
-                    if sum(map(len, found.values())) > COUNTED_GRAMS:
-                        yield from told(found)
-                        found = {}
-        yield from told(found)
-        del found
+            for lang, texts in batch.groupby("lang")["text"]:
+                pieces, size = [], 0
+                for text in texts:
+                    padded = START * (order - 1) + text
+                    # A very long text is counted in parts.
+                    for at in range(0, len(text), PART_CHARS):
+                        pieces.append(padded[at:at + PART_CHARS + order - 1])
+                        size += len(pieces[-1])
+                        if size >= PART_CHARS:
+                            yield from add(lang, pieces)
+                            pieces, size = [], 0
+                yield from add(lang, pieces)
+        yield from told()
         give_back()
 
     return rows.select("lang", "text").mapInPandas(count, "lang string, gram string, c long").groupBy(
@@ -240,21 +273,24 @@ class _Part:
         self.codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         firsts = np.cumsum(self.sizes + pad) - self.sizes
         ends = np.arange(int(self.sizes.sum())) + np.repeat(firsts - (np.cumsum(self.sizes) - self.sizes), self.sizes)
-        sums = self.keys.sums(self.codes, keys.order, ends)
-        self.code, different = pd.factorize(sums)
+        # Sums of all places, read in order, then of those where a gram ends.
+        plus, n = self.codes.astype(np.uint64) + np.uint64(1), len(self.codes) - pad
+        sums = reduce(np.add, [plus[pad - j:pad - j + n] * keys.weights[j] for j in range(keys.order)])
+        self.code, different = pd.factorize(sums[ends - pad])
         first = np.empty(len(different), dtype=np.int64)
         first[self.code[::-1]] = ends[::-1]
         self.first = first
 
-    def key(self, k: int, back: int = 0):
-        """Key of the ``k`` characters that end ``back`` before the end of each different gram."""
-        return self.keys.finish(self.keys.sums(self.codes, k, self.first - back), k, self.lang)
+    def key(self, k: int, back: int = 0, some=slice(None)):
+        """Key of the ``k`` characters that end ``back`` before the end of each different gram, or of some."""
+        return self.keys.finish(self.keys.sums(self.codes, k, self.first[some] - back), k, self.lang)
 
     def requests(self):
         import numpy as np
+        import pandas as pd
 
         order = self.keys.order
-        return np.unique(np.concatenate([self.key(0)[:1], *(self.key(k) for k in range(1, order + 1)),
+        return pd.unique(np.concatenate([self.key(0)[:1], *(self.key(k) for k in range(1, order + 1)),
                                          *(self.key(k, 1) for k in range(1, order))]))
 
     def log_probabilities(self, answers):
@@ -267,18 +303,18 @@ class _Part:
         if not len(known) or not len(self.first) or known[unseen[0]] != self.key(0)[0]:
             return np.full(len(self.sizes), np.nan)
         total = np.zeros(len(self.first))
-        open_ = np.ones(len(self.first), dtype=bool)
+        open_ = np.arange(len(self.first))
         for k in range(self.keys.order, 0, -1):
-            key = self.key(k)
+            key = self.key(k, 0, open_)
             at = find(key)
-            hit = open_ & (known[at] == key) & ~np.isnan(p[at])
-            total[hit] += p[at[hit]]
-            open_ &= ~hit
+            hit = (known[at] == key) & ~np.isnan(p[at])
+            total[open_[hit]] += p[at[hit]]
+            open_ = open_[~hit]
             if k > 1:
-                key = self.key(k - 1, 1)
+                key = self.key(k - 1, 1, open_)
                 at = find(key)
-                weighted = open_ & (known[at] == key) & ~np.isnan(gamma[at])
-                total[weighted] += gamma[at[weighted]]
+                weighted = (known[at] == key) & ~np.isnan(gamma[at])
+                total[open_[weighted]] += gamma[at[weighted]]
         total[open_] += p[unseen[0]]
         ends = np.concatenate([[0], np.cumsum(total[self.code])])
         last = np.cumsum(self.sizes)
