@@ -105,3 +105,20 @@ def test_rows_of_a_crowd_grow_with_its_size(spark):
     for n in (100, 200, 400):
         blocks = n // 20
         assert rows_of(n) <= n + blocks * (blocks - 1) // 2
+
+
+def test_components_of_a_hub_take_few_tasks(spark):
+    """A hub with a chain behind it; further steps take no more tasks than the first."""
+    def tasks_of(chain):
+        ends = [(0, i) for i in range(1, 600)] + [(599 + i, 600 + i) for i in range(chain)] + [(5000, 5000)]
+        edges = spark.createDataFrame(ends, "a long, b long")
+        spark.sparkContext.setJobGroup(f"chain-{chain}", "")
+        found = x.components(edges)
+        spark.sparkContext.setJobGroup("", "")
+        assert {r.node: r.label for r in found.collect()} == {**{i: 0 for i in range(600 + chain)}, 5000: 5000}
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(f"chain-{chain}") for s in tracker.getJobInfo(j).stageIds}
+        return sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i is not None)
+
+    short, long = tasks_of(2), tasks_of(8)
+    assert long - short <= 6 * 8

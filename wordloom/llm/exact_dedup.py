@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, one_of_alike, saved, without, without_space
+from wordloom.llm.common import join_keyed, one_of_alike, without, without_space
+from wordloom.llm.common import saved_tidily as saved
 
 CAPACITY = 50_000
 CELL_BITS = 20

@@ -28,8 +28,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wordloom.llm.common import give_back, join_keyed, one_of_alike, saved, ship, without
+from wordloom.llm.common import HOT_SHARE, give_back, join_keyed, one_of_alike, ship, without
+from wordloom.llm.common import saved_tidily as saved
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -161,19 +163,38 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, label)``: the smallest node that ``edges(a, b)`` connect a node with.
 
     Labels spread to neighbours until none changes; near copies reach each other in a
-    few steps. Hubs are joined apart, and labels are folded before they are shuffled.
+    few steps. A row ``(a, b, label)`` holds the label of ``b``; the least one at ``a`` is
+    the new label of ``a``, and the row turned round tells it to ``b``: a step is one shuffle.
+    Hubs, which have more than one row in ``HOT_SHARE``, are folded before it.
     """
-    both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    degree = saved(both.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree")))
-    labels = degree.select("node", "degree", F.col("node").alias("label"))
+    ends = lambda *pairs: F.inline(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs]))
+    both = saved(edges.select(ends("ab", "ba", "aa", "bb")).distinct())
+    degree = both.groupBy(F.col("a").alias("hub")).agg(F.count("*").alias("degree"))
+    hubs = saved(degree.where(F.col("degree") * HOT_SHARE > F.lit(both.count())).select("hub").repartition(1))
+    some_hubs = not hubs.isEmpty()
+
+    def is_hub(node: str) -> Column:
+        return F.col(f"hub_{node}").isNotNull().alias(f"{node}_hub")
+
+    rows = both
+    for node in "ab":
+        rows = rows.join(F.broadcast(hubs.withColumnRenamed("hub", f"hub_{node}")),
+                         F.col(node) == F.col(f"hub_{node}"), "left")
+    rows = rows.select("a", "b", is_hub("a"), is_hub("b"), F.col("b").alias("label"))
+    # A hub's rows are dealt out by their other end; its least label is sent to them.
+    salt = F.when(F.col("a_hub"), F.pmod(F.xxhash64("b"), F.lit(HOT_SHARE))).otherwise(0)
+    least = F.min("label").over(Window.partitionBy("a", "salt"))
     while True:
-        near = join_keyed(both.withColumnRenamed("b", "node"), labels, ["node"], "degree")
-        best = near.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        grown = saved(labels.join(best, "node").select(
-            "node", "degree", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
-        labels = grown.drop("moved")
-        if grown.where("moved").isEmpty():
-            return labels.select("node", "label")
+        told = rows.withColumn("salt", salt).withColumn("least", least)
+        if some_hubs:
+            of_hubs = rows.where("a_hub").groupBy("a").agg(F.min("label").alias("of_hub"))
+            told = told.join(F.broadcast(of_hubs), "a", "left").withColumn("least", F.coalesce("of_hub", "least"))
+        moved = (F.col("a") == F.col("b")) & (F.col("least") < F.col("label"))
+        told = saved(told.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("b_hub").alias("a_hub"),
+                                 F.col("a_hub").alias("b_hub"), F.col("least").alias("label"), moved.alias("moved")))
+        rows = told.drop("moved")
+        if told.where("moved").isEmpty():
+            return rows.where("a = b").select(F.col("a").alias("node"), "label")
 
 
 def _similar(shared: Column, a: Column, b: Column, threshold: float) -> Column:

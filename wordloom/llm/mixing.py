@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.common import join_keyed, packed, saved, words_of
+from wordloom.llm.common import join_keyed, packed, words_of
+from wordloom.llm.common import saved_tidily as saved
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
